@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.functions.text import CANONICAL_ID_SQL, canonical_id
-from sluice.llm import leakage, mojibake, survivor, tokens
+from sluice.functions.instants import micros_of
+from sluice.functions.text import CANONICAL_ID_SQL, canonical_id, checksum_key
+from sluice.llm import history, leakage, mojibake, survivor, tokens
 from sluice.session import table
 
 SURVIVOR_FIELDS = ["first_name", "middle_name", "last_name", "birth_date", "email", "phone", "hios_id"]
@@ -34,6 +35,16 @@ def p3_currency(spark: SparkSession, root: str) -> DataFrame:
     return survivor.latest_values(records, canonical_id(F.col("subscriber_id")), "last_modified_ts", "curated_id", SURVIVOR_FIELDS)
 
 
+def p4_found(spark: SparkSession, root: str) -> DataFrame:
+    audit = table(spark, root, "ingest_file_audit")
+    deliveries = audit.filter(F.upper(F.trim("status")) == "VALIDATED").select(
+        F.col("audit_id").alias("id"), micros_of(F.col("event_ts"), audit.schema["event_ts"].dataType).alias("ts"), checksum_key(F.col("checksum")).alias("checksum"), F.col("file_path").alias("path")
+    )
+    accepted = table(spark, root, "ingest_file_registry").filter(F.upper(F.trim("status")) == "PROCESSED").select(checksum_key(F.col("checksum")).alias("checksum"), F.col("file_path").alias("path"))
+    samples = table(spark, root, "file_sample").select(F.col("file_path").alias("path"), "content")
+    return history.repeated_deliveries(deliveries, accepted, samples).select(F.col("id").alias("audit_id"), "match_kind")
+
+
 def p7_ids(spark: SparkSession, root: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, root, "documents"))
 
@@ -61,7 +72,7 @@ def p9_restored(spark: SparkSession, root: str) -> DataFrame:
     return _repaired(spark, root)
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_survivor, p3_currency, p7_ids, p8_found, p8_clean, p9_found, p9_restored)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_survivor, p3_currency, p4_found, p7_ids, p8_found, p8_clean, p9_found, p9_restored)}
 
 _KEY = CANONICAL_ID_SQL.format(c="subscriber_id")
 _PLACEHOLDERS = ", ".join(f"'{v}'" for v in survivor.NO_VALUE)
