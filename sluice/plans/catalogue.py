@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from sluice.plans import problems
+from sluice.plans import problems, reference
 
-FLAGSHIP = "p1_found"
-QUERIES = dict(problems.QUERIES)
-SQL = dict(problems.SQL)
+FLAGSHIP = "merge_freshness_rows"
+QUERIES = reference.QUERIES | problems.QUERIES
+SQL = reference.SQL | problems.SQL
