@@ -1,13 +1,15 @@
 """Delimited records: valid rows apart from those that break a rule, with the reason.
 
 The records are read permissively under an explicit schema, keeping the raw text of
-those Spark calls corrupt. As its reader forgives stray quotes and accepts more
-formats than the rules allow, every record is then classified again: quoting, number
-of fields, one check per column. The delimiter may differ from row to row.
+those Spark calls corrupt. Records read whole only need the checks no cast makes.
+Corrupt ones, and those with quotes (which the reader forgives where they are stray),
+are classified again from the raw text: quoting, number of fields, one check per
+column. The delimiter may differ from row to row.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -41,18 +43,26 @@ MEMBER_RULES = {
     "modified_ts": FieldRule(r"[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}", True, "yyyy-MM-dd HH:mm:ss"),
 }
 MEMBER_TYPES = "subscriber_id string, hios_id string, first_name string, last_name string, birth_date date, amount decimal(18,2), modified_ts timestamp_ntz, note string"
+#: As read: the amount stays text, since Spark's cast rounds and takes forms the rule refuses.
+MEMBER_READ_AS = MEMBER_TYPES.replace("decimal(18,2)", "string")
 
 
 def _trimmed(c: Column) -> Column:
     return F.regexp_replace(c, r"^[ \t]+|[ \t]+$", "")
 
 
-def parse_lines(df: DataFrame, line: str, delimiter: str, fields: tuple[str, ...], types: str) -> DataFrame:
+def _once(df: DataFrame, name: str, c: Column) -> DataFrame:
+    """Adds a column behind a generator, so that filters on it don't repeat its expression below."""
+    return df.withColumn(name, F.explode(F.array(c)))
+
+
+def parse_lines(df: DataFrame, line: str, delimiter: str, types: str) -> DataFrame:
     """Adds the permissive reading, the strict fields and the structural flags.
 
-    ``__read`` is Spark's typed reading, its ``_raw`` the text it calls corrupt;
-    ``__fields`` the values without quotes and outer blanks. A null line counts as an
-    empty record, a null delimiter as a comma.
+    ``__read`` is Spark's reading, its ``_raw`` the text it calls corrupt; ``__whole`` says
+    that it needs no second look. For the others ``__fields`` has the values without quotes
+    and outer blanks, null if the quoting is broken. A null line counts as an empty
+    record, a null delimiter as a comma.
     """
     raw = F.coalesce(F.col(line), F.lit(""))
     sep = F.coalesce(F.col(delimiter), F.lit(","))
@@ -70,26 +80,27 @@ def parse_lines(df: DataFrame, line: str, delimiter: str, fields: tuple[str, ...
         "columnNameOfCorruptRecord": "_raw",
     }
     df = df.withColumn("__line", marked)
-    df = df.withColumn("__read", F.from_csv(F.col("__line"), f"{types}, _raw string", options))
+    df = _once(df, "__read", F.from_csv(F.col("__line"), f"{types}, _raw string", options))
     df = df.withColumn("__quoted", F.col("__line").contains('"'))
+    df = df.withColumn("__whole", F.coalesce(F.col("__line").contains(MARK) & F.col("__read._raw").isNull() & ~F.col("__quoted"), F.lit(False)))
     df = df.withColumn("__well_quoted", ~F.col("__quoted") | F.col("__line").rlike(WELL_QUOTED))
     plain = F.split(F.col("__line"), MARK, -1)
     strict = F.regexp_extract_all(F.concat(F.lit(MARK), F.col("__line")), F.lit(EACH_FIELD), F.lit(1))
-    df = df.withColumn("__pieces", F.when(~F.col("__quoted"), plain).when(F.col("__well_quoted"), strict))
+    pieces = F.when(F.col("__whole"), F.lit(None)).when(~F.col("__quoted"), plain).when(F.col("__well_quoted"), strict)
 
     def bare(c: Column) -> Column:
         t = _trimmed(c)
         stripped = F.replace(F.regexp_replace(t, r'\A"|"\z', ""), F.lit('""'), F.lit('"'))
         return F.replace(_trimmed(F.when(t.startswith('"'), stripped).otherwise(t)), F.lit(MARK), sep)
 
-    return df.withColumn("__fields", F.transform(F.col("__pieces"), bare)).withColumn("__count", F.size("__pieces"))
+    return _once(df, "__fields", F.transform(pieces, bare))
 
 
-def _breaks(rule: str, fields: tuple[str, ...], rules: dict[str, FieldRule]) -> Column:
+def _breaks(rule: str, fields: tuple[str, ...], rules: dict[str, FieldRule], types: dict[str, str]) -> Column:
     if rule == "quoting":
         return ~F.col("__well_quoted")
     if rule == "column_count":
-        return F.col("__count") != len(fields)
+        return ~F.col("__whole") & F.coalesce(F.size("__fields") != len(fields), F.lit(False))
     if rule not in rules:
         raise ValueError(f"no check is known for the rule {rule!r}; known: quoting, column_count, {', '.join(rules)}")
     r, v = rules[rule], F.coalesce(F.get(F.col("__fields"), F.lit(fields.index(rule))), F.lit(""))
@@ -97,10 +108,21 @@ def _breaks(rule: str, fields: tuple[str, ...], rules: dict[str, FieldRule]) ->
     if r.calendar:
         read = F.try_to_timestamp(v, F.lit(r.calendar)) if "H" in r.calendar else F.try_to_date(v, r.calendar)
         ok = ok & F.coalesce(F.when(ok, read.isNotNull()), F.lit(False))
-    return ~ok if r.required else (v != "") & ~ok
+    again = ~ok if r.required else (v != "") & ~ok
+    seen = F.col(f"__read.{rule}")
+    if r.calendar and types[rule] != "string":
+        first = seen.isNull() if r.required else F.lit(False)  # what was read whole was read by the rule's format
+    else:
+        first = ~F.coalesce(seen, F.lit("")).rlike(rf"\A{r.pattern}\z")
+        first = first if r.required else first & (F.coalesce(seen, F.lit("")) != "")
+    return F.when(F.col("__whole"), first).otherwise(again)
+
+
+def _types(text: str) -> dict[str, str]:
+    return dict(t.strip().split(" ", 1) for t in re.split(r",(?![^()]*\))", text))
 
 
-def classify(parsed: DataFrame, rules: list[tuple[str, str]], fields: tuple[str, ...] = MEMBER_FIELDS, checks: dict[str, FieldRule] | None = None) -> DataFrame:
+def classify(parsed: DataFrame, rules: list[tuple[str, str]], fields: tuple[str, ...] = MEMBER_FIELDS, checks: dict[str, FieldRule] | None = None, types: str = MEMBER_READ_AS) -> DataFrame:
     """Adds ``error_code`` of the first broken rule in the given order, null for valid rows.
 
     ``rules`` are (rule name, error code) pairs in rule order. A record whose quoting
@@ -108,8 +130,8 @@ def classify(parsed: DataFrame, rules: list[tuple[str, str]], fields: tuple[str,
     """
     code = F.lit(None).cast("string")
     for name, error in reversed(rules):
-        code = F.when(F.coalesce(_breaks(name, fields, checks or MEMBER_RULES), F.lit(False)), F.lit(error)).otherwise(code)
-    return parsed.withColumn("error_code", code)
+        code = F.when(F.coalesce(_breaks(name, fields, checks or MEMBER_RULES, _types(types)), F.lit(False)), F.lit(error)).otherwise(code)
+    return _once(parsed, "error_code", code)
 
 
 def ordered_rules(rules: DataFrame, cap: int = 1_000) -> list[tuple[str, str]]:
@@ -121,13 +143,12 @@ def ordered_rules(rules: DataFrame, cap: int = 1_000) -> list[tuple[str, str]]:
 
 
 def typed_fields(classified: DataFrame, keep: list[str], fields: tuple[str, ...] = MEMBER_FIELDS, types: str = MEMBER_TYPES) -> DataFrame:
-    """Valid rows with typed columns: Spark's reading where it is whole, else the strict fields cast. Empty values are null."""
-    kinds = dict(t.strip().split(" ", 1) for t in types.replace("(18,2)", "(18#2)").split(","))
+    """Valid rows with typed columns: as read, or the strict fields cast where the record was classified again. Empty values are null."""
     out = []
     for i, name in enumerate(fields):
         text = F.get(F.col("__fields"), F.lit(i))
         text = F.when(text != "", text)
-        kind = kinds[name].replace("#", ",")
-        value = text if kind == "string" else F.coalesce(F.when(F.col("__read._raw").isNull(), F.col(f"__read.{name}")), text.try_cast(kind))
-        out.append(value.alias(name))
+        kind = _types(types)[name]
+        again = text if kind == "string" else text.try_cast(kind)
+        out.append(F.when(F.col("__whole"), F.col(f"__read.{name}").try_cast(kind)).otherwise(again).alias(name))
     return classified.filter(F.col("error_code").isNull()).select(*keep, *out)

@@ -24,7 +24,7 @@ def p1_found(spark: SparkSession, root: str) -> DataFrame:
 
 def _classified_lines(spark: SparkSession, root: str) -> DataFrame:
     lines = table(spark, root, "raw_member_line")
-    parsed = parsefail.parse_lines(lines, "raw_line", "field_delimiter", parsefail.MEMBER_FIELDS, parsefail.MEMBER_TYPES)
+    parsed = parsefail.parse_lines(lines, "raw_line", "field_delimiter", parsefail.MEMBER_READ_AS)
     return parsefail.classify(parsed, parsefail.ordered_rules(table(spark, root, "reject_rule")))
 
 
@@ -50,9 +50,9 @@ def complete_windows(runs: DataFrame, entity: str = FEED_ENTITY) -> DataFrame:
     """Windows of runs with a SUCCESS of stage curated that was no dry run; rows without a window end carry none."""
     own = runs.filter(F.trim("entity") == entity)
     done = (F.lower(F.trim("stage")) == "curated") & (F.upper(F.trim("status")) == "SUCCESS") & ~F.coalesce(F.lower(F.trim("message")) == "dry-run", F.lit(False))
-    complete = own.groupBy("run_id").agg(F.max(F.coalesce(done, F.lit(False)).cast("int")).alias("done"), F.collect_set(F.when(~is_blank(F.col("window_end")), F.struct("window_start", "window_end"))).alias("w"))
-    each = complete.filter("done = 1").select(F.explode("w").alias("w"))
-    return each.select(instant_text_micros(F.col("w.window_start")).alias("w_start"), instant_text_micros(F.col("w.window_end")).alias("w_end")).filter(F.col("w_end").isNotNull()).distinct()
+    complete = own.filter(F.coalesce(done, F.lit(False))).select("run_id").distinct()
+    stated = own.filter(~is_blank(F.col("window_end"))).select("run_id", instant_text_micros(F.col("window_start")).alias("w_start"), instant_text_micros(F.col("window_end")).alias("w_end")).distinct()
+    return stated.join(complete, "run_id", "left_semi").filter(F.col("w_end").isNotNull()).select("w_start", "w_end").distinct()
 
 
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
