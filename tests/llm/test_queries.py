@@ -1,0 +1,26 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).parents[1]))
+import oracle  # noqa: E402
+
+from sluice.llm import queries  # noqa: E402
+
+pytestmark = pytest.mark.skipif(not oracle.DATA.exists(), reason="the test tables are not here")
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_equals_its_sql(spark, name):
+    oracle.compare(spark, oracle.connect(), queries.QUERIES[name], queries.SQL[name])
+
+
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.SQL)))
+def test_query_without_sql_runs(spark, name):
+    assert queries.QUERIES[name](spark, str(oracle.DATA)).count() > 0
+
+
+def test_nothing_else_imports_the_package():
+    root = Path(__file__).parents[2] / "sluice"
+    assert not [p for p in root.rglob("*.py") if "llm" not in p.parts and "sluice.llm" in p.read_text()]
