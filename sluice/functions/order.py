@@ -7,9 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sluice.functions.text import quoted
+from sluice.functions.types import is_type
 
 
 class OrderError(ValueError):
@@ -59,10 +59,8 @@ def parse_term(text: str) -> OrderTerm:
         if rest.index("as") != len(rest) - 2:
             raise OrderError(f"HDR_020 in {text!r} 'as' needs exactly one type after it, at the end")
         kind = rest[-1]
-        try:
-            T.DataType.fromDDL(kind)
-        except Exception as e:
-            raise OrderError(f"HDR_020 {kind!r} in {text!r} is no Spark type") from e
+        if not is_type(kind):
+            raise OrderError(f"HDR_020 {kind!r} in {text!r} is no Spark type")
         rest = rest[:-2]
     unknown = sorted(set(rest) - {"asc", "desc", "nulls_first", "nulls_last"})
     if unknown:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.text import normalize_header, quoted
+from sluice.functions.types import is_type
 from sluice.operators.validate import ContentRule, null_counts
 
 STRATEGIES = ("NAME_ALIAS", "STRICT_NAME", "POSITION", "NAME_ALIAS_POSITION_FALLBACK")
@@ -79,10 +80,8 @@ class Contract:
             raise ContractError(f"HDR_017 strategy {self.strategy!r} must be one of {', '.join(STRATEGIES)}")
         owner: dict[str, str] = {}
         for c in self.columns:
-            try:
-                T.DataType.fromDDL(c.type)
-            except Exception as e:
-                raise ContractError(f"HDR_017 column {c.name!r} has no Spark type: {c.type!r}") from e
+            if not is_type(c.type):
+                raise ContractError(f"HDR_017 column {c.name!r} has no Spark type: {c.type!r}")
             for n in (c.name, *c.aliases):
                 key = normalize_header(n)
                 if not key:
@@ -157,9 +156,9 @@ def resolve_header(contract: Contract, headers: list[str], today: str | None = N
     if by_position:
         if len(headers) != len(contract.columns):
             out.append(contract.violation("column_count", f"{len(headers)} columns, {len(contract.columns)} expected"))
-        else:
-            ordered = sorted(contract.columns, key=lambda c: c.position)
-            return Resolution(tuple((h, c.name) for h, c in zip(headers, ordered, strict=True)), tuple(out), True)
+            return Resolution(tuple((h, None) for h in headers), tuple(out), True)
+        ordered = sorted(contract.columns, key=lambda c: c.position)
+        return Resolution(tuple((h, c.name) for h, c in zip(headers, ordered, strict=True)), tuple(out), True)
     sources: dict[str, list[str]] = {}
     for h, c in mapping:
         if c:

@@ -181,7 +181,7 @@ def merge(incoming: DataFrame, target: DataFrame, spec: MergeSpec, small: bool |
         return t.join(i, on, "full").select(*out)
     stayed = t.join(F.broadcast(i), on, "left").select(*out)
     met = target.select(*[quoted(k).alias("t_" + k) for k in keys]).join(F.broadcast(i.select(*["i_" + k for k in keys])), on, "left_semi")
-    fresh = i.join(met.distinct(), on, "left_anti")
+    fresh = i.join(F.broadcast(met.distinct()), on, "left_anti")  # at most the batch's own keys
     blank = {f"t_{f.name}": F.lit(None).cast(f.dataType) for f in target.schema.fields} | {"t__here": F.lit(None).cast("boolean")}
     return stayed.unionByName(fresh.withColumns(blank).select(*out))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import time
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +63,18 @@ def check(spark: SparkSession, staged: str, target: str | None, g: Guards) -> in
     return n
 
 
+@contextmanager
+def _overwrite_mode(spark: SparkSession, mode: str):
+    """The session's overwrite mode for one write; inserts by position don't take it as an option."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def publish(df: DataFrame, target: str, guards: Guards = Guards(), fmt: str = "parquet", partitions: tuple[str, ...] = (), scoped: bool = False) -> int:
     """Writes a staging table, checks it, then replaces the target in one statement; returns the rows published.
 
@@ -82,8 +95,8 @@ def publish(df: DataFrame, target: str, guards: Guards = Guards(), fmt: str = "p
             rows.write.format(fmt).partitionBy(*partitions).saveAsTable(target)
         else:
             names = spark.table(target).columns
-            mode = "dynamic" if scoped else "static"
-            rows.select(*[quoted(c) for c in names]).write.format(fmt).option("partitionOverwriteMode", mode).mode("overwrite").insertInto(target, overwrite=True)
+            with _overwrite_mode(spark, "dynamic" if scoped else "static"):
+                rows.select(*[quoted(c) for c in names]).write.insertInto(target, overwrite=True)
         return n
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {staged}")
