@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.llm.batches import slices
 from sluice.session import cut, lookup_join
 
 MIN_CHUNK, MAX_CHUNK, WINDOW = 64, 1024, 32
@@ -76,7 +77,7 @@ def chunked(files: DataFrame, path: str, content: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 1):
             at, rows = [], []
             for k, text in enumerate(b.column(1).to_pylist()):
                 lines = [x.encode() for x in normalized_lines(text)]

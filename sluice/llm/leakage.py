@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm.batches import slices
+
 WORD = re.compile(r"[^\W_]+")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -123,7 +125,7 @@ def leaks(documents: DataFrame, items: DataFrame, doc: str = "doc_id", item: str
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = shared.value
-        for b in batches:
+        for b in slices(batches, 1):
             pairs = sorted({(k, i) for k, _, i in hits(grams, b.column(1).to_pylist())})
             if pairs:
                 at = pa.array([k for k, _ in pairs], pa.int64())
@@ -158,7 +160,7 @@ def without_leaks(documents: DataFrame, items: DataFrame, doc: str = "doc_id", i
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = shared.value
-        for b in batches:
+        for b in slices(batches, 1):
             texts = b.column(1).to_pylist()
             gone: dict[int, set[int]] = {}
             for k, at, _ in hits(grams, texts):

@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from sluice.llm.batches import slices
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the public splitting pattern of this vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -75,13 +77,10 @@ class Encoder:
             at = int(places[i])
         return [*out, raw[at:].decode()]
 
-    def encode(self, text: str | None) -> list[int]:
+    def encode(self, text: str | None) -> np.ndarray:
         if not text:
-            return []
-        out: list[int] = []
-        for f in self.fragments(text):
-            out += self._encode(f)
-        return out
+            return np.zeros(0, dtype=np.int32)
+        return np.concatenate([np.array(self._encode(f), dtype=np.int32) for f in self.fragments(text)])
 
 
 _encoders: dict[tuple, Encoder] = {}
@@ -101,10 +100,8 @@ def encode_corpus(documents: DataFrame, doc: str = "doc_id", text: str = "text",
         if key not in _encoders:
             _encoders[key] = Encoder(shared.value, pattern, fragment_bytes)
         encoder = _encoders[key]
-        for b in batches:
-            for start in range(0, b.num_rows, 1024):  # bounds what is held besides the batch itself
-                part = b.slice(start, 1024)
-                ids = [encoder.encode(t.as_py()) for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], [doc, "ids"])
+        for part in slices(batches, 1):
+            ids = [encoder.encode(t) for t in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], [doc, "ids"])
 
     return documents.select(doc, text).mapInArrow(run, f"{doc} {documents.schema[doc].dataType.simpleString()}, ids array<int>")
