@@ -107,7 +107,7 @@ def tagged_cells(rows: DataFrame, columns: DataFrame) -> DataFrame:
     Cells beyond the header, rows without a header and empty cells give no row.
     """
     h = columns.select("header_id", "entity", "cols")
-    joined = rows.join(h, "header_id")
+    joined = lookup_join(rows, h, ["header_id"], "inner", row_bytes=2048)
     each = joined.select("file_row_id", "header_id", "entity", "row_idx", "cell_values", F.explode("cols").alias("c"))
     value = F.trim(F.get(F.col("cell_values"), F.col("c.pos")))
     return each.select("file_row_id", "header_id", "entity", "row_idx", F.col("c.col").alias("column_name"), F.coalesce("c.type", F.lit("string")).alias("tag"), F.when(value != "", value).alias("value")).filter(F.col("value").isNotNull())
@@ -128,7 +128,7 @@ def consistent_table(rows: DataFrame, columns: DataFrame) -> DataFrame:
     if len(width) > MAX_COLUMNS:
         raise ValueError(f"more than {MAX_COLUMNS} columns")
     h = columns.select("header_id", "entity", F.map_from_entries(F.transform("cols", lambda e: F.struct(e["col"], F.struct(e["pos"].alias("pos"), F.coalesce(e["type"], F.lit("string")).alias("type"))))).alias("__at"))
-    joined = rows.join(h, "header_id", "left")
+    joined = lookup_join(rows.select("file_row_id", "header_id", "row_idx", "cell_values"), h, ["header_id"], "left", row_bytes=2048)
     out = []
     for w in width:
         at = F.element_at("__at", F.lit(w.col))

@@ -216,3 +216,23 @@ def test_what_has_landed(spark):
     assert [r.file_id for r in rest.collect()] == ["f2"] and [r.file_id for r in loaded.collect()] == ["f1"] and rest.columns == df.columns
     with pytest.raises(ValueError, match="slice"):
         raw.slice_of(df)
+
+
+def test_registry_and_introspection(spark, derby, tmp_path):
+    from sluice.sources import introspect, registry
+
+    spark.range(3).write.parquet(str(tmp_path / "p"))
+    assert registry.SOURCES.get("FILE")(spark, path=str(tmp_path / "p"), kind="parquet").count() == 3
+    with pytest.raises(registry.UnknownKind, match="file, jdbc, kafka, table"):
+        registry.SOURCES.get("ftp")
+    registry.SINKS.get("files")(spark.range(2), str(tmp_path / "p"))
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 5
+    got = introspect.table_columns(spark, source(derby, table="ORDERS"), "ORDERS")
+    assert [(n, t) for n, t, _ in got] == [("ORDER_ID", "int"), ("REGION", "string"), ("AMOUNT", "int"), ("UPDATED_TS", "timestamp")]
+    c = introspect.contract_of(got, ("ORDER_ID",))
+    assert c.business_keys == ["order_id"] and c.lookup()["updated_ts"].type == "timestamp"
+    assert [introspect.spark_type(*a) for a in ((2, 10, 2), (3,), (-155,), (93,), (2004,), (16,), (92,))] == ["decimal(10,2)", "decimal(38,18)", "string", "timestamp", "binary", "boolean", "string"]
+    s = source("jdbc:x", mode="INCREMENTAL", table="t", watermark=wm.WatermarkSpec(("u",), ("NUMERIC",)), initial=("5",))
+    assert introspect.preview(s) == '(SELECT * FROM "t" WHERE ("u" > 5)) src' and introspect.preview(source("jdbc:x", mode="CUSTOM_SQL")).startswith("-- no preview")
+    problems, text = introspect.dry_run({"entity": "e", "source": {"type": "jdbc"}}, s)
+    assert problems == ["raw.table is required"] and text
