@@ -108,3 +108,67 @@ class LeaseLock:
 
     def __exit__(self, *_):
         self.release()
+
+
+class DatabaseLease:
+    """A lease kept in one row per entity of a database table, taken by compare-and-set.
+
+    Every change names the version it saw; of two runs that saw the same version one
+    update finds no row. Works through the session's JDBC drivers.
+    """
+
+    DDL = "CREATE TABLE {t} (entity_name VARCHAR(200) NOT NULL PRIMARY KEY, holder_run_id VARCHAR(200), lease_acquired_ts DOUBLE PRECISION, lease_expires_ts DOUBLE PRECISION, lease_version BIGINT NOT NULL)"
+
+    def __init__(self, spark, url: str, entity: str, run_id: str, table: str = "ingestion_lock", minutes: float = LEASE_MINUTES, clock: Callable[[], float] = time.time, driver: str | None = None):
+        self._jvm, self.url, self.table = spark._jvm, url, table
+        self.entity, self.run_id, self.seconds, self.clock = entity, run_id, minutes * 60, clock
+        if driver:
+            self._jvm.java.lang.Class.forName(driver)
+
+    def _run(self, sql: str, *values) -> int | list[tuple]:
+        c = self._jvm.java.sql.DriverManager.getConnection(self.url)
+        try:
+            s = c.prepareStatement(sql.format(t=self.table))
+            for i, v in enumerate(values, 1):
+                s.setString(i, v) if isinstance(v, str) or v is None else s.setDouble(i, float(v)) if isinstance(v, float) else s.setLong(i, v)
+            if not sql.startswith("SELECT"):
+                return s.executeUpdate()
+            r, out = s.executeQuery(), []
+            while r.next():
+                out.append((r.getString(1), r.getDouble(2), r.getLong(3)))
+            return out
+        finally:
+            c.close()
+
+    def create_table(self) -> None:
+        self._run(self.DDL)
+
+    def _row(self) -> tuple | None:
+        got = self._run("SELECT holder_run_id, lease_expires_ts, lease_version FROM {t} WHERE entity_name = ?", self.entity)
+        return got[0] if got else None
+
+    def acquire(self) -> None:
+        """Takes a free or expired lease, or one this run holds already."""
+        row, now = self._row(), float(self.clock())
+        if row is None:
+            try:
+                self._run("INSERT INTO {t} VALUES (?, ?, ?, ?, ?)", self.entity, self.run_id, now, now + self.seconds, 1)
+                return
+            except Exception:  # noqa: BLE001 - another run inserted the row; decided below
+                row = self._row()
+        if row[0] not in (None, self.run_id) and row[1] > now:
+            raise LockError(f"LCK_001 {self.entity} is held by {row[0]}")
+        if not self._set(self.run_id, now + self.seconds, row[2]):
+            raise LockError(f"LCK_001 {self.entity} was taken by another run")
+
+    def _set(self, run_id: str | None, until: float, version: int) -> bool:
+        return self._run("UPDATE {t} SET holder_run_id = ?, lease_acquired_ts = ?, lease_expires_ts = ?, lease_version = ? WHERE entity_name = ? AND lease_version = ?", run_id, float(self.clock()), until, version + 1, self.entity, version) == 1
+
+    def renew(self) -> bool:
+        row = self._row()
+        return bool(row and row[0] == self.run_id and self._set(self.run_id, float(self.clock()) + self.seconds, row[2]))
+
+    def release(self) -> None:
+        row = self._row()
+        if row and row[0] == self.run_id:
+            self._set(None, 0.0, row[2])

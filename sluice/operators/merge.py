@@ -86,6 +86,27 @@ def resolve_keys(configured: list[str] | None, business_keys: list[str]) -> list
     return list(configured)
 
 
+def resolve_publish_mode(configured: str | None, incremental: bool, exists: bool, partition_columns: tuple[str, ...], keys: tuple[str, ...], deletes: str = "IGNORE") -> str:
+    """MERGE, PARTITION_OVERWRITE or FULL_OVERWRITE.
+
+    Unset, an incremental batch into an existing table merges, everything else replaces. A scoped
+    overwrite needs partition columns and keys, can't prove absence, and starts with a full build.
+    """
+    if configured is None:
+        return "MERGE" if incremental and exists else "FULL_OVERWRITE"
+    mode = configured.upper()
+    if mode not in ("MERGE", "PARTITION_OVERWRITE", "FULL_OVERWRITE"):
+        raise MergeError(f"publish mode {configured!r} must be MERGE, PARTITION_OVERWRITE or FULL_OVERWRITE")
+    if mode == "PARTITION_OVERWRITE":
+        if not partition_columns or not keys:
+            raise MergeError("CUR_006 PARTITION_OVERWRITE needs partition columns and merge keys")
+        if deletes == "FULL_SNAPSHOT_ABSENCE":
+            raise MergeError("CUR_006 part of a table can't prove a key absent")
+        if not exists:
+            return "FULL_OVERWRITE"
+    return mode
+
+
 def is_tombstone(spec: MergeSpec, c: Column) -> Column:
     return F.coalesce(F.lower(F.trim(c.cast("string"))).isin(*[v.lower() for v in spec.indicator_values]), F.lit(False))
 
@@ -113,7 +134,7 @@ def align(df: DataFrame, schema: T.StructType, defaults: dict[str, object] | Non
 
 
 def _side(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select(*[quoted(c).alias(prefix + c) for c in df.columns], F.lit(True).alias(prefix + "_here"))
+    return df.select(*[quoted(c).alias(prefix + c) for c in df.columns], F.lit(True).alias("__here_" + prefix))
 
 
 def merge(incoming: DataFrame, target: DataFrame, spec: MergeSpec, small: bool | None = None) -> DataFrame:
@@ -130,6 +151,8 @@ def merge(incoming: DataFrame, target: DataFrame, spec: MergeSpec, small: bool |
     prepare(target.sparkSession)
     names = target.columns
     lower = {c.lower(): c for c in names}
+    if OUTCOME in lower:
+        raise MergeError(f"the target has a column named {OUTCOME}")
     keys = [lower[k.lower()] for k in spec.keys]
     terms = resolve(spec.terms(), names)
     for t in terms:
@@ -145,7 +168,7 @@ def merge(incoming: DataFrame, target: DataFrame, spec: MergeSpec, small: bool |
     for k in keys:
         on = on & quoted("t_" + k).eqNullSafe(quoted("i_" + k))
     I, O = (lambda c: quoted("i_" + c)), (lambda c: quoted("t_" + c))  # noqa: E741
-    here_i, here_t = F.coalesce(F.col("i__here"), F.lit(False)), F.coalesce(F.col("t__here"), F.lit(False))
+    here_i, here_t = F.coalesce(F.col("__here_i_"), F.lit(False)), F.coalesce(F.col("__here_t_"), F.lit(False))
     dead = is_tombstone(spec, I(indicator)) if indicator else F.lit(False)
     hashed = lower.get(spec.hash_column.lower())
     same = (~dead & I(hashed).eqNullSafe(O(hashed)) & I(hashed).isNotNull()) if hashed and terms else F.lit(False)
@@ -182,7 +205,7 @@ def merge(incoming: DataFrame, target: DataFrame, spec: MergeSpec, small: bool |
     stayed = t.join(F.broadcast(i), on, "left").select(*out)
     met = target.select(*[quoted(k).alias("t_" + k) for k in keys]).join(F.broadcast(i.select(*["i_" + k for k in keys])), on, "left_semi")
     fresh = i.join(F.broadcast(met.distinct()), on, "left_anti")  # at most the batch's own keys
-    blank = {f"t_{f.name}": F.lit(None).cast(f.dataType) for f in target.schema.fields} | {"t__here": F.lit(None).cast("boolean")}
+    blank = {f"t_{f.name}": F.lit(None).cast(f.dataType) for f in target.schema.fields} | {"__here_t_": F.lit(None).cast("boolean")}
     return stayed.unionByName(fresh.withColumns(blank).select(*out))
 
 

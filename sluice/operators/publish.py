@@ -176,3 +176,11 @@ def append_control(spark: SparkSession, target: str, schema: str, rows: list[tup
 
 def table_count(spark: SparkSession, target: str) -> int:
     return spark.table(target).agg(F.count(F.lit(1))).first()[0]
+
+
+def purge(spark: SparkSession, target: str, keep: DataFrame, dry_run: bool = False) -> int:
+    """Rewrites a table with the rows to keep; returns how many go. Nothing is written for none."""
+    gone = table_count(spark, target) - keep.count()
+    if gone and not dry_run:
+        publish(keep, target, Guards(allow_empty=True))
+    return gone

@@ -93,7 +93,12 @@ def p6_schema(spark: SparkSession, root: str) -> DataFrame:
     return each.select("entity", "column_name", "canonical_type", "a.type", "a.since_header_id", "a.files")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_state, p2_found, p2_valid, p2_by_file, p5_found, p5_units, p6_found, p6_table, p6_schema)}
+def p6_cells(spark: SparkSession, root: str) -> DataFrame:
+    """Every delivered cell with its column and the type its file declared."""
+    return drift.tagged_cells(table(spark, root, "member_file_row"), _header_columns(spark, root))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_state, p2_found, p2_valid, p2_by_file, p5_found, p5_units, p6_found, p6_table, p6_cells, p6_schema)}
 
 _KEY = CANONICAL_ID_SQL.format(c="subscriber_id")
 _KIND = CHANGE_KIND_SQL.format(c="last_modified_op")
@@ -149,4 +154,11 @@ SQL = {
  UNION ALL SELECT h.header_id, c.col, 'removed' FROM h JOIN c ON c.header_id = h.before LEFT JOIN c d ON d.header_id = h.header_id AND d.col = c.col WHERE d.col IS NULL
  UNION ALL SELECT now.header_id, now.col, 'renamed' FROM now JOIN c ON c.header_id = now.before AND c.col = now.col WHERE c.n <> now.n
  UNION ALL SELECT now.header_id, now.col, 'retyped' FROM now JOIN c ON c.header_id = now.before AND c.col = now.col WHERE c.t <> now.t""",
+    "p6_schema": f"""WITH {_HEADERS}, each AS (SELECT entity, col, coalesce(t, 'string') AS type, arg_min(header_id, row(event_ts, header_id)) AS since_header_id, count(*) AS files FROM c GROUP BY 1, 2, 3),
+ canon AS (SELECT entity, col, CASE WHEN count(*) = 1 THEN min(type) WHEN bool_and(type IN ('tinyint','smallint','int')) THEN 'int' WHEN bool_and(type IN ('tinyint','smallint','int','bigint')) THEN 'bigint'
+   WHEN bool_and(type IN ('tinyint','smallint','int','bigint') OR starts_with(type, 'decimal')) THEN 'decimal(38,10)' WHEN bool_and(type IN ('tinyint','smallint','int','bigint','float','double') OR starts_with(type, 'decimal')) THEN 'double'
+   WHEN bool_and(type IN ('date','timestamp','timestamp_ntz')) THEN 'timestamp' ELSE 'string' END AS canonical_type FROM each GROUP BY 1, 2)
+ SELECT entity, col AS column_name, canonical_type, type, since_header_id, files FROM each JOIN canon USING (entity, col)""",
+    "p6_cells": f"""WITH {_HEADERS}, placed AS (SELECT header_id, named.entity, coalesce(column_name, named.n) AS col, min(pos) AS pos, arg_min(t, pos) AS t FROM named LEFT JOIN known ON known.entity = named.entity AND known.n = named.n WHERE named.n <> '' GROUP BY 1, 2, 3)
+ SELECT file_row_id, header_id, entity, row_idx, col AS column_name, coalesce(t, 'string') AS tag, trim(cell_values[pos + 1]) AS value FROM member_file_row JOIN placed USING (header_id) WHERE trim(cell_values[pos + 1]) <> ''""",
 }

@@ -122,7 +122,7 @@ def merge_freshness_rows_shuffled(spark, root):
     return _merged(spark, root, small=False)
 
 
-@query(f"WITH {_MERGED} SELECT count(*) FILTER (outcome = 'inserted') AS inserted, count(*) FILTER (outcome = 'updated') AS updated, 0 AS deleted, count(*) FILTER (outcome = 'ignored') AS ignored FROM merged")
+@query(f"WITH {_MERGED} SELECT count(*) FILTER (outcome = 'inserted') AS inserted, count(*) FILTER (outcome = 'updated') AS updated, cast(0 AS bigint) AS deleted, count(*) FILTER (outcome = 'ignored') AS ignored FROM merged")
 def merge_freshness_counts(spark, root):
     return merge.outcome_counts(merge.merge(decks.incoming_orders(spark, root), decks.target_orders(spark, root), decks.MERGE))
 
@@ -181,7 +181,7 @@ def merge_soft_delete(spark, root):
 
 
 @query(f"""WITH {_MERGED}, k AS (SELECT CASE WHEN o_orderkey % 17 <> 0 THEN o_custkey END AS o_custkey, o_orderkey FROM orders WHERE o_orderkey % 3 = 0)
- SELECT count(*) FILTER (o_custkey IS NOT NULL) AS keyed, count(*) FILTER (o_custkey IS NULL) AS keyless, sum(o_orderkey) FILTER (o_custkey IS NULL) AS keyless_sum FROM (SELECT o_custkey, o_orderkey FROM merged UNION ALL SELECT o_custkey, o_orderkey FROM k WHERE o_custkey IS NULL)""")
+ SELECT count(*) FILTER (o_custkey IS NOT NULL) AS keyed, count(*) FILTER (o_custkey IS NULL) AS keyless, cast(sum(o_orderkey) FILTER (o_custkey IS NULL) AS bigint) AS keyless_sum FROM (SELECT o_custkey, o_orderkey FROM merged UNION ALL SELECT o_custkey, o_orderkey FROM k WHERE o_custkey IS NULL)""")
 def merge_passthrough_keyless(spark, root):
     orders = table(spark, root, "orders")
     batch = orders.filter("o_orderkey % 3 = 0").withColumn("o_custkey", F.when(F.col("o_orderkey") % 17 != 0, F.col("o_custkey")))
@@ -241,6 +241,29 @@ def partition_derive(spark, root):
     return stamps.derive_partitions(table(spark, root, "orders"), {"order_month": "date_format(o_orderdate, 'yyyy-MM')", "feed": {"literal": "orders"}}).select("o_orderkey", "order_month", "feed")
 
 
+@query(f"WITH {_MERGED} SELECT o_custkey, o_orderkey, CASE WHEN outcome = 'unchanged' THEN 'unchanged' ELSE 'ignored' END AS outcome FROM merged")
+def stream_merge_replay(spark, root):
+    """A batch that is delivered again changes nothing: its rows tie with what they wrote."""
+    batch = decks.incoming_orders(spark, root)
+    once = merge.merge(batch, decks.target_orders(spark, root), decks.MERGE).drop(merge.OUTCOME)
+    return merge.merge(batch, once, decks.MERGE).select("o_custkey", "o_orderkey", F.col(merge.OUTCOME).alias("outcome"))
+
+
+@query(f"WITH {_MERGED} SELECT o_custkey, cast(o_orderkey AS varchar) AS o_orderkey, outcome FROM merged")
+def merge_logical_version(spark, root):
+    """Versions kept as text, compared as what they stand for."""
+    spec = merge.MergeSpec(keys=("o_custkey",), freshness="version", compare_as="timestamp_ntz", tie_breakers=("o_orderkey as bigint",))
+    text = lambda df: df.select("o_custkey", F.col("o_orderkey").cast("string").alias("o_orderkey"), F.col("o_orderdate").cast("string").alias("version"))
+    m = merge.merge(text(decks.incoming_orders(spark, root)), text(decks.target_orders(spark, root)), spec)
+    return m.select("o_custkey", "o_orderkey", F.col(merge.OUTCOME).alias("outcome"))
+
+
+@query(f"WITH {DECK} SELECT o_custkey, o_orderkey, o_orderpriority FROM tgt WHERE o_orderpriority IN ('1-URGENT', '5-LOW')")
+def partition_slice_literals(spark, root):
+    parts = spark.createDataFrame([("1-URGENT",), ("5-LOW",)], "o_orderpriority string")
+    return merge.partition_slice(decks.target_orders(spark, root), parts).select("o_custkey", "o_orderkey", "o_orderpriority")
+
+
 # landing
 
 
@@ -272,6 +295,12 @@ def raw_counts_by_run(spark, root):
     return raw.counts_by_run(decks.landed_events(spark, root))
 
 
+@query(f"WITH {LANDED} SELECT DISTINCT sha256(source_file) AS file_id FROM landed WHERE event_id % 4 = 1")
+def raw_loaded_file_ids(spark, root):
+    landed = decks.landed_events(spark, root).withColumn("file_id", file_id(F.col("source_file")))
+    return raw.without_loaded_files(landed, landed.filter("event_id % 4 = 1"))[1]
+
+
 @query("SELECT s_suppkey, sha256(concat_ws(chr(1), cast(s_name AS varchar), cast(s_nationkey AS varchar), cast(s_suppkey AS varchar))) AS record_hash FROM supplier")
 def record_hash_stamp(spark, root):
     return stamps.stamp_hash(table(spark, root, "supplier").drop("s_acctbal")).select("s_suppkey", "record_hash")
@@ -333,10 +362,10 @@ _CONTENT = {
 }
 
 
-@query(r"""WITH s AS (SELECT count(*) AS n, sum((c_name IS NULL)::int) AS z0, sum((NOT coalesce(regexp_matches(trim(c_name), '^Customer#0*[1-9][0-9]*[02468]$'), false))::int) AS f0,
- sum((c_mktsegment IS NULL)::int) AS z1, sum((NOT coalesce(trim(c_mktsegment) IN ('BUILDING','MACHINERY') AND length(trim(c_mktsegment)) <= 9, false))::int) AS f1,
- sum((c_nationkey IS NULL)::int) AS z2, sum((NOT coalesce(length(cast(c_nationkey AS varchar)) >= 2, false))::int) AS f2 FROM customer)
- SELECT 'c_name' AS column_name, n AS n_rows, z0 AS n_null, f0 AS n_failed FROM s UNION ALL SELECT 'c_mktsegment', n, z1, f1 FROM s UNION ALL SELECT 'c_nationkey', n, z2, f2 FROM s""")
+@query(r"""WITH s AS (SELECT count(*) AS n, cast(sum((c_name IS NULL)::int) AS bigint) AS z0, sum((NOT coalesce(regexp_matches(trim(c_name), '^Customer#0*[1-9][0-9]*[02468]$'), false))::int) AS f0,
+ cast(sum((c_mktsegment IS NULL)::int) AS bigint) AS z1, sum((NOT coalesce(trim(c_mktsegment) IN ('BUILDING','MACHINERY') AND length(trim(c_mktsegment)) <= 9, false))::int) AS f1,
+ cast(sum((c_nationkey IS NULL)::int) AS bigint) AS z2, sum((NOT coalesce(length(cast(c_nationkey AS varchar)) >= 2, false))::int) AS f2 FROM customer)
+ SELECT 'c_name' AS column_name, n AS n_rows, z0 AS n_null, cast(f0 AS bigint) AS n_failed FROM s UNION ALL SELECT 'c_mktsegment', n, z1, cast(f1 AS bigint) FROM s UNION ALL SELECT 'c_nationkey', n, z2, cast(f2 AS bigint) FROM s""")
 def content_rule_failures(spark, root):
     return validate.content_failures(table(spark, root, "customer"), _CONTENT)
 
@@ -517,7 +546,7 @@ _FIRST = "arg_min({v}, row(event_ts, {v})) FILTER (stage = 'raw' AND status = 'S
  {_LATEST.format(v='status', s='raw')} AS raw_status, {_LATEST.format(v='status', s='curated')} AS curated_status,
  bool_or(stage = 'curated' AND status = 'SUCCESS' AND coalesce(message, '') <> 'dry-run') AS curated_done, max(raw_count) FILTER (stage = 'raw') AS raw_count, max(accepted_count) FILTER (stage = 'raw') AS accepted_count,
  max(rejected_count) FILTER (stage = 'raw') AS rejected_count, {_LATEST.format(v='insert_count', s='curated')} AS insert_count, {_LATEST.format(v='update_count', s='curated')} AS update_count, {_LATEST.format(v='delete_count', s='curated')} AS delete_count,
- sum((status = 'FAILED')::int) AS retry_count, min(event_ts) AS first_event_ts, max(event_ts) AS last_event_ts FROM ingest_run_audit GROUP BY run_id, entity""")
+ cast(sum((status = 'FAILED')::int) AS bigint) AS retry_count, min(event_ts) AS first_event_ts, max(event_ts) AS last_event_ts FROM ingest_run_audit GROUP BY run_id, entity""")
 def ledger_batch_control(spark, root):
     return ledger.batch_control(table(spark, root, "ingest_run_audit"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.text import normalize_header, quoted
 from sluice.operators.contract import Contract, ContractError, apply_contract, enforce, fingerprint, resolve_header
+from sluice.session import small_enough
 
 
 @dataclass(frozen=True)
@@ -59,6 +60,24 @@ def _with_kept(df, data, kept, contract, resolution):
     return df.select(*[quoted(c).alias(n) for c, n in zip(data, names, strict=True)], *extra, *[quoted(k) for k in kept])
 
 
+def legacy_columns(df: DataFrame, aliases: dict[str, str] | None = None, columns: list[str] = (), normalize: bool = False) -> DataFrame:
+    """Columns of feeds without contract: normalized if asked, renamed by alias, then cut to a list.
+
+    Refuses names that collide and listed columns that are missing.
+    """
+    by_alias = {normalize_header(a): n for a, n in (aliases or {}).items()}
+    names = [by_alias.get(normalize_header(c), normalize_header(c) if normalize else c) for c in df.columns]
+    lower = [n.lower() for n in names]
+    twice = sorted({n for n in lower if lower.count(n) > 1})
+    if twice:
+        raise ContractError(f"HDR_003 columns collide: {', '.join(twice)}")
+    missing = [c for c in columns if c.lower() not in lower]
+    if missing:
+        raise ContractError(f"HDR_001 columns are missing: {', '.join(missing)}")
+    wanted = [lower.index(c.lower()) for c in columns] or range(len(names))
+    return df.select(*[quoted(df.columns[i]).alias(names[i]) for i in wanted])
+
+
 def union_groups(frames: list[DataFrame]) -> DataFrame:
     """Rows of frames with differing columns; what a frame lacks is null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -96,11 +115,14 @@ def without_edges(df: DataFrame, skip_first: int = 0, drop_last: int = 0) -> Dat
     """Without the first and last lines of each file.
 
     Lines are numbered by Spark's increasing ids, which follow file order within a file's
-    parts; read files in one part each (multiLine) where they could be split.
+    parts; read files in one part each (multiLine) where they could be split. Only the
+    lines to drop are ranked (each part is cut to its own first ones before the shuffle),
+    so a file with most of the rows is never gathered.
     """
     if not skip_first and not drop_last:
         return df
     ided = df.withColumn("__id", F.monotonically_increasing_id())
-    w = Window.partitionBy("source_file")
-    out = ided.withColumns({"__a": F.row_number().over(w.orderBy("__id")), "__z": F.row_number().over(w.orderBy(F.desc("__id")))})
-    return out.filter((F.col("__a") > skip_first) & (F.col("__z") > drop_last)).drop("__id", "__a", "__z")
+    lines, w = ided.select("source_file", "__id"), Window.partitionBy("source_file")
+    ends = [lines.withColumn("__n", F.row_number().over(w.orderBy(order))).filter(F.col("__n") <= n) for n, order in ((skip_first, F.col("__id")), (drop_last, F.col("__id").desc())) if n]
+    gone = reduce(lambda a, b: a.unionByName(b), ends).select("source_file", "__id").distinct()
+    return ided.join(F.broadcast(gone) if small_enough(gone, 256) else gone, ["source_file", "__id"], "left_anti").select(*[quoted(c) for c in df.columns])

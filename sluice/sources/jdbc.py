@@ -187,6 +187,14 @@ def capture_upper(spark: SparkSession, s: JdbcSource, parameters: dict[str, str]
     return None if row is None else tuple(_text(v) for v in row)
 
 
+def clock_drift(spark: SparkSession, s: JdbcSource) -> float:
+    """Seconds the source's clock is ahead of this one; beyond ``DRIFT_SECONDS`` windows by the source's clock deserve a look."""
+    d = s.dialect
+    frame = _reader(spark, s).option("dbtable", f"({d.clock}) q(now_ts)").load() if d.clock.startswith("VALUES") else ask(spark, s, d.clock)
+    own = spark.range(1).selectExpr("current_timestamp() AS t").first().t
+    return (frame.first()[0] - own).total_seconds()
+
+
 def guard_null_watermarks(spark: SparkSession, s: JdbcSource, parameters: dict[str, str] | None = None) -> None:
     """Before a first window: rows without watermark would never be delivered (JDBC_006)."""
     names = " AND ".join(f"{s.dialect.quote(c)} IS NOT NULL" for c in s.watermark.columns)

@@ -266,3 +266,30 @@ def test_arguments():
         with pytest.raises(SystemExit):
             pipeline.parse_arguments(bad)
     assert not pipeline.notify({}, webhook="http://127.0.0.1:9/none", timeout=0.2) and pipeline.notify({"a": 1}, command=["cat"])
+
+
+def test_database_lease(spark, tmp_path):
+    now, url = [1000.0], f"jdbc:derby:{tmp_path / 'locks'};create=true"
+    make = lambda r: locks.DatabaseLease(spark, url, "e", r, minutes=1, clock=lambda: now[0], driver="org.apache.derby.jdbc.EmbeddedDriver")
+    a, b = make("a"), make("b")
+    a.create_table()
+    a.acquire()
+    a.acquire()
+    with pytest.raises(locks.LockError, match="held by a"):
+        b.acquire()
+    now[0] += 61
+    stale = a._row()[2]
+    b.acquire()
+    assert not a.renew() and not a._set("a", 9e9, stale) and b.renew()
+    b.release()
+    make("c").acquire()
+
+
+def test_publish_modes_and_purge(spark, db):
+    assert merge.resolve_publish_mode(None, True, True, (), ()) == "MERGE" and merge.resolve_publish_mode(None, False, True, (), ()) == "FULL_OVERWRITE" and merge.resolve_publish_mode("partition_overwrite", True, False, ("p",), ("k",)) == "FULL_OVERWRITE"
+    for bad in (("PARTITION_OVERWRITE", True, True, (), ("k",)), ("PARTITION_OVERWRITE", True, True, ("p",), ("k",), "FULL_SNAPSHOT_ABSENCE"), ("OTHER", True, True, (), ())):
+        with pytest.raises(merge.MergeError):
+            merge.resolve_publish_mode(*bad)
+    spark.range(10).write.saveAsTable(f"{db}.t")
+    assert publish.purge(spark, f"{db}.t", spark.table(f"{db}.t").filter("id > 3"), dry_run=True) == 4 and spark.table(f"{db}.t").count() == 10
+    assert publish.purge(spark, f"{db}.t", spark.table(f"{db}.t").filter("id > 3")) == 4 and spark.table(f"{db}.t").count() == 6

@@ -167,6 +167,7 @@ def test_windows_of_a_database(spark, derby):
     assert jdbc.capture_upper(spark, pair) == ("WEST", "20")
     clock = source(derby, mode="INCREMENTAL", table="ORDERS", watermark=wm.WatermarkSpec(("UPDATED_TS",), ("TIMESTAMP",), wm.HALF_OPEN), upper_from="SOURCE_CLOCK")
     assert wm.parse("TIMESTAMP", jdbc.capture_upper(spark, clock)[0])
+    assert abs(jdbc.clock_drift(spark, clock)) < jdbc.DRIFT_SECONDS
     with pytest.raises(jdbc.JdbcError, match="half-open"):
         source(derby, mode="INCREMENTAL", table="ORDERS", watermark=wm.WatermarkSpec(("UPDATED_TS",), ("TIMESTAMP",), wm.HALF_OPEN))
 
@@ -236,3 +237,20 @@ def test_registry_and_introspection(spark, derby, tmp_path):
     assert introspect.preview(s) == '(SELECT * FROM "t" WHERE ("u" > 5)) src' and introspect.preview(source("jdbc:x", mode="CUSTOM_SQL")).startswith("-- no preview")
     problems, text = introspect.dry_run({"entity": "e", "source": {"type": "jdbc"}}, s)
     assert problems == ["raw.table is required"] and text
+
+
+def test_columns_of_feeds_without_contract(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "`Sub No` int, `A.b` int, c int")
+    assert files.legacy_columns(df, {"sub no": "id"}).columns == ["id", "A.b", "c"] and files.legacy_columns(df, normalize=True).columns == ["sub_no", "a_b", "c"]
+    assert tuple(files.legacy_columns(df, {"a_b": "x"}, ["C", "x"]).first()) == (3, 2)
+    for bad in (dict(aliases={"c": "a.B"}), dict(columns=["zz"])):
+        with pytest.raises(ContractError):
+            files.legacy_columns(df, **bad)
+
+
+def test_edges_of_several_files(spark, tmp_path):
+    write(tmp_path, a="h1\nx1\nx2\nt\n", b="h1\nt\n", c="only\n")
+    df = files.read_files(spark, str(tmp_path), files.FileFormat(header=False))
+    assert sorted(r._c0 for r in files.without_edges(df, 1, 1).collect()) == ["x1", "x2"] and files.without_edges(df, 0, 2).count() == 2 and files.without_edges(df).count() == 7
+    plan = files.without_edges(df, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
