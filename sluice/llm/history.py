@@ -158,6 +158,7 @@ def repeated_deliveries(deliveries: DataFrame, accepted: DataFrame, samples: Dat
     path of the history; ``samples`` path and content. A delivery that is no case is
     accepted itself and counts for later ones. Null checksums equal nothing; deliveries
     without content can only repeat exactly, contents without lines are near to nothing.
+    Repeated rows of one delivery give one row.
 
     Deliveries of equal checksum and content are one case after their first, so only the
     first of each such group is decided: against the history, then among each other in
@@ -165,7 +166,7 @@ def repeated_deliveries(deliveries: DataFrame, accepted: DataFrame, samples: Dat
     paired; pairs exist only between classes of different content.
     """
     files = cut(chunked(samples, "path", "content"))
-    named = files.select("path", "class")
+    named = files.groupBy("path").agg(F.min("class").alias("class"))  # a path that comes twice has one content
     old = accepted.join(named, "path", "left").select("checksum", "class")
     new = cut(deliveries.join(named, "path", "left").select("id", F.struct(F.coalesce("ts", F.lit(-(2**63))).alias("ts"), F.col("id").alias("id")).alias("at"), "checksum", "class"))
 
@@ -194,7 +195,7 @@ def repeated_deliveries(deliveries: DataFrame, accepted: DataFrame, samples: Dat
     out = lookup_join(out, classes, ["class"], "left", row_bytes=128)
     exact = F.coalesce(F.col("old_sum"), F.lit(False)) | F.coalesce(F.col("sum_at") < F.col("at"), F.lit(False))
     near = F.coalesce(F.col("old_class"), F.lit(False)) | F.coalesce(F.col("class_at") < F.col("at"), F.lit(False))
-    return out.filter(exact | near).select("id", F.when(exact, "exact").otherwise("near").alias("match_kind"))
+    return out.filter(exact | near).select("id", F.when(exact, "exact").otherwise("near").alias("match_kind")).distinct()
 
 
 def _accept_in_order(open_: DataFrame, links: DataFrame) -> DataFrame:

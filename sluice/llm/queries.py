@@ -35,12 +35,17 @@ def p3_currency(spark: SparkSession, root: str) -> DataFrame:
     return survivor.latest_values(records, canonical_id(F.col("subscriber_id")), "last_modified_ts", "curated_id", SURVIVOR_FIELDS)
 
 
+def _state(c: str):
+    """A status without surrounding white space, in upper case."""
+    return F.upper(F.regexp_replace(c, r"^\s+|\s+$", ""))
+
+
 def p4_found(spark: SparkSession, root: str) -> DataFrame:
     audit = table(spark, root, "ingest_file_audit")
-    deliveries = audit.filter(F.upper(F.trim("status")) == "VALIDATED").select(
+    deliveries = audit.filter(_state("status") == "VALIDATED").select(
         F.col("audit_id").alias("id"), micros_of(F.col("event_ts"), audit.schema["event_ts"].dataType).alias("ts"), checksum_key(F.col("checksum")).alias("checksum"), F.col("file_path").alias("path")
     )
-    accepted = table(spark, root, "ingest_file_registry").filter(F.upper(F.trim("status")) == "PROCESSED").select(checksum_key(F.col("checksum")).alias("checksum"), F.col("file_path").alias("path"))
+    accepted = table(spark, root, "ingest_file_registry").filter(_state("status") == "PROCESSED").select(checksum_key(F.col("checksum")).alias("checksum"), F.col("file_path").alias("path"))
     samples = table(spark, root, "file_sample").select(F.col("file_path").alias("path"), "content")
     return history.repeated_deliveries(deliveries, accepted, samples).select(F.col("id").alias("audit_id"), "match_kind")
 

@@ -84,6 +84,15 @@ def test_empty_tables(spark):
     assert run(spark, [(1, 1, "a", "p"), (2, 2, "a", "q")], [], []) == {(2, "exact")}
 
 
+def test_repeated_rows_and_paths(spark):
+    text = "a\nb\nc\nd\ne"
+    got = run(spark, [(1, 1, None, "p"), (2, 2, None, "q"), (2, 2, None, "q")], [], [("p", text), ("p", text), ("q", text)])
+    d = spark.createDataFrame([(1, 1, None, "p"), (2, 2, None, "q"), (2, 2, None, "q")], "id bigint, ts bigint, checksum string, path string")
+    s = spark.createDataFrame([("p", text), ("p", text), ("q", text)], "path string, content string")
+    a = spark.createDataFrame([], "checksum string, path string")
+    assert got == {(2, "near")} and h.repeated_deliveries(d, a, s).count() == 1
+
+
 def test_copies_never_become_pairs(spark):
     """Ten thousand copies, a third of them under one checksum, are decided by two representatives."""
     deliveries = [(i, i, "hot" if i % 3 == 0 else f"k{i}", "p") for i in range(10_000)]
