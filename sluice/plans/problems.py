@@ -56,7 +56,7 @@ def complete_windows(runs: DataFrame, entity: str = FEED_ENTITY) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
-    rows = table(spark, root, "health_sherpa_member").select(
+    rows = table(spark, root, "health_sherpa_member").filter(F.col("source_sequence_number").isNotNull()).select(
         canonical_id(F.col("subscriber_id")).alias("subscriber_id"),
         "source_sequence_number",
         instant_text_micros(F.col("extract_start_ts")).alias("w_start"),
