@@ -26,7 +26,7 @@ from sluice.operators import keys, ledger, merge, rejects, stamps
 from sluice.operators.contract import Contract, curated_gate, enforce, null_violations, type_changes
 from sluice.operators.ledger import Counts
 from sluice.operators.merge import MergeSpec
-from sluice.operators.publish import SHRINK_PERCENT, Guards, append_control, append_raw, drop_partitions, publish
+from sluice.operators.publish import DROP_CAP, SHRINK_PERCENT, Guards, append_control, append_raw, drop_partitions, publish
 from sluice.operators.rejects import RejectRule
 from sluice.operators.validate import cast_losses, content_violations
 from sluice.sources import raw
@@ -213,7 +213,7 @@ def curate(run: Run, landed: DataFrame) -> Counts:
             if not run.dry_run:
                 unique = f.spec.keys if f.spec and not f.keep_keyless else ()
                 guards = Guards(allow_empty=partitions is not None or (full and total == 0), unique_keys=unique, max_shrink_percent=None if full else SHRINK_PERCENT, shrink_base=None if partitions is None else merge.partition_slice(spark.table(f.curated_table), partitions).count())
-                gone = merge.emptied_partitions(partitions, out).collect() if partitions is not None else []
+                gone = merge.emptied_partitions(partitions, out).limit(DROP_CAP + 1).collect() if partitions is not None else []
                 publish(out.drop(merge.OUTCOME), f.curated_table, guards, partitions=f.spec.partition_columns if f.spec else (), scoped=partitions is not None)
                 if gone:
                     drop_partitions(spark, f.curated_table, spark.createDataFrame(gone, partitions.schema))

@@ -98,7 +98,13 @@ def p6_cells(spark: SparkSession, root: str) -> DataFrame:
     return drift.tagged_cells(table(spark, root, "member_file_row"), _header_columns(spark, root))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_state, p2_found, p2_valid, p2_by_file, p5_found, p5_units, p6_found, p6_table, p6_cells, p6_schema)}
+def header_resolve(spark: SparkSession, root: str) -> DataFrame:
+    """Every header with the column it means, by name or alias of the entity's contract."""
+    each = _header_columns(spark, root).select("header_id", F.explode("cols").alias("c"))
+    return each.select("header_id", F.col("c.col").alias("column_name"), F.col("c.name").alias("normalized"), F.col("c.type").alias("type"))
+
+
+QUERIES = {f.__name__: f for f in (header_resolve, p1_found, p1_state, p2_found, p2_valid, p2_by_file, p5_found, p5_units, p6_found, p6_table, p6_cells, p6_schema)}
 
 _KEY = CANONICAL_ID_SQL.format(c="subscriber_id")
 _KIND = CHANGE_KIND_SQL.format(c="last_modified_op")
@@ -139,6 +145,7 @@ _HEADERS = f"""known AS (SELECT entity, n, min(column_name) AS column_name FROM
  c AS (SELECT header_id, named.entity, event_ts, coalesce(column_name, named.n) AS col, arg_min(named.n, pos) AS n, arg_min(t, pos) AS t FROM named LEFT JOIN known ON known.entity = named.entity AND known.n = named.n GROUP BY 1, 2, 3, 4)"""
 
 SQL = {
+    "header_resolve": f"WITH {_HEADERS} SELECT header_id, col AS column_name, n AS normalized, t AS type FROM c WHERE n <> ''",
     "p1_found": f"WITH {_FEED} SELECT k AS subscriber_id, s AS source_sequence_number FROM last_change WHERE kind <> 2",
     "p1_state": f"WITH {_FEED} SELECT l.k AS subscriber_id, any_value(l.s) AS source_sequence_number, {', '.join(_COLUMN.format(c=c) for c in MEMBER_FEED.columns)} FROM last_change l JOIN feed f ON f.k = l.k WHERE l.kind <> 2 GROUP BY l.k",
     "p2_found": f"WITH {_PARSE} SELECT line_id, error_code FROM broken JOIN reject_rule ON rule = rule_name",

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from sluice.functions.hashing import file_id, record_hash
 from sluice.functions.text import canonical_id, normalized_header
 from sluice.operators import keys, ledger, merge, rejects, retention, stamps, validate, watermark
+from sluice.operators.contract import Contract, ContractColumn, apply_contract, resolve_header
 from sluice.plans import decks
 from sluice.plans.decks import CURATED, DECK, HASHED, KEYED, LANDED
 from sluice.session import table
-from sluice.sources import kafka, raw
+from sluice.sources import kafka, raw, sqltext
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -180,6 +181,15 @@ def merge_soft_delete(spark, root):
     return _audited(spark, root, spec).select("o_custkey", "is_deleted", "last_modified_op", F.col(merge.OUTCOME).alias("outcome"))
 
 
+_SOFT = f"m AS (SELECT t.o_custkey IS NULL OR coalesce({_FRESH}, false) AS wins, i.o_orderstatus = 'P' AS dead, t.o_custkey AS tk, i.o_custkey AS ik FROM ct t FULL JOIN ci i ON t.o_custkey = i.o_custkey)"
+
+
+@query(f"WITH {_AUDIT_DECK}, {_SOFT} SELECT count(*) FILTER (ik IS NOT NULL AND wins AND NOT dead AND tk IS NULL) AS inserted, count(*) FILTER (ik IS NOT NULL AND wins AND NOT dead AND tk IS NOT NULL) AS updated, count(*) FILTER (wins AND dead) AS deleted, count(*) FILTER (ik IS NOT NULL AND NOT wins) AS ignored FROM m")
+def merge_delete_counts(spark, root):
+    """Counters with tombstones: each key is exactly one of inserted, updated, deleted, ignored."""
+    return merge.outcome_counts(_audited(spark, root, replace(decks.MERGE, deletes="SOFT", indicator="o_orderstatus", indicator_values=("p",))))
+
+
 @query(f"""WITH {_MERGED}, k AS (SELECT CASE WHEN o_orderkey % 17 <> 0 THEN o_custkey END AS o_custkey, o_orderkey FROM orders WHERE o_orderkey % 3 = 0)
  SELECT count(*) FILTER (o_custkey IS NOT NULL) AS keyed, count(*) FILTER (o_custkey IS NULL) AS keyless, cast(sum(o_orderkey) FILTER (o_custkey IS NULL) AS bigint) AS keyless_sum FROM (SELECT o_custkey, o_orderkey FROM merged UNION ALL SELECT o_custkey, o_orderkey FROM k WHERE o_custkey IS NULL)""")
 def merge_passthrough_keyless(spark, root):
@@ -355,6 +365,14 @@ def reject_payload_modes(spark, root):
     return table(spark, root, "supplier").select("s_suppkey", rejects.payload(cols, "MASKED", sensitive=hide).alias("masked"), rejects.payload(cols, "HASHED", sensitive=hide).alias("hashed"), rejects.payload(cols, "KEYS_ONLY", keys=["s_suppkey"]).alias("keys_only"))
 
 
+@query(f"WITH {_REJECT_DECK}, old AS (SELECT o_orderkey, error_code, CASE WHEN o_orderkey % 2 = 0 THEN 'r1' ELSE 'r2' END AS run_id FROM c WHERE error_code IS NOT NULL) SELECT * FROM old WHERE run_id <> 'r1' UNION ALL SELECT o_orderkey, 'R_NEW', 'r1' FROM old WHERE run_id = 'r1'")
+def reject_slice_replace(spark, root):
+    """A stage that runs again replaces its own slice of the reject table, if it differs."""
+    bad = rejects.split(_reject_input(spark, root), _RULES)[1]
+    old = bad.select("o_orderkey", "error_code", F.when(F.col("o_orderkey") % 2 == 0, "r1").otherwise("r2").alias("run_id"))
+    return rejects.replaced_slice(old, old.filter("run_id = 'r1'").withColumn("error_code", F.lit("R_NEW")), {"run_id": "r1"})
+
+
 _CONTENT = {
     "c_name": validate.ContentRule(regex=r"^Customer#0*[1-9][0-9]*[02468]$"),
     "c_mktsegment": validate.ContentRule(allowed_values=("BUILDING", "MACHINERY"), max_length=9),
@@ -385,9 +403,50 @@ def control_total(spark, root):
     return validate.control_total(table(spark, root, "lineitem"), "sum(cast(l_quantity AS decimal(18,2)))")
 
 
+@query()
+def content_sample(spark, root):
+    """The sampling operator for cheap content checks: about 100 customers."""
+    return validate.sample_rows(table(spark, root, "customer"), 100)
+
+
+@query()
+def partition_skew(spark, root):
+    return validate.partition_skew(table(spark, root, "lineitem"))
+
+
 # projections
 
 
+@query("SELECT s_suppkey, TIMESTAMP '2024-01-01' AS create_timestamp, TIMESTAMP '2024-01-01' AS last_modified_ts, 'I' AS last_modified_op FROM supplier")
+def audit_stamp(spark, root):
+    return stamps.stamp_audit(table(spark, root, "supplier").select("s_suppkey"), F.lit("2024-01-01").cast("timestamp_ntz"))
+
+
+@query("SELECT s_suppkey AS supplier, s_name AS label, 'none' AS note FROM supplier")
+def contract_rename_defaults(spark, root):
+    """Headers under their contract names, an absent optional column with its default."""
+    c = Contract((ContractColumn("supplier", aliases=("s suppkey",)), ContractColumn("label", aliases=("S_NAME",)), ContractColumn("note", required=False, default="none")))
+    d = table(spark, root, "supplier").select("s_suppkey", "s_name")
+    return apply_contract(d, c, resolve_header(c, d.columns))
+
+
+@query("SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_custkey >= 100 AND c_name LIKE '%7%'")
+def structured_filter(spark, root):
+    spark_sql = sqltext.Dialect("spark", "`", "`")
+    filters = (sqltext.Filter("c_mktsegment", "IN", ["BUILDING", "MACHINERY"]), sqltext.Filter("c_custkey", ">=", 100, "NUMBER"), sqltext.Filter("c_name", "LIKE", "%7%"))
+    d = table(spark, root, "customer")
+    for f in filters:
+        d = d.filter(F.expr(f.render(spark_sql)))
+    return d.select("c_custkey", "c_mktsegment")
+
+
+@query("SELECT event_type, count(*) AS n FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND user_id <> 3 GROUP BY 1")
+def sql_template(spark, root):
+    """A template with typed parameters, checked to be one SELECT."""
+    text = sqltext.render_template("SELECT event_type, count(*) AS n FROM {e} WHERE ts >= cast(:since AS timestamp_ntz) AND user_id <> :u GROUP BY event_type", sqltext.resolve_parameters({"since": {"value": "2024-01-10 00:00:00", "type": "TIMESTAMP"}, "u": {"value": 3, "type": "NUMBER"}}, {}, {}))
+    return spark.sql(sqltext.single_select(text), e=table(spark, root, "events"))
+
+
 @query("SELECT cast(c_custkey AS varchar) AS c_custkey, c_name, cast(NULL AS date) AS first_seen, 'NEW' AS segment_state, try_cast(c_name AS int) AS name_number FROM (SELECT c_custkey, c_name FROM customer)")
 def align_to_target(spark, root):
     from pyspark.sql import types as T
