@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from sluice.plans import problems, reference
+from sluice.plans import ingestion, problems
 
 FLAGSHIP = "merge_freshness_rows"
-QUERIES = reference.QUERIES | problems.QUERIES
-SQL = reference.SQL | problems.SQL
+QUERIES = ingestion.QUERIES | problems.QUERIES
+SQL = ingestion.SQL | problems.SQL

@@ -14,18 +14,35 @@ ORDER = "o_orderdate desc,o_orderkey desc"
 MERGE = MergeSpec(keys=("o_custkey",), freshness="o_orderdate", tie_breakers=("o_orderkey",))
 
 
+#: Which orders arrive and which are there already; every order is one or the other. Customers of one segment are new, those of another are left alone.
+ARRIVES = "coalesce(c_mktsegment = 'BUILDING' OR (c_mktsegment <> 'MACHINERY' AND o_orderpriority IN ('1-URGENT', '2-HIGH')), false)"
+
+
+def _by_role(spark: SparkSession, root: str, arrives: bool) -> DataFrame:
+    orders = table(spark, root, "orders")
+    segments = table(spark, root, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    return orders.join(segments, "o_custkey", "left").filter(ARRIVES if arrives else f"NOT {ARRIVES}").select(*orders.columns)
+
+
+def arriving_orders(spark: SparkSession, root: str) -> DataFrame:
+    """All orders that arrive, several of a customer."""
+    return _by_role(spark, root, True)
+
+
 def incoming_orders(spark: SparkSession, root: str) -> DataFrame:
-    """Every third order, the latest of each customer."""
-    return latest_per_key(table(spark, root, "orders").filter("o_orderkey % 3 = 0"), ["o_custkey"], ORDER)
+    """The latest arriving order of each customer."""
+    return latest_per_key(arriving_orders(spark, root), ["o_custkey"], ORDER)
 
 
 def target_orders(spark: SparkSession, root: str) -> DataFrame:
-    """The other orders of nine in ten customers, the latest of each."""
-    return latest_per_key(table(spark, root, "orders").filter("o_orderkey % 3 <> 0 AND o_custkey % 10 <> 0"), ["o_custkey"], ORDER)
+    """The latest of each customer among the orders that are there already."""
+    return latest_per_key(_by_role(spark, root, False), ["o_custkey"], ORDER)
 
 
-_LATEST = "SELECT * FROM orders WHERE {w} QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC NULLS LAST) = 1"
-DECK = f"inc AS ({_LATEST.format(w='o_orderkey % 3 = 0')}), tgt AS ({_LATEST.format(w='o_orderkey % 3 <> 0 AND o_custkey % 10 <> 0')})"
+_LATEST = "SELECT * FROM {t} QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC NULLS LAST) = 1"
+DECK = f"""roles AS (SELECT o.*, {ARRIVES} AS arrives FROM orders o LEFT JOIN customer ON c_custkey = o_custkey),
+ arriving AS (SELECT * EXCLUDE (arrives) FROM roles WHERE arrives), there AS (SELECT * EXCLUDE (arrives) FROM roles WHERE NOT arrives),
+ inc AS ({_LATEST.format(t='arriving')}), tgt AS ({_LATEST.format(t='there')})"""
 
 
 def audited(df: DataFrame, created: str, op: str) -> DataFrame:

@@ -190,11 +190,10 @@ def merge_delete_counts(spark, root):
     return merge.outcome_counts(_audited(spark, root, replace(decks.MERGE, deletes="SOFT", indicator="o_orderstatus", indicator_values=("p",))))
 
 
-@query(f"""WITH {_MERGED}, k AS (SELECT CASE WHEN o_orderkey % 17 <> 0 THEN o_custkey END AS o_custkey, o_orderkey FROM orders WHERE o_orderkey % 3 = 0)
+@query(f"""WITH {_MERGED}, k AS (SELECT CASE WHEN o_orderkey % 17 <> 0 THEN o_custkey END AS o_custkey, o_orderkey FROM arriving)
  SELECT count(*) FILTER (o_custkey IS NOT NULL) AS keyed, count(*) FILTER (o_custkey IS NULL) AS keyless, cast(sum(o_orderkey) FILTER (o_custkey IS NULL) AS bigint) AS keyless_sum FROM (SELECT o_custkey, o_orderkey FROM merged UNION ALL SELECT o_custkey, o_orderkey FROM k WHERE o_custkey IS NULL)""")
 def merge_passthrough_keyless(spark, root):
-    orders = table(spark, root, "orders")
-    batch = orders.filter("o_orderkey % 3 = 0").withColumn("o_custkey", F.when(F.col("o_orderkey") % 17 != 0, F.col("o_custkey")))
+    batch = decks.arriving_orders(spark, root).withColumn("o_custkey", F.when(F.col("o_orderkey") % 17 != 0, F.col("o_custkey")))
     keyless = keys.split_blank_keys(batch, ["o_custkey"])[1]
     target = decks.target_orders(spark, root)
     m = merge.with_passthrough(merge.merge(decks.incoming_orders(spark, root), target, decks.MERGE), keyless, target.columns)
@@ -216,11 +215,11 @@ def full_absence_tombstones(spark, root):
 
 
 _SCOPED = replace(decks.MERGE, partition_columns=("o_orderpriority",))
-_HEAD = "inc2 AS (SELECT * FROM inc WHERE o_custkey % 50 = 0 AND o_orderpriority <> '5-LOW'), parts AS (SELECT o_orderpriority FROM inc2 UNION SELECT t.o_orderpriority FROM tgt t JOIN inc2 i ON t.o_custkey = i.o_custkey)"
+_HEAD = "inc2 AS (SELECT * FROM inc WHERE o_orderpriority = '1-URGENT'), parts AS (SELECT o_orderpriority FROM inc2 UNION SELECT t.o_orderpriority FROM tgt t JOIN inc2 i ON t.o_custkey = i.o_custkey)"
 
 
 def _scoped_inputs(spark, root):
-    return decks.incoming_orders(spark, root).filter("o_custkey % 50 = 0 AND o_orderpriority <> '5-LOW'"), decks.target_orders(spark, root)
+    return decks.incoming_orders(spark, root).filter("o_orderpriority = '1-URGENT'"), decks.target_orders(spark, root)
 
 
 @query(f"WITH {DECK}, {_HEAD} SELECT * FROM parts")
@@ -277,16 +276,17 @@ def partition_slice_literals(spark, root):
 # landing
 
 
-@query(f"WITH {LANDED}, batch AS (SELECT * FROM landed WHERE event_id % 2 = 0), old AS (SELECT * FROM landed WHERE event_id % 3 = 0) SELECT b.* FROM batch b ANTI JOIN old o ON b.event_id IS NOT DISTINCT FROM o.event_id AND b.modified_ts IS NOT DISTINCT FROM o.modified_ts")
+@query(f"WITH {LANDED}, batch AS (SELECT * FROM landed WHERE modified_ts >= TIMESTAMP '2024-01-10'), old AS (SELECT * FROM landed WHERE modified_ts < TIMESTAMP '2024-01-20') SELECT b.* FROM batch b ANTI JOIN old o ON b.event_id IS NOT DISTINCT FROM o.event_id AND b.modified_ts IS NOT DISTINCT FROM o.modified_ts")
 def raw_dedup_append(spark, root):
+    """An extract that overlaps what has landed."""
     landed = decks.landed_events(spark, root)
-    return raw.not_landed(landed.filter("event_id % 2 = 0"), landed.filter("event_id % 3 = 0"), ["event_id", "modified_ts"])
+    return raw.not_landed(landed.filter("modified_ts >= TIMESTAMP_NTZ '2024-01-10 00:00:00'"), landed.filter("modified_ts < TIMESTAMP_NTZ '2024-01-20 00:00:00'"), ["event_id", "modified_ts"])
 
 
-@query(f"WITH {LANDED}, b AS (SELECT *, sha256(source_file) AS file_id FROM landed) SELECT event_id, source_file, file_id FROM b WHERE file_id NOT IN (SELECT file_id FROM b WHERE event_id % 4 = 1)")
+@query(f"WITH {LANDED}, b AS (SELECT *, sha256(source_file) AS file_id FROM landed) SELECT event_id, source_file, file_id FROM b WHERE file_id NOT IN (SELECT file_id FROM b WHERE source_file = 'file_1')")
 def raw_exclude_loaded_files(spark, root):
     landed = decks.landed_events(spark, root).withColumn("file_id", file_id(F.col("source_file")))
-    return raw.without_loaded_files(landed, landed.filter("event_id % 4 = 1"))[0].select("event_id", "source_file", "file_id")
+    return raw.without_loaded_files(landed, landed.filter("source_file = 'file_1'"))[0].select("event_id", "source_file", "file_id")
 
 
 @query(f"WITH {LANDED} SELECT user_id, date_trunc('day', modified_ts) AS version, count(*) AS n_rows FROM landed GROUP BY ALL HAVING count(*) > 1")
@@ -305,10 +305,10 @@ def raw_counts_by_run(spark, root):
     return raw.counts_by_run(decks.landed_events(spark, root))
 
 
-@query(f"WITH {LANDED} SELECT DISTINCT sha256(source_file) AS file_id FROM landed WHERE event_id % 4 = 1")
+@query(f"WITH {LANDED} SELECT DISTINCT sha256(source_file) AS file_id FROM landed WHERE source_file = 'file_1'")
 def raw_loaded_file_ids(spark, root):
     landed = decks.landed_events(spark, root).withColumn("file_id", file_id(F.col("source_file")))
-    return raw.without_loaded_files(landed, landed.filter("event_id % 4 = 1"))[1]
+    return raw.without_loaded_files(landed, landed.filter("source_file = 'file_1'"))[1]
 
 
 @query("SELECT s_suppkey, sha256(concat_ws(chr(1), cast(s_name AS varchar), cast(s_nationkey AS varchar), cast(s_suppkey AS varchar))) AS record_hash FROM supplier")
@@ -491,7 +491,7 @@ def repeated_header_drop(spark, root):
     from sluice.sources.files import without_repeated_headers
 
     n = table(spark, root, "nation").select(F.col("n_nationkey").cast("string").alias("k"), F.col("n_name").alias("v"))
-    again = n.limit(1).select(F.lit("k").alias("k"), F.lit("v").alias("v"))
+    again = spark.createDataFrame([("K ", "v")], "k string, v string")
     return without_repeated_headers(n.unionByName(again)).select(F.col("k").cast("bigint").alias("k"), "v")
 
 
@@ -621,9 +621,9 @@ def ledger_window_continuity(spark, root):
     return ledger.window_continuity(table(spark, root, "ingest_run_audit"))
 
 
-@query(f"WITH {_MERGED}, n AS (SELECT count(*) AS accepted FROM orders WHERE o_orderkey % 3 = 0) SELECT n.accepted, count(*) FILTER (outcome = 'inserted') AS inserted, count(*) FILTER (outcome = 'updated') AS updated, count(*) FILTER (outcome = 'ignored') AS ignored, n.accepted - count(*) FILTER (outcome <> 'unchanged') AS deduped, true AS accounted FROM merged, n GROUP BY n.accepted")
+@query(f"WITH {_MERGED}, n AS (SELECT count(*) AS accepted FROM arriving) SELECT n.accepted, count(*) FILTER (outcome = 'inserted') AS inserted, count(*) FILTER (outcome = 'updated') AS updated, count(*) FILTER (outcome = 'ignored') AS ignored, n.accepted - count(*) FILTER (outcome <> 'unchanged') AS deduped, true AS accounted FROM merged, n GROUP BY n.accepted")
 def reconcile_identity(spark, root):
-    orders = table(spark, root, "orders").filter("o_orderkey % 3 = 0")
+    orders = decks.arriving_orders(spark, root)
     m = merge.merge(decks.incoming_orders(spark, root), decks.target_orders(spark, root), decks.MERGE)
     keys_ = orders.agg(F.count(F.lit(1)).alias("accepted"), F.countDistinct("o_custkey").alias("n_keys"))
     both = merge.outcome_counts(m).join(keys_)
