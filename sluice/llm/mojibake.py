@@ -13,7 +13,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ CODE_POINTS = 0x110000
 HELD_OUT = 2_000
 HELD_OUT_SHARE = 10
 LEAST_MARGIN = 4.0
-#: A single-byte chain needs so many changed characters in a record: one rare character is no evidence.
+#: Single-byte chains that change fewer characters in a record need a margin of their own: one rare character is weak evidence.
 LEAST_CHANGED = 3
 
 #: Non-ASCII characters with at most six printable ASCII ones between; up to three on either side belong to the cluster.
@@ -194,24 +194,47 @@ class Rewriting:
     chain: str = ""
     changed: int = 0
     per_character: float = 0.0
+    #: every single-byte chain that gives this text
+    agreeing: tuple[str, ...] = ()
+    #: the likelier refilled text that counts where a single-byte chain has little evidence
+    instead: Rewriting | None = None
 
     @property
     def single_byte(self) -> bool:
         return bool(self.chain) and not self.chain.endswith(">utf-8")
 
 
+def evidence(found: Iterable[Rewriting]) -> dict[str, int]:
+    """How many characters of a record each single-byte chain explains, for all chains that give the text.
+
+    Every occurrence counts, but one that refilling explains better only once: it is restored either way.
+    """
+    out: dict[str, int] = {}
+    found = list(found)
+    for r in [*(r for r in found if not r.instead), *{r.text: r for r in found if r.instead}.values()]:
+        for chain in r.agreeing:
+            out[chain] = out.get(chain, 0) + r.changed
+    return out
+
+
+def _short(r: Rewriting, explained: dict[str, int]) -> bool:
+    return r.single_byte and max(explained[c] for c in r.agreeing) < LEAST_CHANGED
+
+
 @dataclass
 class Model:
     """Interpolated character trigrams in tables of fixed size (about 27 MB as 32-bit counts).
 
-    ``margin`` is the gain a rewriting needs, ``floor`` the likelihood per character
-    below which what comes out is no text either.
+    ``margin`` is the gain a rewriting needs, ``short_margin`` that of a single-byte chain
+    with fewer than ``LEAST_CHANGED`` characters in the record, ``floor`` the likelihood
+    per character below which what comes out is no text either.
     """
 
     counts: np.ndarray
     residues: dict[str, tuple[str, ...]] = field(default_factory=dict)
     margin: float = LEAST_MARGIN
     floor: float = -math.inf
+    short_margin: float = LEAST_MARGIN
     cache: dict[str, Rewriting] = field(default_factory=dict)
 
     def __post_init__(self):
@@ -252,11 +275,16 @@ class Model:
                 s = scored(new)
                 if s - base > got.gain:
                     got = Rewriting(new, s - base, chain, sum(x != y for x, y in zip(cluster, new, strict=False)), s / len(new))
+            single, refill = got if got.single_byte else None, None
             for new in self._refilled(cluster, scored):
                 base = scored(cluster) if base is None else base
                 s = scored(new)
-                if s - base > max(2 * got.gain if got.single_byte else got.gain, 2 * self.margin):
-                    got = Rewriting(new, s - base, LOSSY, 1, s / len(new))
+                if s - base > max(got.gain if refill is None else refill.gain, 2 * self.margin):
+                    refill = Rewriting(new, s - base, LOSSY, 1, s / len(new))
+            if refill and (single is None or refill.gain > 2 * single.gain):
+                got = refill
+            elif single:
+                got = replace(got, instead=refill, agreeing=tuple(f"{r}>{w}" for (r, w), table in _SINGLE.items() if cluster.translate(table) == got.text))
             if len(self.cache) > 200_000:
                 self.cache.clear()
             if len(cluster) <= 200:
@@ -286,13 +314,13 @@ class Model:
         likely = {c: r for c in {text[a:b] for a, b in spans} if (r := self.best(c)).gain > self.margin}
         if not likely:
             return text, 0, len(_LOST.findall(text))
-        evidence: dict[str, int] = {}
-        for r in likely.values():
-            evidence[r.chain] = evidence.get(r.chain, 0) + r.changed
+        explained = evidence(likely[c] for a, b in spans if (c := text[a:b]) in likely)
         parts, at, restored, lost = [], 0, 0, 0
         for a, b in spans:
             r = likely.get(text[a:b])
-            if r is None or r.single_byte and evidence[r.chain] < LEAST_CHANGED:
+            if r is not None and _short(r, explained):
+                r = r.instead or (r if r.gain > self.short_margin else None)
+            if r is None:
                 continue
             if r.single_byte and (r.per_character < self.floor or _MIXED.search(r.text)):
                 lost += 1
@@ -402,24 +430,27 @@ def train(documents: DataFrame, text: str = "text") -> Model:
             yield pa.RecordBatch.from_arrays([pa.array([t for t in b.column(0).to_pylist() if not t.isascii() and not test.garbled(t)], pa.string())], [text])
 
     sample = [r[0] for r in rows.filter(held).mapInArrow(keep_clean, f"{text} string").orderBy(F.xxhash64(text)).limit(HELD_OUT).collect()]
-    model.margin, model.floor = validated(model, sample)
+    model.margin, model.floor, model.short_margin = validated(model, sample)
     return model
 
 
-def validated(model: Model, clean: list[str]) -> tuple[float, float]:
-    """Margin and floor from clean records.
+def validated(model: Model, clean: list[str]) -> tuple[float, float, float]:
+    """Margin, floor and the margin of short passages from clean records.
 
     The margin is half as much again as the largest gain any rewriting has in all but one
     in 200 of them (a few garbled records may have passed as clean); the floor is the
-    likelihood per character that all but one in 200 of their clusters reach.
+    likelihood per character that all but one in 200 of their clusters reach. The margin
+    of short passages is the same of all gains of single-byte chains, few changes included.
     """
-    gains, each = [], []
+    gains, single, each = [], [], []
     for t in clean:
-        own = clusters(t)
-        each += [model.score(c) / len(c) for c in own]
-        gains.append(max((r.gain for c in own if not (r := model.best(c)).single_byte or r.changed >= LEAST_CHANGED), default=0.0))
-    margin = 1.5 * float(np.quantile(gains, 0.995, method="lower")) if gains else 0.0
-    return max(LEAST_MARGIN, margin), float(np.quantile(each, 0.005)) if each else -math.inf
+        found = [model.best(t[a:b]) for a, b in cluster_spans(t)]
+        each += [model.score(c) / len(c) for c in clusters(t)]
+        explained = evidence(found)
+        gains.append(max((r.gain for r in found if not _short(r, explained)), default=0.0))
+        single.append(max((r.gain for r in found if r.single_byte), default=0.0))
+    margin, short = (max(LEAST_MARGIN, 1.5 * float(np.quantile(g, 0.995, method="lower"))) if g else LEAST_MARGIN for g in (gains, single))
+    return margin, float(np.quantile(each, 0.005)) if each else -math.inf, max(margin, short)
 
 
 def repair_corpus(documents: DataFrame, model: Model, doc: str = "doc_id", text: str = "text") -> DataFrame:

@@ -60,6 +60,26 @@ def test_twice_garbled(model):
     assert model.repair(garble(once, ("cp1252", "utf-8")))[0] == SENTENCES[0]
 
 
+def test_every_occurrence_is_evidence(model):
+    assert model.repair("Plain words " + "fьr " * 10 + "end") == ("Plain words " + "für " * 10 + "end", 10, 0)
+
+
+def test_repeats_of_a_likelier_refill_are_no_evidence_for_a_chain():
+    filled = mb.Rewriting("–", 19.7, mb.LOSSY, 1)
+    letter = mb.Rewriting("в", 18.3, "cp1252>cp1251", 1, agreeing=("cp1252>cp1251",), instead=filled)
+    assert mb.evidence([letter] * 5) == {"cp1252>cp1251": 1} and mb.evidence([mb.replace(letter, instead=None)] * 5) == {"cp1252>cp1251": 5}
+
+
+def test_chains_that_agree_share_their_evidence(model):
+    words = "kolumna będzie później"
+    assert model.repair("Plain words. " + garble(words, ("cp1252", "iso8859_2")) + " kolumna")[0] == f"Plain words. {words} kolumna"
+
+
+def test_a_short_passage_is_judged_by_its_gain(model):
+    assert model.short_margin >= model.margin
+    assert model.repair("Plain words. " + garble("Überprüfung", ("cp1251", "cp1252")))[0] == "Plain words. Überprüfung"
+
+
 def test_lost_characters_are_found(model):
     assert model.repair("Qui�n cambi� el nombre")[2] == 2
     assert model.repair("Itâs the vendorâs summary, itâs")[1] > 0
