@@ -236,18 +236,22 @@ class Model:
     floor: float = -math.inf
     short_margin: float = LEAST_MARGIN
     cache: dict[str, Rewriting] = field(default_factory=dict)
+    fills: dict[tuple[str, str], tuple[str, int]] = field(default_factory=dict)
 
     def __post_init__(self):
         self.total = float(self.counts[:CODE_POINTS].sum()) + 1.0
 
     def __getstate__(self):
-        return self.__dict__ | {"cache": {}}
+        return self.__dict__ | {"cache": {}, "fills": {}}
 
-    def score(self, text: str) -> float:
-        """Log likelihood of the characters of a cluster."""
+    def score(self, text: str, skip: int = 0, least: float = -math.inf) -> float:
+        """Log likelihood of the characters of a cluster behind the first ``skip``; no further than to where it isn't above ``least`` any more."""
         n, total, a, b, out = self.counts, self.total, -1, -1, 0.0
-        for ch in normal(text):
+        for at, ch in enumerate(normal(text)):
             c = ord(ch)
+            if at < skip:
+                a, b = b, c
+                continue
             p = (float(n[c]) + 0.05) / (total + 0.05 * 150_000)
             if b >= 0:
                 pair = float(n[CODE_POINTS + _bi(b, c)])
@@ -257,6 +261,8 @@ class Model:
                     triple = min(float(n[CODE_POINTS + (1 << BI_BITS) + _tri(a, b, c)]), before)
                     p = (triple + 5.0 * p) / (before + 5.0)
             out += math.log(p)
+            if out <= least:
+                break
             a, b = b, c
         return out
 
@@ -276,7 +282,7 @@ class Model:
                 if s - base > got.gain:
                     got = Rewriting(new, s - base, chain, sum(x != y for x, y in zip(cluster, new, strict=False)), s / len(new))
             single, refill = got if got.single_byte else None, None
-            for new in self._refilled(cluster, scored):
+            for new in self._refilled(cluster, left, right):
                 base = scored(cluster) if base is None else base
                 s = scored(new)
                 if s - base > max(got.gain if refill is None else refill.gain, 2 * self.margin):
@@ -291,21 +297,40 @@ class Model:
                 self.cache[cluster] = got
         return got
 
-    def _refilled(self, cluster: str, scored) -> Iterator[str]:
-        """The cluster with each residue of a character that lost bytes replaced by the likeliest such character the corpus has after the one before."""
+    def _refilled(self, cluster: str, left: str, right: str) -> Iterator[str]:
+        """The cluster with each residue of a character that lost bytes replaced by the likeliest known character that leaves it."""
         if len(cluster) > 200 or not any(r in cluster for r in self.residues):
             return
         for start in {cluster, _rewrite(cluster, utf8_units(cluster, "latin-1")), _rewrite(cluster, utf8_units(cluster, "cp1252"))}:
-            t, i = start, 0
-            while i < len(t):
-                options, before = [t], ord(normal(t[i - 1])) if i else ord(" ")
-                for n in (1, 2, 3):
-                    options += [t[:i] + ch + t[i + n :] for ch in self.residues.get(t[i : i + n], ()) if i + n <= len(t) and self.counts[CODE_POINTS + _bi(before, ord(ch))]]
-                t = max(options, key=scored) if len(options) > 1 else t
-                i += 1
-            if t != start:
+            done, head, i, n = [], left, 0, len(start)
+            while i < n:
+                ch, k = start[i], 1
+                if any(start[i : i + m] in self.residues for m in (1, 2, 3)):
+                    # all that a replacement of up to three characters can change the likelihood of
+                    end = i + 5
+                    while end < n and len(normal(start[i + 3 : end])) < 2:
+                        end += 1
+                    ch, k = self._fill(head, start[i:end] + right * (end >= n))
+                done.append(ch)
+                head, i = normal(head + ch)[-2:], i + k
+            if (t := "".join(done)) != start:
                 yield t
 
+    def _fill(self, head: str, window: str) -> tuple[str, int]:
+        """(likeliest character, characters it replaces) at the start of a window behind ``head``; its first one if nothing is likelier."""
+        got = self.fills.get((head, window))
+        if got is None:
+            got, best, skip = (window[0], 1), self.score(head + window, len(head)), len(head)
+            for k in (1, 2, 3):
+                for ch in self.residues.get(window[:k], ()) if k <= len(window) else ():
+                    s = self.score(head + ch + window[k:], skip, best)
+                    if s > best:
+                        got, best = (ch, k), s
+            if len(self.fills) > 500_000:
+                self.fills.clear()
+            self.fills[head, window] = got
+        return got
+
     def repair(self, text: str) -> tuple[str, int, int]:
         """(restored text, clusters restored, characters and clusters that are lost for good)."""
         if text.isascii():

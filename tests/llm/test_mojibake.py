@@ -85,6 +85,24 @@ def test_lost_characters_are_found(model):
     assert model.repair("Itâs the vendorâs summary, itâs")[1] > 0
 
 
+def test_dropped_bytes_are_refilled_behind_characters_the_corpus_has_not_before_them(model):
+    got, restored, _ = model.repair("Plain words and Quizâs plan.")
+    assert restored == 1 and got.isascii() is False and "â" not in got
+
+
+@pytest.mark.parametrize("cluster", ["Quizâs", "âsummaryâ", "vendorâs", "lâétapeâ\xa0x", "ââ\u3000\u3000â", "Ã©tapeâs", "â"])
+def test_local_scores_refill_as_whole_ones_do(model, cluster):
+    left, right = " " * (cluster[0] > "~"), " " * (cluster[-1] > "~")
+    want = set()
+    for start in {cluster, *(mb._rewrite(cluster, mb.utf8_units(cluster, c)) for c in ("latin-1", "cp1252"))}:
+        t = start
+        for i in range(len(start)):
+            options = [t] + [t[:i] + ch + t[i + n :] for n in (1, 2, 3) if i + n <= len(t) for ch in model.residues.get(t[i : i + n], ())]
+            t = max(options, key=lambda o: round(model.score(left + o + right), 9))
+        want |= {t} - {start}
+    assert set(model._refilled(cluster, left, right)) == want
+
+
 def test_every_record_comes_out(spark, model):
     rows = [(1, None, "x"), (2, "", "x"), (3, "ascii only", "x"), (4, garble(SENTENCES[3], ("cp1252", "utf-8")), "x"), (5, SENTENCES[3] * 2000, "x")]
     got = {r.doc_id: (r.text, r.n_restored > 0, r.n_lost) for r in mb.repair_corpus(spark.createDataFrame(rows, "doc_id bigint, text string, extra string"), model).collect()}
