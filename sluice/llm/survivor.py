@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from sluice.functions.instants import micros_of
 from sluice.functions.order import OrderTerm, parse_terms
 from sluice.operators.ordered import previous_row
+from sluice.session import cut
 
 #: Texts that stand for "no value", in lower case. Values without any letter or digit stand for it too.
 NO_VALUE = (
@@ -125,26 +126,66 @@ def learn_precedence(values: DataFrame) -> DataFrame:
     return net.select("field_name", "level", F.when(F.col("net") > 0, F.col("low")).otherwise(F.col("high")).alias("older"), F.when(F.col("net") > 0, F.col("high")).otherwise(F.col("low")).alias("newer"), (F.abs("net") / F.col("seen")).alias("share"), "seen")
 
 
+def group_edges(nodes: DataFrame, learnt: DataFrame) -> DataFrame:
+    """(key, field_name, older, newer) between values of one group, as learnt of the values, else of their shapes."""
+    group = ["key", "field_name"]
+    shaped = nodes.select(*group, "value", value_shape(F.col("value")).alias("shape"))
+
+    def within(level: str) -> DataFrame:
+        own = shaped.select(*group, F.col(level).alias("older")).distinct()
+        after = own.join(learnt.filter(F.col("level") == level).select("field_name", "older", "newer"), ["field_name", "older"])
+        return after.join(own.withColumnRenamed("older", "newer"), [*group, "newer"]).select(*group, "older", "newer")
+
+    exact = cut(within("value"))
+    sides = [shaped.select(*group, F.col("shape").alias(f"{side}_shape"), F.col("value").alias(side)) for side in ("older", "newer")]
+    shapes = within("shape").withColumnsRenamed({"older": "older_shape", "newer": "newer_shape"})
+    by_shape = shapes.join(sides[0], [*group, "older_shape"]).join(sides[1], [*group, "newer_shape"]).select(*group, "older", "newer")
+    settled = exact.select(*group, F.explode(F.array(F.struct("older", "newer"), F.struct(F.col("newer").alias("older"), F.col("older").alias("newer")))).alias("e")).select(*group, "e.*")
+    return exact.unionByName(by_shape.join(settled, [*group, "older", "newer"], "left_anti"))
+
+
+def closure(edges: DataFrame) -> DataFrame:
+    """All (key, field_name, older, newer) joined by a path of edges; the length covered doubles with each round."""
+    group, pair = ["key", "field_name"], ["key", "field_name", "older", "newer"]
+    # distinct stands on an exchange of its own, never on the union itself
+    reach = cut(edges.repartition(*[F.col(c) for c in pair]).distinct())
+    n, before = reach.count(), 0
+    while n > before:
+        on = reach.select(*group, F.col("older").alias("via"), "newer")
+        longer = reach.withColumnRenamed("newer", "via").join(on, [*group, "via"]).select(*pair)
+        reach = cut(reach.unionByName(longer).repartition(*[F.col(c) for c in pair]).distinct())
+        n, before = reach.count(), n
+    return reach
+
+
 def latest_values(df: DataFrame, key: Column, time: str, identity: str, fields: list[str]) -> DataFrame:
     """Per key and field the most current value by timestamps and, where those are missing, by learnt precedence.
 
     The newest dated value is the group's anchor. An undated value is more current than
     the anchor only if the learnt precedence (of the values, else of their shapes) puts
-    it after; without any dated value all undated values compete. Among the values that
-    remain, the one that most others precede is taken (latest in the topological order),
-    then the newest, then the smallest identity. Distances are taken against the anchor,
-    never between all pairs of a group.
+    it after, over other undated values if need be; without any dated value all undated
+    values compete. Among the values that compete, the one that most others precede,
+    directly or not, is taken (latest in the topological order), then the newest, then
+    the smallest identity; values of a cycle precede each other. Pairs of a group are
+    formed only where the precedence has one.
     """
-    values = _long(df, key, time, identity, fields)
-    learnt = learn_precedence(values)
+    group = ["key", "field_name"]
+    values = cut(_long(df, key, time, identity, fields))
+    learnt = cut(learn_precedence(values))
     at = F.struct(F.col("t").isNotNull(), F.col("t"), -F.col("id"))
-    anchors = values.groupBy("key", "field_name").agg(F.max_by(F.struct("value", "t", "id"), at).alias("anchor"), F.count(F.lit(1)).alias("n_values"))
-    j = values.join(anchors, ["key", "field_name"])
-    edges = learnt.select("field_name", "level", "older", "newer", "share")
-    undated = j.filter(F.col("t").isNull() & (F.col("value") != F.col("anchor.value")))
-    probes = undated.select("key", "field_name", "value", "id", "anchor", F.explode(F.array(F.struct(F.lit("value").alias("level"), F.col("anchor.value").alias("older"), F.col("value").alias("newer")), F.struct(F.lit("shape").alias("level"), value_shape(F.col("anchor.value")).alias("older"), value_shape(F.col("value")).alias("newer")))).alias("p"))
-    later = probes.select("key", "field_name", "value", "id", "p.level", "p.older", "p.newer").join(edges, ["field_name", "level", "older", "newer"])
-    best = later.groupBy("key", "field_name").agg(F.max(F.struct((F.col("level") == "value").alias("exact"), F.col("share"), (-F.col("id")).alias("order"), F.col("value"))).alias("next"))
-    out = anchors.join(best, ["key", "field_name"], "left")
+    anchors = cut(values.groupBy(*group).agg(F.max_by(F.struct("value", "t", "id"), at).alias("anchor"), F.count(F.lit(1)).alias("n_values"), F.count_if(F.col("t").isNull()).alias("undated")))
+    dated = F.col("anchor.t").isNotNull()
+    open_groups = anchors.filter(F.col("undated") + dated.cast("int") >= 2).select(*group, F.col("anchor.value").alias("first"), dated.alias("dated"))
+    nodes = cut(values.join(open_groups, group).filter(F.col("t").isNull() | (F.col("value") == F.col("first"))))
+    reach = closure(group_edges(nodes, learnt))
+    after = reach.select(*group, F.col("older").alias("first"), F.col("newer").alias("value"), F.lit(True).alias("after"))
+    competing = cut(nodes.join(after, [*group, "first", "value"], "left").filter(~F.col("dated") | (F.col("value") == F.col("first")) | F.col("after")))
+    names = competing.select(*group, "value")
+    inside = reach.filter(F.col("older") != F.col("newer")).join(names.withColumnRenamed("value", "older"), [*group, "older"], "left_semi")
+    before = inside.groupBy(*group, F.col("newer").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    ranked = competing.join(before, [*group, "value"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    order = F.struct("n", F.col("t").isNotNull().alias("has_t"), (-F.col("id")).alias("order"), "value")
+    best = ranked.groupBy(*group).agg(F.max_by(F.struct("value", "n", "t"), order).alias("next"))
+    out = anchors.join(best.filter((F.col("next.n") > 0) & F.col("next.t").isNull()), group, "left")
     value = F.coalesce(F.col("next.value"), F.col("anchor.value"))
-    return out.select("key", "field_name", value.alias("value"), F.when(F.col("next").isNotNull(), "precedence").when(F.col("anchor.t").isNotNull(), "timestamp").otherwise("identity").alias("decided_by"), "n_values")
+    return out.select(*group, value.alias("value"), F.when(F.col("next").isNotNull(), "precedence").when(dated, "timestamp").otherwise("identity").alias("decided_by"), "n_values")

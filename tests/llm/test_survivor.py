@@ -96,3 +96,75 @@ def test_currency_places_undated_values_by_learnt_precedence(spark):
     rows += [(900, "a", "X", "single", None, 1, "1", None, DAY), (901, "a", "X", "married", None, 1, "1", None, None), (902, "a", "Y", "married", None, 1, "1", None, DAY), (903, "a", "Y", "single", None, 1, "1", None, None), (904, "a", "Z", "divorced", None, 1, "1", None, None)]
     got = {r.key: (r.value, r.decided_by) for r in sv.latest_values(frame(spark, rows), F.col("sid"), "modified", "curated_id", ["name"]).collect()}
     assert got["X"] == ("married", "precedence") and got["Y"] == ("married", "timestamp") and got["Z"] == ("divorced", "identity") and got["S3"] == ("married", "timestamp")
+
+
+def topological(nodes, edges, anchor, ids):
+    """The latest of the values that compete, by walking all paths; nodes besides the anchor are undated."""
+
+    def later(a):
+        seen, todo = set(), [a]
+        while todo:
+            for b in edges(todo.pop(), nodes):
+                if b not in seen:
+                    seen.add(b)
+                    todo.append(b)
+        return seen
+
+    compete = {anchor} | later(anchor) if anchor else set(nodes)
+    n = {v: sum(v in later(u) for u in compete if u != v) for v in compete}
+    return max(compete, key=lambda v: (n[v], v == anchor, -ids[v]))
+
+
+def transitions(pairs, start=10_000):
+    """Three groups for each pair in which its second value is dated after its first."""
+    rows = []
+    for i, (a, b) in enumerate(p for p in pairs for _ in range(3)):
+        rows += [(start + 2 * i, "a", f"T{i}", a, None, 1, "1", None, DAY), (start + 2 * i + 1, "a", f"T{i}", b, None, 1, "1", None, DAY + dt.timedelta(days=1))]
+    return rows
+
+
+def undated(key, ids_values, anchor=None):
+    return [(i, "a", key, v, None, 1, "1", None, DAY if v == anchor else None) for i, v in ids_values]
+
+
+def latest(spark, rows):
+    return {r.key: (r.value, r.decided_by) for r in sv.latest_values(frame(spark, rows), F.col("sid"), "modified", "curated_id", ["name"]).collect()}
+
+
+def test_currency_takes_the_latest_over_several_steps(spark):
+    rows = transitions([("aa", "bb"), ("bb", "cc"), ("x1", "y-1")])
+    rows += undated("P", [(1, "aa"), (2, "bb"), (3, "cc")], "aa") + undated("Q", [(4, "zz"), (5, "cc"), (6, "aa"), (7, "bb")])
+    # cc doesn't follow aa without bb between; a1 and b-1 are known by their shapes only
+    rows += undated("R", [(8, "aa"), (9, "cc")], "aa") + undated("S", [(10, "q9"), (11, "r-9")]) + undated("U", [(12, "zz"), (13, "ww")])
+    got = latest(spark, rows)
+    assert {k: got[k] for k in "PQRSU"} == {"P": ("cc", "precedence"), "Q": ("cc", "precedence"), "R": ("aa", "timestamp"), "S": ("r-9", "precedence"), "U": ("zz", "identity")}
+
+
+def test_currency_equals_a_brute_force_topological_order(spark):
+    rnd = random.Random(5)
+    words = ["".join(p) for p in zip("abcdefghij", "klmnopqrst", strict=True)] + ["k1", "l-1", "m 1"]
+    learnt = {(a, b) for _ in range(24) for a, b in [rnd.sample(words, 2)]}
+    learnt = {(a, b) for a, b in learnt if (b, a) not in learnt}
+    rows, groups = transitions(sorted(learnt)), {}
+    for g in range(80):
+        own = rnd.sample(words, rnd.randrange(2, 8))
+        anchor = own[0] if rnd.random() < 0.5 else None
+        pairs = [(100 * g + i, v) for i, v in enumerate(own)]
+        rnd.shuffle(pairs)
+        groups[f"G{g}"] = (own, anchor, {v: i for i, v in pairs})
+        rows += undated(f"G{g}", pairs, anchor)
+    # transitions have ids of their own
+    rows = [(r[0] + 100_000 if r[2].startswith("T") else r[0], *r[1:]) for r in rows]
+    shape = lambda v: "".join("9" if c.isdigit() else c if not c.isalpha() else "a" for c in v).replace("aa", "a")
+    net = {}
+    for a, b in learnt:
+        if shape(a) != shape(b):
+            net[shape(a), shape(b)] = net.get((shape(a), shape(b)), 0) + 1
+            net[shape(b), shape(a)] = net.get((shape(b), shape(a)), 0) - 1
+
+    def edges(v, nodes):
+        return [w for w in nodes if w != v and ((v, w) in learnt or (w, v) not in learnt and net.get((shape(v), shape(w)), 0) > 0)]
+
+    got = latest(spark, rows)
+    want = {k: topological(own, edges, anchor, ids) for k, (own, anchor, ids) in groups.items()}
+    assert {k: got[k][0] for k in want} == want
