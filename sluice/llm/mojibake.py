@@ -298,8 +298,11 @@ class Model:
         return got
 
     def _refilled(self, cluster: str, left: str, right: str) -> Iterator[str]:
-        """The cluster with each residue of a character that lost bytes replaced by the likeliest known character that leaves it."""
-        if len(cluster) > 200 or not any(r in cluster for r in self.residues):
+        """The cluster with each residue of a character that lost bytes replaced by the likeliest known character that leaves it.
+
+        From left to right, by local scores alone, so that a cluster of any length takes time in its length.
+        """
+        if not any(r in cluster for r in self.residues):
             return
         for start in {cluster, _rewrite(cluster, utf8_units(cluster, "latin-1")), _rewrite(cluster, utf8_units(cluster, "cp1252"))}:
             done, head, i, n = [], left, 0, len(start)

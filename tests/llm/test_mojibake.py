@@ -1,4 +1,6 @@
+import difflib
 import random
+import re
 
 import pytest
 
@@ -103,6 +105,23 @@ def test_local_scores_refill_as_whole_ones_do(model, cluster):
     assert set(model._refilled(cluster, left, right)) == want
 
 
+def test_long_text_without_blanks_is_refilled():
+    phrases = ["これは検証の結果です。", "表の列を確認してください。", "取り込みは完了しました。", "差分が見つかりました。", "この行は除外されます。"]
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choices(phrases, k=4)) for _ in range(300)]
+    counts = mb.np.bincount(mb.gram_slots(texts), minlength=mb.CODE_POINTS + (1 << mb.BI_BITS) + (1 << mb.TRI_BITS))
+    japanese = mb.Model(counts.astype("int32"), mb.residues(set("".join(phrases))))
+    text = "".join(phrases * 4)
+    bad = re.sub("[\x80-\x9f]", "", text.encode().decode("latin-1"))
+    assert len(bad) > 200 and mb.cluster_spans(bad) == [(0, len(bad))]
+    got, restored, _ = japanese.repair(bad)
+    assert restored == 1 and alike(got, text) > 0.9
+
+
+def alike(a, b):
+    return difflib.SequenceMatcher(None, a, b, autojunk=False).ratio()
+
+
 def test_every_record_comes_out(spark, model):
     rows = [(1, None, "x"), (2, "", "x"), (3, "ascii only", "x"), (4, garble(SENTENCES[3], ("cp1252", "utf-8")), "x"), (5, SENTENCES[3] * 2000, "x")]
     got = {r.doc_id: (r.text, r.n_restored > 0, r.n_lost) for r in mb.repair_corpus(spark.createDataFrame(rows, "doc_id bigint, text string, extra string"), model).collect()}
