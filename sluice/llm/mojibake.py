@@ -33,9 +33,10 @@ SINGLE_BYTE = (
 REPEATS = 3
 BI_BITS, TRI_BITS = 20, 22
 CODE_POINTS = 0x110000
-#: Clean records used to validate the margin; the model itself counts all clean records but these.
-HELD_OUT = 2_000
+#: One in so many records validates the margin, by hash of the text; the model itself counts all clean records but these.
 HELD_OUT_SHARE = 10
+#: Gains and likelihoods are counted in steps of 1/256, gains up to 256.
+STEPS, MOST_STEPS = 256, 1 << 16
 LEAST_MARGIN = 4.0
 #: Single-byte chains that change fewer characters in a record need a margin of their own: one rare character is weak evidence.
 LEAST_CHANGED = 3
@@ -416,21 +417,19 @@ def _sparse(counts: np.ndarray) -> pa.RecordBatch:
 
 
 def known_characters(texts: DataFrame, text: str) -> set[str]:
-    """Non-ASCII characters found in at least two records (and one in 20,000), by a count over all records."""
+    """Non-ASCII characters found in at least two records, by a count over all records."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(CODE_POINTS + 1, dtype=np.int64)
+        counts = np.zeros(CODE_POINTS, dtype=np.int64)
         for b in batches:
             for t in b.column(0).to_pylist():
-                counts[CODE_POINTS] += 1
                 if t and not t.isascii():
                     at = np.unique(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
                     counts[at] += 1
         yield _sparse(counts)
 
-    n = _sum_slots(texts.select(text).mapInArrow(run, "slot int, n bigint"), CODE_POINTS + 1)
-    least = max(2, n[CODE_POINTS] / 20_000)
-    return {chr(c) for c in np.flatnonzero(n[:CODE_POINTS] >= least) if c > 0x9F and c != 0xFFFD}
+    n = _sum_slots(texts.select(text).mapInArrow(run, "slot int, n bigint"), CODE_POINTS)
+    return {chr(c) for c in np.flatnonzero(n >= 2) if c > 0x9F and c != 0xFFFD}
 
 
 def train(documents: DataFrame, text: str = "text") -> Model:
@@ -452,33 +451,47 @@ def train(documents: DataFrame, text: str = "text") -> Model:
     counts = _sum_slots(rows.filter(~held).mapInArrow(count, "slot int, n bigint"), size)
     model = Model(np.minimum(counts, 2**31 - 1).astype(np.int32), residues(known.value))
 
-    def keep_clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        test = CleanTest(known.value)
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([t for t in b.column(0).to_pylist() if not t.isascii() and not test.garbled(t)], pa.string())], [text])
+    shared = sc.broadcast(model)
 
-    sample = [r[0] for r in rows.filter(held).mapInArrow(keep_clean, f"{text} string").orderBy(F.xxhash64(text)).limit(HELD_OUT).collect()]
-    model.margin, model.floor, model.short_margin = validated(model, sample)
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test, m = CleanTest(known.value), shared.value
+        for b in slices(batches, 1):
+            got = [(h, *measured(m, t)) for h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if not t.isascii() and not test.garbled(t)]
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array([g[i] for g in got], k) for i, k in enumerate(kinds)], ["h", "gain", "single", "each"])
+
+    each = rows.filter(held).select(F.xxhash64(text).alias("h"), text).mapInArrow(measure, "h bigint, gain int, single int, each array<int>").dropDuplicates(["h"])
+    kinds = F.concat(F.array(F.struct(F.lit("gain").alias("kind"), F.col("gain").alias("at")), F.struct(F.lit("single").alias("kind"), F.col("single").alias("at"))), F.transform("each", lambda x: F.struct(F.lit("each").alias("kind"), x.alias("at"))))
+    bins = each.select(F.explode(kinds).alias("k")).groupBy("k.kind", "k.at").agg(F.count(F.lit(1)).alias("n")).collect()
+    model.margin, model.floor, model.short_margin = validated({k: {r["at"]: r.n for r in bins if r.kind == k} for k in ("gain", "single", "each")})
     return model
 
 
-def validated(model: Model, clean: list[str]) -> tuple[float, float, float]:
-    """Margin, floor and the margin of short passages from clean records.
+def measured(model: Model, text: str) -> tuple[int, int, list[int]]:
+    """In steps: the largest gain a rewriting has in a record, the largest of a single-byte chain, and the likelihood per character of each cluster."""
+    found = [model.best(text[a:b]) for a, b in cluster_spans(text)]
+    explained = evidence(found)
+    gains = [max((r.gain for r in some), default=0.0) for some in ((r for r in found if not _short(r, explained)), (r for r in found if r.single_byte))]
+    return *(min(MOST_STEPS, math.ceil(g * STEPS)) for g in gains), [math.floor(model.score(c) / len(c) * STEPS) for c in clusters(text)]
+
+
+def _quantile(counted: dict[int, int], share: float) -> float:
+    """The value at or below which ``share`` of all counted ones lie, of a histogram in steps."""
+    at = sorted(counted)
+    ends = np.cumsum([counted[a] for a in at])
+    return at[int(np.searchsorted(ends, int(share * (ends[-1] - 1)), side="right"))] / STEPS
+
+
+def validated(counted: dict[str, dict[int, int]]) -> tuple[float, float, float]:
+    """Margin, floor and the margin of short passages from histograms of what ``measured`` gives of all held-out clean records, copies left out.
 
     The margin is half as much again as the largest gain any rewriting has in all but one
     in 200 of them (a few garbled records may have passed as clean); the floor is the
     likelihood per character that all but one in 200 of their clusters reach. The margin
     of short passages is the same of all gains of single-byte chains, few changes included.
     """
-    gains, single, each = [], [], []
-    for t in clean:
-        found = [model.best(t[a:b]) for a, b in cluster_spans(t)]
-        each += [model.score(c) / len(c) for c in clusters(t)]
-        explained = evidence(found)
-        gains.append(max((r.gain for r in found if not _short(r, explained)), default=0.0))
-        single.append(max((r.gain for r in found if r.single_byte), default=0.0))
-    margin, short = (max(LEAST_MARGIN, 1.5 * float(np.quantile(g, 0.995, method="lower"))) if g else LEAST_MARGIN for g in (gains, single))
-    return margin, float(np.quantile(each, 0.005)) if each else -math.inf, max(margin, short)
+    margin, short = (max(LEAST_MARGIN, 1.5 * _quantile(counted[k], 0.995)) if counted[k] else LEAST_MARGIN for k in ("gain", "single"))
+    return margin, _quantile(counted["each"], 0.005) if counted["each"] else -math.inf, max(margin, short)
 
 
 def repair_corpus(documents: DataFrame, model: Model, doc: str = "doc_id", text: str = "text") -> DataFrame:

@@ -128,6 +128,27 @@ def test_every_record_comes_out(spark, model):
     assert got == {1: (None, False, 0), 2: ("", False, 0), 3: ("ascii only", False, 0), 4: (SENTENCES[3], True, 0), 5: (SENTENCES[3] * 2000, False, 0)}
 
 
+def test_copies_of_a_held_out_record_leave_the_thresholds_alone(spark):
+    simple = spark.range(200).selectExpr("concat('Die Prüfung ', id) AS text")
+    held = simple.filter(mb.F.pmod(mb.F.xxhash64("text"), mb.F.lit(mb.HELD_OUT_SHARE)) == 0).orderBy("text").first().text
+    rows = spark.createDataFrame([(t,) for t in [*corpus(4), held]], "text string").dropDuplicates()
+    copies = rows.unionByName(spark.createDataFrame([(held,)] * 3000, "text string"))
+    one, many = mb.train(rows), mb.train(copies)
+    assert (one.margin, one.short_margin, one.floor) == (many.margin, many.short_margin, many.floor)
+
+
+def test_a_character_of_two_records_is_known_at_any_size(spark):
+    many = spark.range(60_000).selectExpr("CASE WHEN id < 2 THEN concat('snow ☃ ', id) ELSE concat('plain ', id) END AS text")
+    assert mb.known_characters(many, "text") == {"☃"}
+
+
+def test_quantiles_of_histograms():
+    rnd = random.Random(2)
+    values = [rnd.randrange(-5000, 5000) for _ in range(777)]
+    for share in (0.0, 0.005, 0.5, 0.995, 1.0):
+        assert mb._quantile({v: values.count(v) for v in values}, share) * mb.STEPS == mb.np.quantile(values, share, method="lower")
+
+
 def test_empty_corpus(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     m = mb.train(empty)
