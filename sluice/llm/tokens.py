@@ -26,6 +26,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Last bytes of the UTF-8 forms of white space beyond ASCII; a character ending so is taken as white space.
 _SPACE_TAILS = (0x80, 0x81, 0x82, 0x83, 0x84, 0x85, 0x86, 0x87, 0x88, 0x89, 0x8A, 0x9F, 0xA0, 0xA8, 0xA9, 0xAF)
 _ASCII_SPACE = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20)
+#: Ids are remembered for so many fragments of at most so many bytes (some tens of MB).
+REMEMBERED, REMEMBERED_BYTES = 200_000, 32
 
 
 def load_ranks(data: bytes) -> dict[bytes, int]:
@@ -52,41 +54,46 @@ def certain_cuts(ranks: dict[bytes, int]) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes texts fragment by fragment; fragments have at least ``fragment_bytes`` where cuts allow it."""
+    """Encodes texts fragment by fragment, with a memory of short fragments; fragments have at least ``fragment_bytes`` where cuts allow it."""
 
-    def __init__(self, data: bytes, pattern: str = PATTERN, fragment_bytes: int = 4096):
+    def __init__(self, data: bytes, pattern: str = PATTERN, fragment_bytes: int = 1):
         import tiktoken
 
         self.ranks = load_ranks(data)
         self.cuts = certain_cuts(self.ranks)
         self.fragment_bytes = fragment_bytes
+        self.memory: dict[bytes, list[int]] = {}
         self._encode = tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={}).encode_ordinary
 
-    def fragments(self, text: str) -> list[str]:
+    def _pieces(self, text: str) -> list[bytes]:
         raw = text.encode()
-        if len(raw) <= self.fragment_bytes:
-            return [text]
         b = np.frombuffer(raw, dtype=np.uint8)
-        places = np.flatnonzero(self.cuts[b[:-1], b[1:]]) + 1
         out, at = [], 0
-        while len(raw) - at > self.fragment_bytes:
-            i = int(np.searchsorted(places, at + self.fragment_bytes))
-            if i == len(places):
-                break
-            out.append(raw[at : places[i]].decode())
-            at = int(places[i])
-        return [*out, raw[at:].decode()]
+        for i in (np.flatnonzero(self.cuts[b[:-1], b[1:]]) + 1).tolist():
+            if i - at >= self.fragment_bytes:
+                out.append(raw[at:i])
+                at = i
+        return [*out, raw[at:]]
+
+    def fragments(self, text: str) -> list[str]:
+        return [p.decode() for p in self._pieces(text)]
 
     def encode(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, dtype=np.int32)
-        return np.concatenate([np.array(self._encode(f), dtype=np.int32) for f in self.fragments(text)])
+        ids: list[int] = []
+        for p in self._pieces(text) if text else ():
+            got = self.memory.get(p)
+            if got is None:
+                got = self._encode(p.decode())
+                if len(p) <= REMEMBERED_BYTES and len(self.memory) < REMEMBERED:
+                    self.memory[p] = got
+            ids += got
+        return np.array(ids, dtype=np.int32)
 
 
 _encoders: dict[tuple, Encoder] = {}
 
 
-def encode_corpus(documents: DataFrame, doc: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY, pattern: str = PATTERN, fragment_bytes: int = 4096) -> DataFrame:
+def encode_corpus(documents: DataFrame, doc: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY, pattern: str = PATTERN, fragment_bytes: int = 1) -> DataFrame:
     """(doc, ids): the token ids of every text, without special tokens; empty for empty and for null text.
 
     Strings that name special tokens are ordinary text. One pass without shuffle. The

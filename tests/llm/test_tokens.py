@@ -42,6 +42,12 @@ def test_fragments_change_no_id(tiny, whole, text):
     assert tiny.encode(text).tolist() == whole(text)
 
 
+def test_short_texts_are_cut_and_remembered(data, whole):
+    encoder, text = tk.Encoder(data), "A short text, a short text of few words."
+    assert len(encoder.fragments(text)) > 5 and encoder.encode(text).tolist() == whole(text)
+    assert encoder.memory[b" short"] == whole(" short") and encoder.encode(text).tolist() == whole(text)
+
+
 def test_whole_texts_and_special_strings(spark, whole):
     long = ("Sentence number one, don't stop. " * 4000) + "x" * 5_000 + "日本語" * 2000
     texts = [None, "", " ", "<|endoftext|> is text", long, "a", "a"]
