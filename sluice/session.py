@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(shared)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder beside the checkpoints, which every executor can read and write."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Writes ``df`` once to the shared checkpoint folder; later uses read those files."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -75,3 +82,27 @@ def lookup_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "l
     for s in same:
         on = on & s
     return salted.join(copies, on, how).drop("__salt", "__salt_r", *drop)
+
+
+#: Rows of one key that one task joins; the rows of a key with more are spread over several.
+HOT_ROWS = 100_000
+
+
+def spread_join(big: DataFrame, other: DataFrame, keys: list[str], how: str = "inner", counted: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """An equi-join (inner or left) whose hot keys are salted, and only those.
+
+    Keys are counted with partial results; a key with more than ``hot_rows`` rows in ``big``
+    is cut into as many parts as it needs, the rows of ``other`` for it are copied to each.
+    All other rows are shuffled once as they are. Keys are counted in ``counted``, which
+    should be cut, or else in ``big``. Null keys match nothing. No other column may be in both.
+    """
+    hot = (big if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows).select(*keys, F.ceil(F.col("__n") / hot_rows).cast("int").alias("__parts"))
+    hot = cut(hot)
+    if hot.isEmpty():
+        return big.join(other, keys, how)
+    few = small_enough(hot)
+    near = lambda df: df.join(F.broadcast(hot) if few else hot, keys, "left")
+    rest = [c for c in big.columns if c not in keys] or keys
+    left = near(big).withColumn("__salt", F.pmod(F.xxhash64(*rest), F.coalesce("__parts", F.lit(1))).cast("int")).drop("__parts")
+    right = near(other).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))).drop("__parts")
+    return left.join(right, [*keys, "__salt"], how).drop("__salt")
