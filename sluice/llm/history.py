@@ -1,193 +1,318 @@
 """New deliveries against everything accepted so far, exact and near copies.
 
 Content-defined chunking: the normalized lines of a file are cut where a rolling hash
-over the bytes says so, and at every line end, since nearness is defined on lines. A
-chunk table (chunk, class of equal content) is the persistent index. For a new class
-the table yields the shared totals with each accepted class; a chunk weighs what it is
-of its line, so a line counts one however it was cut. Shared lines share all their
-chunks, so coverage is never below the share of lines: what reaches the threshold is
-then confirmed on line hashes.
-
-Only a few chunks of each new class are looked up. If at least ``t`` of ``n`` lines must
-be shared, any ``n - t + 1`` lines hold a shared one; the rarest are taken, so that
-lines found everywhere (headers, trailers) are never expanded.
+over the last eight bytes says so, and at line ends, since nearness is defined on lines.
+Equal lines give equal chunks wherever they stand. Accepted files are kept in a
+``ChunkStore``: a chunk-to-record table and one record per content. A batch is chunked
+once, a few of its rarest chunks are looked up in the table, and the shared byte totals
+of what is found decide: a file as near as the threshold shares at least so many bytes,
+so coverage loses nothing; what it lets through is confirmed on lines. In the end the
+accepted files of the batch are appended. The content of earlier batches is never read.
+
+If at least ``t`` of ``n`` lines must be shared, any ``n - t + 1`` lines hold a shared one;
+the lines with the rarest chunks are taken, so lines found everywhere are never expanded.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.batches import slices
-from sluice.session import cut, lookup_join
-
-MIN_CHUNK, MAX_CHUNK, WINDOW = 64, 1024, 32
-#: Boundary where these bits of the rolling hash are 0: about one in 256 bytes.
-MASK = np.uint64(0xFF000000)
-WEIGHT = 1_000_000
-#: Most frequent line keys told to every task; a key is frequent from (all keys / this) on, so there can't be more.
-FREQUENT_CAP = 500_000
+from sluice.session import cut, lookup_join, shared_folder, spread_join
+
+#: Bytes the rolling hash looks at, and the longest chunk.
+WINDOW, MAX_CHUNK = 8, 1024
+#: A boundary is where these bits of the rolling hash are 0: one in 16 bytes.
+MASK = np.uint64(0xF0)
+#: The low bits of a chunk's key hold its length.
+LENGTH_BITS = 11
+_LENGTHS = (1 << LENGTH_BITS) - 1
+#: Most frequent chunks told to every task; a chunk is frequent from (all chunks / this) on, so there can't be more.
+FREQUENT_CAP = 200_000
+#: Earliest undecided files of a chunk that all others with it are compared with in one round.
+LEADERS = 4
+#: Candidate pairs, and deliveries, up to which the order of acceptance is settled by one task.
+SETTLED_PAIRS, SETTLED_UNITS = 5_000_000, 500_000
 _GEAR = np.random.default_rng(20240229).integers(0, 2**63, 256, dtype=np.uint64)
-_WHITE = re.compile(r"\s+")
+RECORD = "class binary, n int, least bigint, parts array<array<bigint>>"
 
 
 def normalized_lines(content: str | None) -> list[str]:
     """Distinct lines in lower case without any white space; empty lines are dropped."""
     if not content:
         return []
-    return list(dict.fromkeys(x for line in content.lower().split("\n") if (x := _WHITE.sub("", line))))
-
-
-def chunks(line: bytes) -> list[bytes]:
-    """The pieces of one line between content-defined boundaries; equal lines give equal pieces."""
-    if len(line) <= MIN_CHUNK:
-        return [line]
-    gear = _GEAR[np.frombuffer(line, dtype=np.uint8)]
-    rolling = np.zeros(len(line), dtype=np.uint64)
-    for j in range(min(WINDOW, len(line))):
-        rolling[j:] += gear[: len(line) - j] << np.uint64(j)
-    marks = np.flatnonzero((rolling & MASK) == 0) + 1
-    out, at = [], 0
-    while len(line) - at > MIN_CHUNK:
-        i = int(np.searchsorted(marks, at + MIN_CHUNK))
-        end = min(int(marks[i]) if i < len(marks) else len(line), at + MAX_CHUNK, len(line))
-        out.append(line[at:end])
-        at = end
-    if at < len(line):
-        out.append(line[at:])
-    return out
+    return list(dict.fromkeys(x for line in content.lower().split("\n") if (x := "".join(line.split()))))
+
+
+def chunk_ends(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Ends of all chunks of lines that lie one behind the other; ``starts`` are the lines' starts.
+
+    A boundary depends on the eight bytes before it, all of its own line, or on the
+    distance from the line's start (each ``MAX_CHUNK``), so it moves with its line.
+    """
+    gear, rolling = _GEAR[flat], np.zeros(len(flat), dtype=np.uint64)
+    for j in range(min(WINDOW, len(flat))):
+        rolling[j:] += gear[: len(flat) - j] << np.uint64(j)
+    ends = np.append(starts[1:], len(flat))
+    offset = np.arange(1, len(flat) + 1) - np.repeat(starts, ends - starts)
+    marks = ((rolling & MASK) == 0) & (offset >= WINDOW) | (offset % MAX_CHUNK == 0)
+    marks[ends - 1] = True
+    return np.flatnonzero(marks) + 1
+
+
+def _key(chunk: bytes) -> int:
+    """A chunk's 64 bits: hash above, length below."""
+    return (xxhash.xxh64_intdigest(chunk) & ~_LENGTHS | len(chunk)) - 2**63
+
 
+def chunk_lines(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(keys of all chunks, number of chunks of each line)."""
+    flat = b"".join(lines)
+    sizes = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
+    starts = np.cumsum(sizes) - sizes
+    ends = chunk_ends(np.frombuffer(flat, dtype=np.uint8), starts)
+    at = [0, *ends.tolist()]
+    keys = np.fromiter((_key(flat[a:b]) for a, b in zip(at, at[1:], strict=False)), dtype=np.int64, count=len(ends))
+    return keys, np.diff(np.searchsorted(ends, np.append(starts, len(flat)), side="right"))
 
-def _digest(b: bytes) -> int:
-    return xxhash.xxh64_intdigest(b) - 2**63
 
+def _lengths(keys: np.ndarray) -> np.ndarray:
+    return keys & _LENGTHS
 
-def chunked(files: DataFrame, path: str, content: str) -> DataFrame:
-    """(path, class, n, lines, line_keys, chunks) of every file with at least one line.
 
-    ``class`` identifies the set of lines (128 bits), ``line_keys`` the chunk each line is
-    looked up by (the least of its chunks), ``chunks`` all chunks with their weights; both
-    are null where every line is one chunk. Null and blank contents give no row.
+def least_shared(n, threshold: float):
+    """Lines of a set of n that any partner with at least this Jaccard similarity must hold."""
+    return np.ceil(n * threshold - 1e-9)
+
+
+def chunked(files: DataFrame, path: str, content: str, threshold: float = 0.8) -> DataFrame:
+    """(path, class, n, least, parts) of every file with at least one line.
+
+    ``class`` identifies the set of lines (128 bits), ``n`` counts them, ``parts`` has the
+    chunks of each line. ``least`` are the bytes of distinct chunks that a file as near as
+    the threshold shares: all but those of as many lines as may differ, the longest
+    taken. Null and blank contents give no row.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 1):
-            at, rows = [], []
-            for k, text in enumerate(b.column(1).to_pylist()):
-                lines = [x.encode() for x in normalized_lines(text)]
-                if not lines:
-                    continue
-                pieces = [chunks(x) for x in lines]
-                hashes = [_digest(x) for x in lines]
-                keys, weighed = None, None
-                if any(len(p) > 1 for p in pieces):
-                    keys = [h if len(p) == 1 else min(map(_digest, p)) for h, p in zip(hashes, pieces, strict=True)]
-                    weighed = {}
-                    for h, p, x in zip(hashes, pieces, lines, strict=True):
-                        for piece in p:
-                            d = h if len(p) == 1 else _digest(piece)
-                            weighed[d] = weighed.get(d, 0) + (WEIGHT * len(piece) + len(x) - 1) // len(x)
-                at.append(k)
-                rows.append((xxhash.xxh3_128_digest(b"\n".join(sorted(lines))), len(lines), hashes, keys, weighed and [{"h": h, "w": w} for h, w in weighed.items()]))
-            if rows:
-                kinds = (pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.struct([("h", pa.int64()), ("w", pa.int64())])))
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), *(pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds))], ["path", "class", "n", "lines", "line_keys", "chunks"])
-
-    return files.select(path, content).mapInArrow(run, "path string, class binary, n int, lines array<bigint>, line_keys array<bigint>, chunks array<struct<h:bigint,w:bigint>>")
-
-
-def _line_keys() -> Column:
-    return F.coalesce("line_keys", "lines")
-
-
-def _least_shared(n: Column, threshold: float) -> Column:
-    """Lines of a set of n that any partner with at least this Jaccard similarity must hold."""
-    return F.ceil(n * F.lit(threshold) - 1e-9).cast("int")
+            texts = [[x.encode("utf-8", "surrogatepass") for x in normalized_lines(t)] for t in b.column(1).to_pylist()]
+            at = [k for k, lines in enumerate(texts) if lines]
+            if not at:
+                continue
+            keys, per_line = chunk_lines([x for k in at for x in texts[k]])
+            n = np.array([len(texts[k]) for k in at])
+            line_ends, least = np.cumsum(np.append(0, per_line)), []
+            file_ends = np.append(0, np.cumsum(n))
+            line_bytes = np.add.reduceat(_lengths(keys), line_ends[:-1])
+            for i, count in enumerate(n):
+                own = np.unique(keys[line_ends[file_ends[i]] : line_ends[file_ends[i + 1]]])
+                may_differ = int(count - least_shared(count, threshold))
+                longest = np.sort(line_bytes[file_ends[i] : file_ends[i + 1]])[int(count) - may_differ :]
+                least.append(int(_lengths(own).sum() - longest.sum()))
+            parts = pa.ListArray.from_arrays(pa.array(line_ends, pa.int32()), pa.array(keys, pa.int64()))
+            classes = [xxhash.xxh3_128_digest(b"\n".join(sorted(texts[k]))) for k in at]
+            columns = [b.column(0).take(pa.array(at)), pa.array(classes, pa.binary()), pa.array(n, pa.int32()), pa.array(least, pa.int64()), pa.ListArray.from_arrays(pa.array(file_ends, pa.int32()), parts)]
+            yield pa.RecordBatch.from_arrays(columns, ["path", "class", "n", "least", "parts"])
+
+    return files.select(path, content).mapInArrow(run, f"path string, {RECORD}")
+
+
+def _cid(c: str = "class") -> Column:
+    """A short id of a class for joins; whatever it brings together is confirmed by content."""
+    return F.xxhash64(c)
 
 
 def _size_class(n: Column, threshold: float) -> Column:
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(1 / threshold)) + 1e-9).cast("int")
 
 
-def chunk_table(classes: DataFrame, threshold: float) -> DataFrame:
-    """The index: one row per looked-up chunk and class. Append the rows of newly accepted classes to it."""
-    return classes.select(F.explode(F.array_distinct(_line_keys())).alias("h"), _size_class(F.col("n"), threshold).alias("size"), F.col("class").alias("other"))
+def chunk_table(records: DataFrame, threshold: float) -> DataFrame:
+    """One row per distinct chunk and record, with the record's size class."""
+    return records.select(F.explode(F.array_distinct(F.flatten("parts"))).alias("h"), _size_class(F.col("n"), threshold).alias("size"), _cid().alias("other"))
+
+
+def frequent_chunks(table: DataFrame) -> DataFrame:
+    """(h, df) of the chunks held by more than one in ``FREQUENT_CAP`` of all rows: fewer than that cap."""
+    total = table.count()
+    return table.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") > max(2, -(-total // FREQUENT_CAP)))
 
 
-def near_classes(probe: DataFrame, index: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
-    """(class, other): each probe class with every indexed class of other content that is near.
+def picked_chunks(records: DataFrame, frequent: DataFrame, threshold: float) -> DataFrame:
+    """(cid, n, keys): the chunks each record is looked up by.
 
-    ``probe`` and ``known`` are rows of ``chunked``, one per class; ``index`` is the chunk
-    table over ``known``. Coverage and line similarity are both at least ``threshold``.
+    Of each line its rarest chunk, of these the rarest ``n - t + 1``. Chunks are ordered by
+    their count in ``frequent`` (0 where missing), then by their key, so two records picked
+    with the same counts that share ``t`` lines have a key in common.
     """
-    counts = index.groupBy("h").agg(F.count(F.lit(1)).alias("df"))
-    total = index.agg(F.count(F.lit(1)).alias("n")).first().n
-    frequent = counts.filter(F.col("df") > max(2, -(-total // FREQUENT_CAP))).withColumnRenamed("h", "fh")
-    lines = probe.select("class", "n", F.explode(F.array_distinct(_line_keys())).alias("h"))
-    ranked = lines.join(F.broadcast(frequent), F.col("h") == F.col("fh"), "left").select("class", "n", F.struct(F.coalesce("df", F.lit(0)).alias("df"), "h").alias("k"))
-    taken = F.col("n") - _least_shared(F.col("n"), threshold) + 1
-    picked = ranked.groupBy("class", "n").agg(F.array_sort(F.collect_list("k")).alias("ks")).select("class", "n", F.explode(F.slice("ks", F.lit(1), taken)).alias("k"))
+    # at most FREQUENT_CAP rows of 16 bytes, whatever the table's size; counts left out change the order only
+    got = frequent.groupBy("h").agg(F.sum("df").alias("df")).orderBy(F.desc("df"), "h").limit(FREQUENT_CAP).toArrow()
+    h = got.column("h").to_numpy()
+    order = np.argsort(h)
+    told = records.sparkSession.sparkContext.broadcast((h[order], got.column("df").to_numpy()[order]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, counts = told.value
+        for b in batches:
+            if not b.num_rows:
+                continue
+            parts = b.column(2)
+            lines = parts.flatten()
+            keys = lines.flatten().to_numpy()
+            line_of = np.repeat(np.arange(len(lines)), np.diff(lines.offsets.to_numpy()))
+            df = np.zeros(len(keys), dtype=np.int64)
+            if len(known):
+                slot = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                df = np.where(known[slot] == keys, counts[slot], 0)
+            order = np.lexsort((keys, df, line_of))
+            first = order[np.append(True, np.diff(line_of[order]) > 0)] if len(order) else order
+            row_of = np.repeat(np.arange(b.num_rows), np.diff(parts.offsets.to_numpy()))
+            order = first[np.lexsort((keys[first], df[first], row_of))]
+            n = b.column(1).to_numpy()
+            rank = np.arange(len(order)) - np.repeat(np.cumsum(n) - n, n)
+            chosen = rank < (n - least_shared(n, threshold) + 1)[row_of]
+            out = [np.unique(x) for x in np.split(keys[order[chosen]], np.searchsorted(row_of[chosen], np.arange(1, b.num_rows)))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.list_(pa.int64()))], ["cid", "n", "keys"])
+
+    return records.select(_cid().alias("cid"), "n", "parts").mapInArrow(run, "cid bigint, n int, keys array<bigint>")
+
+
+def confirmed(pairs: DataFrame, left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (cid, other) that are near: by shared byte totals, then by lines. Records of one class are no pair."""
+    a = left.select(_cid().alias("cid"), F.col("class").alias("a"), F.col("least").alias("la"), F.col("parts").alias("pa"))
+    b = right.select(_cid().alias("other"), F.col("class").alias("b"), F.col("least").alias("lb"), F.col("parts").alias("pb"))
+    pairs = cut(pairs)
+    j = spread_join(spread_join(pairs, a, ["cid"]), b, ["other"], counted=pairs)
+    shared = F.aggregate(F.array_intersect(F.flatten("pa"), F.flatten("pb")), F.lit(0).cast("bigint"), lambda acc, h: acc + h.bitwiseAND(F.lit(_LENGTHS).cast("bigint")))
+    covered = shared >= F.greatest("la", "lb")
+    lines = lambda c: F.transform(c, lambda p: F.xxhash64(p))
+    both = F.size(F.array_intersect(lines("pa"), lines("pb")))
+    exact = both >= F.lit(threshold - 1e-9) * (F.size("pa") + F.size("pb") - both)
+    return j.filter((F.col("a") != F.col("b")) & covered & exact).select("cid", "other")
+
+
+def _asked(picked: DataFrame, threshold: float) -> DataFrame:
     size = _size_class(F.col("n"), threshold)
-    asked = picked.select("class", F.col("k.h").alias("h"), F.explode(F.array(size - 1, size, size + 1)).alias("size"))
-    pairs = asked.join(index, ["h", "size"]).filter(F.col("class") != F.col("other")).select("class", "other").distinct()
-    left = probe.select("class", F.col("lines").alias("a"), F.col("chunks").alias("ca"))
-    right = known.select(F.col("class").alias("other"), F.col("lines").alias("b"), F.col("chunks").alias("cb"))
-    j = pairs.join(left, "class").join(right, "other")
-    weighed = lambda c, lines: F.coalesce(F.col(c), F.transform(lines, lambda h: F.struct(h.alias("h"), F.lit(WEIGHT).cast("bigint").alias("w"))))
-    plain = F.col("ca").isNull() & F.col("cb").isNull()
-    of_b = F.map_from_entries(weighed("cb", "b"))
-    summed = lambda arr: F.aggregate(arr, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
-    shared = F.when(plain, F.size(F.array_intersect("a", "b")) * F.lit(WEIGHT)).otherwise(summed(F.transform(weighed("ca", "a"), lambda x: F.least(x["w"], F.coalesce(F.element_at(of_b, x["h"]), F.lit(0))))))
-    all_weight = (F.size("a") + F.size("b")) * F.lit(WEIGHT)
-    near_enough = shared >= (F.lit(threshold) - 1e-6) * (all_weight - shared)
-    both = F.size(F.array_intersect("a", "b"))
-    exact = both >= F.lit(threshold - 1e-9) * (F.size("a") + F.size("b") - both)
-    return j.filter(near_enough & exact).select("class", "other")
-
-
-def repeated_deliveries(deliveries: DataFrame, accepted: DataFrame, samples: DataFrame, threshold: float = 0.8) -> DataFrame:
+    return picked.select("cid", F.explode("keys").alias("h"), size.alias("own")).select("cid", "h", F.explode(F.array(F.col("own") - 1, F.col("own"), F.col("own") + 1)).alias("size"))
+
+
+class ChunkStore:
+    """Accepted files on disk: per batch a chunk-to-record table, the records, and the frequent chunks.
+
+    A batch exists once its records are complete, which are written last; what a failed
+    attempt left is written over by the next one under the same name. Chunk tables are
+    sorted by chunk, so that a lookup skips row groups.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, threshold: float = 0.8, hidden: tuple[str, ...] = ()):
+        self.spark, self.path, self.threshold, self.hidden = spark, path.rstrip("/"), threshold, hidden
+
+    def without(self, *batches: str) -> ChunkStore:
+        """The store as if these batches weren't there: what a run that is repeated must see."""
+        return ChunkStore(self.spark, self.path, self.threshold, (*self.hidden, *batches))
+
+    def batches(self) -> list[str]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/records")
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            return []
+        done = lambda s: fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))
+        return sorted({s.getPath().getName().removeprefix("batch=") for s in fs.listStatus(path) if done(s)} - set(self.hidden))
+
+    def append(self, batch: str, records: DataFrame) -> None:
+        """Adds the records (columns of ``RECORD``) of one batch."""
+        one = cut(records.select("class", "n", "least", "parts").dropDuplicates(["class"]))
+        table = chunk_table(one, self.threshold)
+        table.repartitionByRange("h").sortWithinPartitions("h").write.mode("overwrite").parquet(f"{self.path}/chunks/batch={batch}")
+        written = self.spark.read.parquet(f"{self.path}/chunks/batch={batch}")
+        frequent_chunks(written).write.mode("overwrite").parquet(f"{self.path}/frequent/batch={batch}")
+        one.write.mode("overwrite").parquet(f"{self.path}/records/batch={batch}")
+
+    def _read(self, kind: str, schema: str) -> DataFrame:
+        got = self.batches()
+        if not got:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(f"{schema}, batch string").parquet(f"{self.path}/{kind}").filter(F.col("batch").isin(got)).drop("batch")
+
+    def records(self) -> DataFrame:
+        return self._read("records", RECORD)
+
+    def chunks(self) -> DataFrame:
+        return self._read("chunks", "h bigint, size int, other bigint")
+
+    def frequent(self) -> DataFrame:
+        return self._read("frequent", "h bigint, df bigint")
+
+    def near(self, records: DataFrame, picked: DataFrame) -> DataFrame:
+        """``cid`` of the records that are near to a stored one of other content.
+
+        Chunks that many stored records hold are first tried with one representative of
+        each size class, so that a family of near files meets a family in linear time; only
+        records that aren't near to it are compared with all.
+        """
+        table, stored = self.chunks(), self.records()
+        frequent = self.frequent().select("h").distinct()
+        leading = table.join(frequent, "h", "left_semi").groupBy("h", "size").agg(F.min("other").alias("other"))
+        asked = cut(_asked(picked, self.threshold))
+        found = cut(confirmed(spread_join(asked, leading, ["h", "size"]).select("cid", "other").distinct(), records, stored, self.threshold).select("cid").distinct())
+        rest = cut(asked.join(found, "cid", "left_anti"))
+        more = confirmed(spread_join(rest, table, ["h", "size"]).select("cid", "other").distinct(), records, stored, self.threshold)
+        return found.unionByName(more.select("cid").distinct())
+
+
+def repeated_deliveries(deliveries: DataFrame, accepted: DataFrame, samples: DataFrame, threshold: float = 0.8, store: ChunkStore | None = None, batch: str = "deliveries") -> DataFrame:
     """(id, match_kind) of deliveries that repeat an accepted file, ``exact`` or ``near``.
 
     ``deliveries`` has id, ts (orders with id; null first), checksum, path; ``accepted`` has checksum and
-    path of the history; ``samples`` path and content. A delivery that is no case is
-    accepted itself and counts for later ones. Null checksums equal nothing; deliveries
-    without content can only repeat exactly, contents without lines are near to nothing.
-    Repeated rows of one delivery give one row.
+    path of files accepted before; ``samples`` path and content. ``store`` keeps the chunks of accepted files
+    from batch to batch; what it holds counts as accepted, the contents of ``accepted`` are added to it
+    as batch ``<batch>-before``, those accepted here as ``<batch>``. Unset, a new one beside the
+    checkpoints is used. A delivery that is no case is accepted itself and counts for later
+    ones; a run that is repeated gives what it gave. Null checksums equal nothing; deliveries without content can only repeat
+    exactly, contents without lines are near to nothing. Repeated rows of one delivery
+    give one row.
 
     Deliveries of equal checksum and content are one case after their first, so only the
-    first of each such group is decided: against the history, then among each other in
-    rounds, each deciding every delivery whose earlier rivals are decided. Copies are never
-    paired; pairs exist only between classes of different content.
+    first of each such group is decided: against the store, then among each other.
+    Copies are never paired.
     """
-    files = cut(chunked(samples, "path", "content"))
+    spark = samples.sparkSession
+    store = store or ChunkStore(spark, shared_folder(spark, "chunks"), threshold)
+    files = cut(chunked(samples, "path", "content", threshold))
     named = files.groupBy("path").agg(F.min("class").alias("class"))  # a path that comes twice has one content
-    old = accepted.join(named, "path", "left").select("checksum", "class")
+    old = cut(accepted.join(named, "path", "left").select("checksum", "class"))
     new = cut(deliveries.join(named, "path", "left").select("id", F.struct(F.coalesce("ts", F.lit(-(2**63))).alias("ts"), F.col("id").alias("id")).alias("at"), "checksum", "class"))
 
     old_sums = old.filter(F.col("checksum").isNotNull()).select("checksum").distinct()
     old_classes = old.filter(F.col("class").isNotNull()).select("class").distinct()
     seen = old_classes.withColumn("old", F.lit(True)).unionByName(new.filter(F.col("class").isNotNull()).select("class").withColumn("old", F.lit(False)))
     contents = cut(files.drop("path").dropDuplicates(["class"]).join(seen.groupBy("class").agg(F.max("old").alias("old")), "class"))
-    known, probe = contents.filter("old").drop("old"), contents.filter("NOT old").drop("old")
-    hit = cut(near_classes(probe, chunk_table(known, threshold), known, threshold).select("class").distinct().unionByName(old_classes))
+    before = f"{batch}-before"
+    store.append(before, contents.filter("old").drop("old").join(store.without(batch, before).records().select("class"), "class", "left_anti"))
+
+    store = store.without(batch)
+    stored = store.records().select("class")
+    probe = cut(contents.filter("NOT old").drop("old").join(stored, "class", "left_anti"))
+    frequent = frequent_chunks(chunk_table(probe, threshold)).unionByName(store.frequent())
+    picked = cut(picked_chunks(probe, frequent, threshold))
+    near_old = cut(store.near(probe, picked))
+    hit = cut(probe.withColumn("cid", _cid()).join(near_old, "cid", "left_semi").select("class").unionByName(stored))
 
     firsts = new.filter(F.col("checksum").isNotNull() | F.col("class").isNotNull()).groupBy("checksum", "class").agg(F.min("at").alias("at"))
-    open_ = firsts.join(old_sums, "checksum", "left_anti").join(hit, "class", "left_anti")
-    rest = probe.join(hit, "class", "left_anti")
-    pairs = near_classes(rest, chunk_table(rest, threshold), rest, threshold)
-    links = cut(pairs.unionByName(pairs.select(F.col("other").alias("class"), F.col("class").alias("other"))).distinct())
-    taken = _accept_in_order(cut(open_), links)
+    open_ = firsts.join(old_sums, "checksum", "left_anti").join(hit, "class", "left_anti").withColumn("cid", F.when(F.col("class").isNotNull(), _cid()))
+    rest = cut(probe.join(hit, "class", "left_anti"))
+    taken, around = _accept_in_order(cut(open_), rest, picked.join(rest.select(_cid().alias("cid")), "cid", "left_semi"), threshold)
+    store.append(batch, rest.join(taken.filter(F.col("class").isNotNull()).select("class").distinct(), "class", "left_semi"))
 
     by_sum = taken.filter(F.col("checksum").isNotNull()).groupBy("checksum").agg(F.min("at").alias("sum_at"))
-    own = taken.filter(F.col("class").isNotNull()).select("class", "at")
-    around = links.join(own.withColumnRenamed("class", "other"), "other").select("class", "at")
-    by_class = own.unionByName(around).groupBy("class").agg(F.min("at").alias("class_at"))
+    own = taken.filter(F.col("cid").isNotNull()).select("cid", "at")
+    by_class = own.unionByName(around).groupBy("cid").agg(F.min("at").alias("class_at")).join(rest.select(_cid().alias("cid"), "class"), "cid").select("class", "class_at")
     sums = old_sums.withColumn("old_sum", F.lit(True)).join(by_sum, "checksum", "full")
     classes = hit.withColumn("old_class", F.lit(True)).join(by_class, "class", "full")
     out = new.filter(F.col("checksum").isNotNull() | F.col("class").isNotNull())
@@ -198,46 +323,103 @@ def repeated_deliveries(deliveries: DataFrame, accepted: DataFrame, samples: Dat
     return out.filter(exact | near).select("id", F.when(exact, "exact").otherwise("near").alias("match_kind")).distinct()
 
 
-def _accept_in_order(open_: DataFrame, links: DataFrame) -> DataFrame:
-    """First deliveries (checksum, class, at) that are accepted.
+def _accept_in_order(open_: DataFrame, records: DataFrame, picked: DataFrame, threshold: float, most_pairs: int = SETTLED_PAIRS, most_units: int = SETTLED_UNITS) -> tuple[DataFrame, DataFrame]:
+    """(accepted first deliveries, (cid, at) of the accepted ones each record is near to).
 
-    In each round a delivery is accepted if it is the first among the undecided of its
-    checksum, of its class and of all linked classes; everything undecided that shares
-    one of these with an accepted delivery is a case. The earliest undecided delivery is
-    always decided, chains of linked deliveries shorten from their start.
+    A delivery is accepted if none accepted before it has its checksum, its content or a
+    near content. While the undecided ones share chunks in more pairs than one task may
+    settle, rounds of ``_leaders`` decide the earliest of every chunk and all that repeat
+    them: a family of mutually near files is gone after its first member was compared
+    with each. What is left goes through ``_settled`` in one pass; deliveries entangled
+    with no other are accepted without it.
     """
-    taken: list[DataFrame] = []
+    taken, around = [], []
+    picked = cut(picked)
     while not open_.isEmpty():
-        first_sum = open_.filter(F.col("checksum").isNotNull()).groupBy("checksum").agg(F.min("at").alias("s_at"))
-        first_class = open_.filter(F.col("class").isNotNull()).groupBy("class").agg(F.min("at").alias("c_at"))
-        rival = links.join(first_class.select(F.col("class").alias("other"), "c_at"), "other").groupBy("class").agg(F.min("c_at").alias("r_at"))
-        state = open_.join(first_sum, "checksum", "left").join(first_class.join(rival, "class", "left"), "class", "left")
-        ready = F.coalesce(F.col("s_at") == F.col("at"), F.lit(True)) & F.coalesce(F.col("c_at") == F.col("at"), F.lit(True)) & F.coalesce(F.col("r_at") > F.col("at"), F.lit(True))
-        now = cut(state.filter(ready).select("checksum", "class", "at"))
+        live = cut(picked.join(open_.select("cid").distinct(), "cid", "left_semi"))
+        shared = live.select(F.explode("keys").alias("h")).groupBy("h").agg(F.count(F.lit(1)).cast("double").alias("k"))
+        n_pairs = shared.agg(F.sum(F.col("k") * (F.col("k") - 1) / 2).alias("n")).first().n or 0
+        if n_pairs <= most_pairs:
+            now, near, bounded = _settled(open_, records, live, threshold, most_units)
+            if bounded:
+                taken.append(now)
+                around.append(near)
+                break
+        now, near, open_ = _leaders(open_, records, live, threshold)
         taken.append(now)
-        near = now.filter(F.col("class").isNotNull()).select("class")
-        near = near.unionByName(links.join(near.withColumnRenamed("class", "other"), "other", "left_semi").select("class")).distinct()
-        open_ = cut(open_.join(now.filter(F.col("checksum").isNotNull()).select("checksum").distinct(), "checksum", "left_anti").join(near, "class", "left_anti"))
-    out = taken[0] if taken else open_.select("checksum", "class", "at")
-    for t in taken[1:]:
-        out = out.unionByName(t)
-    return out
+        around.append(near)
+    nothing = open_.select("checksum", "class", "cid", "at").limit(0)
+    every = lambda frames, empty: cut(_union(frames or [empty]))
+    return every(taken, nothing), every(around, nothing.select("cid", "at"))
 
 
-class ChunkStore:
-    """The chunk table on disk: one folder per accepted batch, appended once the batch is decided."""
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
 
-    def __init__(self, spark: SparkSession, path: str, threshold: float = 0.8):
-        self.spark, self.path, self.threshold = spark, path.rstrip("/"), threshold
+def _size_near(a: Column, b: Column, threshold: float) -> Column:
+    return (a >= F.lit(threshold - 1e-9) * b) & (b >= F.lit(threshold - 1e-9) * a)
 
-    def append(self, batch: str, classes: DataFrame) -> None:
-        """Adds a batch; the same batch again replaces what an earlier attempt left."""
-        classes.drop("path").dropDuplicates(["class"]).write.mode("overwrite").parquet(f"{self.path}/classes/batch={batch}")
 
-    def classes(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/classes").drop("batch").dropDuplicates(["class"])
+def _leaders(open_: DataFrame, records: DataFrame, live: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One round: (accepted now, (cid, at) near to them, still undecided).
 
-    def near(self, batch: DataFrame) -> DataFrame:
-        """(class, other) between a new batch and the store, without touching files of earlier batches."""
-        known = self.classes()
-        return near_classes(batch.drop("path").dropDuplicates(["class"]), chunk_table(known, self.threshold), known, self.threshold)
+    Every record is compared with the first ``LEADERS`` undecided of each of its chunks.
+    One that is among these in all its chunks has met every earlier one it could be near
+    to; if it is near to none it is accepted, once its checksum and content are free too.
+    The earliest undecided delivery always is.
+    """
+    first_class = open_.filter(F.col("cid").isNotNull()).groupBy("cid").agg(F.min("at").alias("c_at"))
+    each = cut(live.join(first_class, "cid").select("cid", "n", "c_at", F.explode("keys").alias("h")))
+    rank = F.row_number().over(Window.partitionBy("h").orderBy("c_at", "cid"))
+    lead = cut(each.withColumn("rank", rank).filter(F.col("rank") <= LEADERS).select("h", F.col("cid").alias("other"), F.col("c_at").alias("o_at"), F.col("n").alias("o_n")))
+    clear = lead.groupBy(F.col("other").alias("cid")).agg(F.count(F.lit(1)).alias("k")).join(live.select("cid", F.size("keys").alias("all")), "cid").filter(F.col("k") == F.col("all")).select("cid")
+    met = spread_join(each, lead, ["h"]).filter(((F.col("o_at") < F.col("c_at")) | ((F.col("o_at") == F.col("c_at")) & (F.col("other") < F.col("cid")))) & _size_near(F.col("n"), F.col("o_n"), threshold))
+    links = cut(confirmed(met.select("cid", "other").distinct(), records, records, threshold))
+    free = clear.join(links.select("cid").distinct(), "cid", "left_anti").withColumn("free", F.lit(True))
+    first_sum = open_.filter(F.col("checksum").isNotNull()).groupBy("checksum").agg(F.min("at").alias("s_at"))
+    state = open_.join(first_sum, "checksum", "left").join(first_class, "cid", "left").join(free, "cid", "left")
+    ready = (F.col("checksum").isNull() | (F.col("s_at") == F.col("at"))) & (F.col("cid").isNull() | ((F.col("c_at") == F.col("at")) & F.coalesce("free", F.lit(False))))
+    now = cut(state.filter(ready).select("checksum", "class", "cid", "at"))
+    own = now.filter(F.col("cid").isNotNull()).select(F.col("cid").alias("other"), "at")
+    near = cut(links.join(own, "other").groupBy("cid").agg(F.min("at").alias("at")))
+    gone = own.select(F.col("other").alias("cid")).unionByName(near.select("cid")).distinct()
+    sums = now.filter(F.col("checksum").isNotNull()).select("checksum").distinct()
+    return now, near, cut(open_.join(sums, "checksum", "left_anti").join(gone, "cid", "left_anti"))
+
+
+def _settled(open_: DataFrame, records: DataFrame, live: DataFrame, threshold: float, most_units: int) -> tuple[DataFrame, DataFrame, bool]:
+    """(accepted, (cid, at) near to them, whether few enough deliveries were entangled to decide them here)."""
+    each = cut(live.select("cid", "n", F.explode("keys").alias("h")))
+    other = each.select("h", F.col("cid").alias("other"), F.col("n").alias("o_n"))
+    met = each.join(other, "h").filter((F.col("cid") < F.col("other")) & _size_near(F.col("n"), F.col("o_n"), threshold))
+    links = confirmed(met.select("cid", "other").distinct(), records, records, threshold)
+    links = cut(links.select(F.explode(F.array(F.struct("cid", "other"), F.struct(F.col("other").alias("cid"), F.col("cid").alias("other")))).alias("e")).select("e.*"))
+    same = lambda c: open_.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias(f"n_{c}"))
+    linked = links.groupBy("cid").agg(F.collect_list("other").alias("others"))
+    state = cut(open_.join(same("checksum"), "checksum", "left").join(same("cid"), "cid", "left").join(linked, "cid", "left"))
+    entangled = (F.coalesce("n_checksum", F.lit(0)) > 1) | (F.coalesce("n_cid", F.lit(0)) > 1) | F.col("others").isNotNull()
+    columns = ["checksum", "class", "cid", "at"]
+    if state.filter(entangled).limit(most_units + 1).count() > most_units:
+        return open_.limit(0), open_.limit(0), False
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, cids = set(), set()
+        for b in batches:
+            keep = []
+            for s, c, others in zip(*(b.column(i).to_pylist() for i in (0, 2, 4)), strict=True):
+                ok = s not in sums and c not in cids and cids.isdisjoint(others or ())
+                keep.append(ok)
+                if ok:
+                    sums.update(() if s is None else (s,))
+                    cids.update(() if c is None else (c,))
+            yield pa.table([b.column(i) for i in range(4)], names=columns).filter(pa.array(keep)).combine_chunks().to_batches()[0] if any(keep) else pa.RecordBatch.from_arrays([b.column(i).slice(0, 0) for i in range(4)], columns)
+
+    in_order = state.filter(entangled).select(*columns, "others").repartition(1).sortWithinPartitions("at")
+    decided = in_order.mapInArrow(settle, open_.select(*columns).schema)
+    now = cut(state.filter(~entangled).select(*columns).unionByName(decided))
+    near = links.join(now.filter(F.col("cid").isNotNull()).select(F.col("cid").alias("other"), "at"), "other").groupBy("cid").agg(F.min("at").alias("at"))
+    return now, cut(near), True

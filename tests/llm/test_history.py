@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from sluice.llm import history as h
@@ -103,19 +104,85 @@ def test_copies_never_become_pairs(spark):
 def test_chunks_are_cut_by_content():
     rnd = random.Random(1)
     line = bytes(rnd.randrange(97, 123) for _ in range(20_000))
-    a, b = h.chunks(line), h.chunks(line[:9_000] + b"insert" + line[9_000:])
-    assert b"".join(a) == line and max(map(len, a)) <= h.MAX_CHUNK and len(set(a) & set(b)) > 0.9 * len(a)
-    assert h.chunks(b"short") == [b"short"]
+    pieces = lambda *lines: np.split(h.chunk_lines(list(lines))[0], np.cumsum(h.chunk_lines(list(lines))[1])[:-1])
+    (a,), (b,) = pieces(line), pieces(line[:9_000] + b"insert" + line[9_000:])
+    lengths = a & h._LENGTHS
+    assert lengths.sum() == len(line) and lengths.max() <= h.MAX_CHUNK and len(set(a) & set(b)) > 0.9 * len(a) > 500
+    assert (pieces(b"another line, " * 9, line, b"x")[1] == a).all()  # whatever stands beside it
+    assert len(pieces(b"short")[0]) == 1 and len(pieces(b"a" * 5_000)[0]) >= 5
 
 
-def test_store_finds_near_classes_of_earlier_batches(spark, tmp_path):
+def test_ordinary_lines_are_cut():
+    lines = [f"s{i:010d},{i * 7919 % 99999:05d}a{i % 9999:04d},2026-06-{i % 28 + 1:02d},{i * 31 % 5000}".encode() for i in range(500)]
+    assert len(h.chunk_lines(lines)[0]) > 1.5 * len(lines)
+
+
+def test_coverage_never_refuses_near_files():
+    rnd = random.Random(3)
+    for _ in range(300):
+        base = [("x" if rnd.random() < 0.3 else "") + f"{rnd.randrange(40)} row " * rnd.choice([1, 1, 2, 30]) + str(rnd.random()) for _ in range(rnd.randrange(1, 15))]
+        sides = [h.normalized_lines("\n".join(mutate(rnd, base, rnd.choice([0, 1, 2])))) for _ in range(2)]
+        if not all(sides) or len(set(sides[0]) & set(sides[1])) < 0.8 * len(set(sides[0]) | set(sides[1])):
+            continue
+        keys = [set(h.chunk_lines([x.encode() for x in s])[0].tolist()) for s in sides]
+        shared = sum(k & h._LENGTHS for k in keys[0] & keys[1])
+        for s, own in zip(sides, keys, strict=True):
+            longest = sorted(len(x.encode()) for x in s)[int(h.least_shared(len(s), 0.8)) :]
+            assert shared >= sum(k & h._LENGTHS for k in own) - sum(longest)
+
+
+CHUNKED = "path string, content string"
+
+
+def test_store_finds_near_records_of_earlier_batches(spark, tmp_path):
     store = h.ChunkStore(spark, str(tmp_path))
-    make = lambda rows: h.chunked(spark.createDataFrame(rows, "path string, content string"), "path", "content")
+    make = lambda rows: h.chunked(spark.createDataFrame(rows, CHUNKED), "path", "content")
     text = "\n".join(f"l{i}" for i in range(10))
     store.append("1", make([("a", text), ("b", "other")]))
     store.append("1", make([("a", text), ("b", "other")]))
     store.append("2", make([("c", "third")]))
-    assert store.classes().count() == 3
+    assert store.records().count() == 3 and store.without("1").records().count() == 1
     new = make([("x", text + "\nextra"), ("y", "unlike")])
-    near = store.near(new).collect()
-    assert len(near) == 1 and near[0]["class"] == new.filter("path = 'x'").first()["class"]
+    near = store.near(new, h.picked_chunks(new, store.frequent(), 0.8)).collect()
+    assert [r.cid for r in near] == [new.filter("path = 'x'").select(h._cid()).first()[0]]
+
+
+def test_batches_meet_the_store_and_not_old_contents(spark, tmp_path):
+    """The second batch names no old file and brings no old content; repeating it changes nothing."""
+    store = h.ChunkStore(spark, str(tmp_path))
+    text = lambda k, extra: "\n".join([f"{k} line {i}" for i in range(12)] + extra)
+
+    def batch(name, deliveries, samples):
+        d = spark.createDataFrame(deliveries, "id bigint, ts bigint, checksum string, path string")
+        a = spark.createDataFrame([], "checksum string, path string")
+        s = spark.createDataFrame(samples, CHUNKED)
+        return {tuple(r) for r in h.repeated_deliveries(d, a, s, store=store, batch=name).collect()}
+
+    assert batch("one", [(1, 1, None, "a"), (2, 2, None, "b")], [("a", text("a", [])), ("b", text("b", []))]) == set()
+    second = ([(3, 3, None, "c"), (4, 4, None, "d"), (5, 5, None, "e")], [("c", text("a", ["new"])), ("d", text("d", [])), ("e", text("e", []))])
+    for _ in range(2):
+        assert batch("two", *second) == {(3, "near")}
+        assert sorted(store.batches()) == ["one", "one-before", "two", "two-before"] and store.records().count() == 4
+    assert batch("three", [(6, 6, None, "f")], [("f", text("d", ["x", "y"]))]) == {(6, "near")}
+
+
+@pytest.mark.parametrize("bounds", [(0, 10**6), (10**6, 0)])
+def test_rounds_of_leaders_decide_alike(spark, monkeypatch, bounds):
+    monkeypatch.setattr(h._accept_in_order, "__defaults__", bounds)
+    test_equals_the_sequential_rule(spark, 11)
+    test_chains_are_decided_in_order(spark)
+
+
+def test_a_family_of_near_files_forms_no_pairs(spark, monkeypatch):
+    """1,500 mutually near files of different content: each is compared with a few leaders, not with all."""
+    base = [f"line {i}" for i in range(30)]
+    samples = [(f"p{i}", "\n".join([*base, f"own {i}"])) for i in range(1_500)]
+    compared = []
+    real = h.confirmed
+    monkeypatch.setattr(h, "confirmed", lambda pairs, *a: compared.append(pairs.count()) or real(pairs, *a))
+    monkeypatch.setattr(h._accept_in_order, "__defaults__", (10_000, 10_000))
+    got = run(spark, [(i, i, None, f"p{i}") for i in range(1_500)], [], samples)
+    assert got == {(i, "near") for i in range(1, 1_500)} and sum(compared) <= 1_500 * h.LEADERS * 8
+    compared.clear()
+    got = run(spark, [(i, i, None, f"p{i}") for i in range(700, 1_500)], [(None, f"p{i}") for i in range(700)], samples)
+    assert len(got) == 800 and sum(compared) <= 800 * 12
