@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.functions.instants import INSTANT_TEXT_SQL, instant_text_micros
 from sluice.functions.text import CANONICAL_ID_SQL, CHANGE_KIND_SQL, canonical_id, is_blank
 from sluice.operators import changefeed, drift, manifest, parsefail
-from sluice.session import table
+from sluice.session import shared_folder, table
 
 MEMBER_FEED = changefeed.ChangeFeed("subscriber_id", "last_modified_ts", "source_sequence_number", "last_modified_op", "rec_id", ("hios_id", "middle_name", "amount"))
 
@@ -44,6 +45,7 @@ def p2_by_file(spark: SparkSession, root: str) -> DataFrame:
 
 
 FEED_ENTITY = "health_sherpa_member"
+INCREMENT = T.StructType([T.StructField("source_sequence_number", T.LongType()), T.StructField("subscriber_id", T.StringType())])
 
 
 def complete_windows(runs: DataFrame, entity: str = FEED_ENTITY) -> DataFrame:
@@ -56,15 +58,17 @@ def complete_windows(runs: DataFrame, entity: str = FEED_ENTITY) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    """The increment a run over all landed windows commits, as saved in its output."""
     rows = table(spark, root, "health_sherpa_member").filter(F.col("source_sequence_number").isNotNull()).select(
         canonical_id(F.col("subscriber_id")).alias("subscriber_id"),
         "source_sequence_number",
         instant_text_micros(F.col("extract_start_ts")).alias("w_start"),
         instant_text_micros(F.col("extract_end_ts")).alias("w_end"),
     )
-    processed = complete_windows(table(spark, root, "ingest_run_audit"))
-    delta = manifest.record_delta(rows, processed, ["w_start", "w_end"], ["source_sequence_number"], [F.max("subscriber_id").alias("subscriber_id")])
-    return delta.filter(F.col("subscriber_id").isNotNull()).select("subscriber_id", "source_sequence_number")
+    out = manifest.VersionedTable(spark, shared_folder(spark, "increments"))
+    newest = [F.max("subscriber_id").alias("subscriber_id")]
+    manifest.process_units(rows, complete_windows(table(spark, root, "ingest_run_audit")), ["w_start", "w_end"], ["source_sequence_number"], newest, out, FEED_ENTITY)
+    return out.read(INCREMENT).filter(F.col("subscriber_id").isNotNull()).select("subscriber_id", "source_sequence_number")
 
 
 def p5_units(spark: SparkSession, root: str) -> DataFrame:

@@ -15,13 +15,48 @@ def values(df):
     return sorted((r.id, r.v) for r in df.collect())
 
 
-def test_record_delta_masks_what_processed_units_carry(spark):
+def test_record_delta_masks_what_processed_units_carry(spark, monkeypatch):
     landed = spark.createDataFrame([(1, None, 10), (1, 5, 10), (2, 5, 10), (2, 6, 11), (3, None, 11), (4, 7, None), (4, 7, None)], "seq bigint, a bigint, b bigint")
     done = spark.createDataFrame([(None, 10), (5, 11), (6, 11), (6, 11)], "a bigint, b bigint")
-    got = m.record_delta(landed, done, ["a", "b"], ["seq"], [F.count(F.lit(1)).alias("n")])
-    assert sorted(map(tuple, got.collect())) == [(3, 1), (4, 2)]
-    assert m.record_delta(landed.limit(0), done, ["a", "b"], ["seq"], []).count() == 0
-    assert m.record_delta(landed, done.limit(0), ["a", "b"], ["seq"], []).count() == 4
+    unit = ["a", "b"]
+
+    def delta(landed, done):
+        return m.record_delta(landed, m.diff(m.manifest(landed, unit), done, unit), unit, ["seq"], [F.count(F.lit(1)).alias("n")])
+
+    for _ in range(2):
+        assert sorted(map(tuple, delta(landed, done).collect())) == [(3, 1), (4, 2)]
+        assert delta(landed.limit(0), done).count() == 0 and delta(landed, done.limit(0)).count() == 4
+        monkeypatch.setattr(m, "small_enough", lambda *_: False)
+
+
+def test_units_are_processed_once_whatever_fails(spark, tmp_path, monkeypatch):
+    """A run that dies between its data and its commit leaves nothing behind; the next one takes all."""
+    out, unit = m.VersionedTable(spark, str(tmp_path / "o")), ["w"]
+    schema = T.StructType([T.StructField("seq", T.LongType()), T.StructField("n", T.LongType())])
+    landed = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (3, "b"), (None, "c")], "seq bigint, w string")
+    run = lambda rows, done="x string": m.process_units(rows, spark.createDataFrame([(done,)], "w string"), unit, ["seq"], [F.count(F.lit(1)).alias("n")], out, "feed")
+    seen = lambda: sorted((r.seq is not None, r.seq, r.n) for r in out.read(schema).collect())
+    real = m.VersionedTable._publish
+    monkeypatch.setattr(m.VersionedTable, "_publish", lambda *_: (_ for _ in ()).throw(OSError("killed")))
+    with pytest.raises(OSError, match="killed"):
+        run(landed, "a")
+    assert out.version() == -1 and seen() == []
+    monkeypatch.setattr(m.VersionedTable, "_publish", real)
+    assert run(landed, "a") == 0 and out.processed("feed") == 3
+    assert seen() == [(False, None, 1), (True, 3, 1)]
+    assert run(landed, "a") == 0
+    more = landed.unionByName(spark.createDataFrame([(3, "d"), (4, "d"), (4, "d")], "seq bigint, w string"))
+    assert run(more, "a") == 1 and out.processed("feed") == 4
+    assert seen() == [(False, None, 1), (True, 3, 1), (True, 4, 2)]
+
+
+def test_a_commit_file_is_whole_or_absent(spark, tmp_path):
+    t = m.VersionedTable(spark, str(tmp_path / "t"))
+    t.commit(-1, added=rows(spark, (1, "a")))
+    (tmp_path / "t/commits/.left.json").write_text("")
+    assert t.version() == 0 and t.commit(0, added=rows(spark, (2, "b"))) == 1
+    assert values(t.read(SCHEMA)) == [(1, "a"), (2, "b")]
+    assert sorted(p.name for p in (tmp_path / "t/commits").glob("[0-9]*.json")) == ["0.json", "1.json"]
 
 
 def test_diff(spark):
