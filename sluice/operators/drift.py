@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.text import normalized_header, spark_type_name
 from sluice.operators.ordered import previous_row
-from sluice.session import lookup_join
+from sluice.session import cut, lookup_join
 
 #: Most columns one fused table may have.
 MAX_COLUMNS = 5_000
@@ -46,30 +46,43 @@ def header_columns(headers: DataFrame, contract: DataFrame) -> DataFrame:
     return rows.withColumn("cols", first).drop("__names", "__types", "__known")
 
 
+def branches(columns: DataFrame) -> DataFrame:
+    """The tagged union, one row per header and path: the path's name and type there. ``columns`` is what ``header_columns`` gives."""
+    return columns.select("entity", "header_id", "event_ts", F.explode("cols").alias("c")).select("entity", "header_id", "event_ts", "c.col", "c.name", "c.type")
+
+
+def fused_pairs(union: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Fuses two headers' schemas each: one row per path of either, with the alternative of the new and of the old one.
+
+    ``pairs`` has header_id and ``was``, the header before it. Every header takes part in its
+    own pair and in the next one's, so the shuffle is by pair and path and no entity, however
+    large, meets in one task.
+    """
+    sides = F.explode(F.array(F.struct(F.col("header_id").alias("member"), F.lit(True).alias("new")), F.struct(F.col("was").alias("member"), F.lit(False).alias("new"))))
+    members = pairs.select("header_id", sides.alias("s")).select("header_id", "s.member", "s.new")
+    each = union.select(F.col("header_id").alias("member"), "col", F.struct("name", "type").alias("tag")).join(members, "member")
+    return each.groupBy("header_id", "col").agg(F.max(F.when(F.col("new"), F.col("tag"))).alias("now"), F.max(F.when(~F.col("new"), F.col("tag"))).alias("was"))
+
+
 def header_changes(headers: DataFrame, contract: DataFrame) -> DataFrame:
     """Changes of each header row against the row with headers before it in its entity.
 
-    Order is event_ts (null first), then header_id. The first row of an entity has no
-    changes. Types that are missing on either side are no change of type.
+    Both schemas are fused; a path with an alternative on one side only was added or
+    removed, one whose alternatives differ in name or type was renamed or retyped. Order is
+    event_ts (null first), then header_id. The first row of an entity has no changes. Types
+    that are missing on either side are no change of type. Repeated rows count once.
     """
-    rows = header_columns(headers, contract).select("entity", "event_ts", "header_id", "cols")
-    pairs = previous_row(rows, ["entity"], ["event_ts", "header_id"], ["cols"], "before").filter(F.col("before").isNotNull())
-    now, was = F.transform("cols", lambda e: e["col"]), F.transform("before.cols", lambda e: e["col"])
-    old = F.map_from_entries(F.transform("before.cols", lambda e: F.struct(e["col"], F.struct(e["name"].alias("name"), e["type"].alias("type")))))
-
-    def tagged(names: Column, kind: str) -> Column:
-        return F.transform(names, lambda n: F.struct(n.alias("column_name"), F.lit(kind).alias("change_kind")))
-
-    pairs = pairs.withColumns({"__now": now, "__was": was, "__old": old})
-    common = F.filter("cols", lambda e: F.map_contains_key("__old", e["col"]))
-    differs = lambda part: F.transform(F.filter(common, lambda e: e[part] != F.element_at("__old", e["col"])[part]), lambda e: e["col"])
-    every = F.concat(
-        tagged(F.array_except("__now", "__was"), "added"),
-        tagged(F.array_except("__was", "__now"), "removed"),
-        tagged(differs("name"), "renamed"),
-        tagged(differs("type"), "retyped"),
+    union = cut(branches(header_columns(headers, contract)))
+    order = headers.filter(F.trim("actual_source_headers") != "").select("entity", "event_ts", "header_id").distinct()
+    before = previous_row(order, ["entity"], ["event_ts", "header_id"], ["header_id"], "before").filter(F.col("before").isNotNull())
+    fused = fused_pairs(union, before.select("header_id", F.col("before.header_id").alias("was")))
+    kinds = F.array(
+        F.when(F.col("was").isNull(), "added"),
+        F.when(F.col("now").isNull(), "removed"),
+        F.when(F.col("now.name") != F.col("was.name"), "renamed"),
+        F.when(F.col("now.type") != F.col("was.type"), "retyped"),
     )
-    return pairs.select("header_id", F.explode(every).alias("c")).select("header_id", "c.column_name", "c.change_kind")
+    return fused.select("header_id", F.col("col").alias("column_name"), F.explode(F.array_compact(kinds)).alias("change_kind"))
 
 
 #: Types from narrow to wide within each family.
@@ -95,7 +108,7 @@ def canonical_type(types: Column) -> Column:
 
 def fused_schema(columns: DataFrame) -> DataFrame:
     """Per entity and column: its alternatives with the header each first appeared in, and the canonical type."""
-    each = columns.select("entity", "header_id", "event_ts", F.explode("cols").alias("c")).select("entity", "header_id", "event_ts", "c.col", F.coalesce("c.type", F.lit("string")).alias("type"))
+    each = branches(columns).withColumn("type", F.coalesce("type", F.lit("string")))
     first = each.groupBy("entity", "col", "type").agg(F.min(F.struct("event_ts", "header_id")).alias("since"), F.count(F.lit(1)).alias("files"))
     fused = first.groupBy("entity", "col").agg(F.array_sort(F.collect_list(F.struct("type", F.col("since.header_id").alias("since_header_id"), "files"))).alias("alternatives"))
     return fused.withColumn("canonical_type", canonical_type(F.transform("alternatives", lambda a: a["type"])))
@@ -127,17 +140,20 @@ def consistent_table(rows: DataFrame, columns: DataFrame) -> DataFrame:
     width = overall.orderBy("col").limit(MAX_COLUMNS + 1).collect()
     if len(width) > MAX_COLUMNS:
         raise ValueError(f"more than {MAX_COLUMNS} columns")
-    h = columns.select("header_id", "entity", F.map_from_entries(F.transform("cols", lambda e: F.struct(e["col"], F.struct(e["pos"].alias("pos"), F.coalesce(e["type"], F.lit("string")).alias("type"))))).alias("__at"))
+    # once per header: where each column of the table stands in it, and with which type
+    place = F.map_from_entries(F.transform("cols", lambda e: F.struct(e["col"], F.struct(e["pos"].alias("pos"), F.coalesce(e["type"], F.lit("string")).alias("type")))))
+    at = F.transform(F.array(*[F.lit(w.col) for w in width]), lambda name: F.element_at(F.col("__map"), name)) if width else F.array().cast("array<struct<pos:int,type:string>>")
+    h = columns.select("header_id", "entity", place.alias("__map")).select("header_id", "entity", at.alias("__at"))
     joined = lookup_join(rows.select("file_row_id", "header_id", "row_idx", "cell_values"), h, ["header_id"], "left", row_bytes=2048)
+    read = lambda p: F.trim(F.get(F.col("cell_values"), p["pos"]))
+    cells = F.transform("__at", lambda p: F.struct(F.when(read(p) != "", read(p)).alias("text"), p["type"].alias("type")))
     out = []
-    for w in width:
-        at = F.element_at("__at", F.lit(w.col))
-        text = F.trim(F.get(F.col("cell_values"), at["pos"]))
-        text = F.when(text != "", text)
-        out.append(_convert(text, w.canonical_type).alias(w.col))
+    for i, w in enumerate(width):
+        value = F.col("__cells")[i]
+        out.append(_convert(value["text"], w.canonical_type).alias(w.col))
         if len(w.types) > 1:
-            out += [_convert(F.when(at["type"] == t, text), t).alias(f"{w.col}__{_tag(t)}") for t in w.types]
-    return joined.select("file_row_id", "header_id", "entity", "row_idx", *out)
+            out += [_convert(F.when(value["type"] == t, value["text"]), t).alias(f"{w.col}__{_tag(t)}") for t in w.types]
+    return joined.withColumn("__cells", F.explode(F.array(cells))).select("file_row_id", "header_id", "entity", "row_idx", *out)
 
 
 def _tag(kind: str) -> str:
