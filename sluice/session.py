@@ -53,6 +53,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored_copy(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as a table beside the checkpoints; later uses read only the columns they need."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small_enough(df: DataFrame, row_bytes: int = 64) -> bool:
     """Whether ``df`` is within the broadcast caps; reads at most one row more than the cap."""
     cap = min(BROADCAST_KEY_CAP, BROADCAST_BYTE_CAP // max(1, row_bytes))
