@@ -53,7 +53,7 @@ def record_delta(rows: DataFrame, changes: DataFrame, unit: list[str], record: l
     states = changes.filter(F.col("change") != "removed").select(*unit, (F.col("change") == "kept").cast("int").alias("__kept"))
     flagged = lookup_join(rows, states, unit, "inner")
     added = cut(flagged.filter(F.col("__kept") == 0).groupBy(*record).agg(*carried))
-    if small_enough(added, 32 * len(added.columns)):
+    if small_enough(added):
         keys = added.select(*[F.col(c).alias(f"__r_{i}") for i, c in enumerate(record)])
         same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"__r_{i}")) for i, c in enumerate(record)))
         masked = flagged.filter(F.col("__kept") == 1).join(F.broadcast(keys), same, "left_semi").select(*[F.col(c).alias(f"__r_{i}") for i, c in enumerate(record)]).distinct()
@@ -197,7 +197,7 @@ class VersionedTable:
             rows = rows.filter(F.col("run").isin(runs))
         names = entries.select(F.col("file").alias("__file"))
         located = rows.drop("run").withColumns({"__file": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")})
-        return located.join(F.broadcast(names) if small_enough(names, 256) else names, "__file", "left_semi")
+        return located.join(F.broadcast(names) if small_enough(names) else names, "__file", "left_semi")
 
     def read(self, schema, version: int | None = None) -> DataFrame:
         """Rows of a version without those in deletion vectors."""

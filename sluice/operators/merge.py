@@ -1,10 +1,12 @@
 """Freshness-compared upsert of a batch into a current-state table.
 
-``merge`` is a pure function of two DataFrames. It needs one pass over the target: a
-batch within the broadcast caps is joined to the target where the target lies, so
-untouched rows are never shuffled; a larger one meets it in one full outer join on
-null-safe keys. Each output row carries its outcome, so all counters come from one
-aggregate. No keyed operator stands above a union.
+``merge`` is a pure function of two DataFrames. Both meet in one full outer join on
+null-safe keys, which reads each once. Where the target is a stored table much larger
+than a broadcast may be and the batch is measured to be small, the batch is written
+once and joined to the target where the target lies, so untouched rows are never
+shuffled; which keys are new takes a second scan of the target's key columns alone.
+Each output row carries its outcome, so all counters come from one aggregate. No keyed
+operator stands above a union.
 """
 
 from __future__ import annotations
@@ -18,12 +20,14 @@ from pyspark.sql import types as T
 from sluice.functions.order import OrderTerm, parse_terms, precedes, resolve
 from sluice.functions.text import quoted
 from sluice.operators.keys import latest_per_key, split_blank_keys, unchecked_casts
-from sluice.session import prepare, small_enough
+from sluice.session import BROADCAST_BYTE_CAP, cut, prepare, small_enough, stored_bytes
 
 #: What a soft-delete indicator may say.
 DELETE_VALUES = ("true", "1", "y", "d")
 INSERTED, UPDATED, DELETED, IGNORED, UNCHANGED, PASSED, ABSENT = "inserted", "updated", "deleted", "ignored", "unchanged", "passthrough", "absent"
 OUTCOME = "_outcome"
+#: A target of so many times the broadcast cap is worth a second scan of its keys rather than a shuffle of its rows.
+LARGE_TARGET = 8
 
 
 class MergeError(ValueError):
@@ -145,10 +149,15 @@ def merge(incoming: DataFrame, target: DataFrame, spec: MergeSpec, small: bool |
     ``create_timestamp`` and get ``last_modified_op`` U. A winning tombstone becomes a
     retained row with op D and ``is_deleted`` true, where those columns exist. Outcomes: unchanged (key not in the batch),
     inserted, updated, deleted, ignored (the target's row stays, be it fresher or equal). ``small`` says
-    whether the batch may be broadcast; unset, its size is checked. An empty batch
-    leaves the target as it is; an empty target takes all.
+    whether the batch may be broadcast; unset, its bytes are measured if the target is large
+    enough for that to pay. An empty batch leaves the target as it is; an empty target takes all.
     """
     prepare(target.sparkSession)
+    if small is None:
+        small = stored_bytes(target) > LARGE_TARGET * BROADCAST_BYTE_CAP
+        if small:
+            incoming = cut(incoming)
+            small = small_enough(incoming)
     names = target.columns
     lower = {c.lower(): c for c in names}
     if OUTCOME in lower:
@@ -198,8 +207,6 @@ def merge(incoming: DataFrame, target: DataFrame, spec: MergeSpec, small: bool |
         kept = F.when(advance, I(c)).otherwise(O(c)) if c in version else O(c)
         out.append(F.when(wins, taken).otherwise(kept).alias(c))
     out.append(outcome.alias(OUTCOME))
-    if small is None:
-        small = small_enough(incoming, row_bytes=32 * max(1, len(incoming.columns)))
     if not small:
         return t.join(i, on, "full").select(*out)
     stayed = t.join(F.broadcast(i), on, "left").select(*out)
@@ -285,7 +292,7 @@ def affected_partitions(incoming: DataFrame, target: DataFrame, spec: MergeSpec)
     for k in spec.keys:
         on = on & quoted(k).eqNullSafe(quoted("i_" + k))
     slim = target.select(*dict.fromkeys([*spec.keys, *cols]))
-    if small_enough(keys, 32 * len(spec.keys)):
+    if small_enough(keys):
         keys = F.broadcast(keys)
     old = slim.join(keys, on, "left_semi").select(*cols)
     return new.unionByName(old).distinct()

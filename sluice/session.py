@@ -5,12 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Distinct keys up to which a join side may be broadcast.
 BROADCAST_KEY_CAP = 1_000_000
-#: Bytes up to which a join side may be broadcast, counted as rows times the given row width.
+#: Bytes up to which a join side may be broadcast.
 BROADCAST_BYTE_CAP = 64 << 20
 
 
@@ -53,20 +54,53 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored_copy(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as a table beside the checkpoints; later uses read only the columns they need."""
-    path = shared_folder(df.sparkSession, name)
+def stored_copy(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written once as a table in a shared folder; later uses read only the columns they need."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_enough(df: DataFrame, row_bytes: int = 64) -> bool:
-    """Whether ``df`` is within the broadcast caps; reads at most one row more than the cap."""
-    cap = min(BROADCAST_KEY_CAP, BROADCAST_BYTE_CAP // max(1, row_bytes))
-    return df.limit(cap + 1).count() <= cap
+def forget(spark: SparkSession, path: str) -> None:
+    """Deletes a folder made by ``stored_copy`` that no plan reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def lookup_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "left", row_bytes: int = 64, salts: int = 16) -> DataFrame:
+def _width(df: DataFrame) -> Column:
+    """Bytes of a row: 8 for values of fixed width, 8 and their length for texts, the length of their JSON for nested ones."""
+    nested = T.ArrayType | T.MapType | T.StructType
+    out, deep = F.lit(8 * len(df.columns)), []
+    for f in df.schema.fields:
+        name = "`" + f.name.replace("`", "``") + "`"
+        if isinstance(f.dataType, T.StringType | T.BinaryType):
+            out = out + F.coalesce(F.octet_length(name), F.lit(0))
+        elif isinstance(f.dataType, nested):
+            deep.append(F.col(name))
+    return out + F.octet_length(F.to_json(F.struct(*deep))) if deep else out
+
+
+def small_enough(df: DataFrame, row_bytes: int | None = None) -> bool:
+    """Whether ``df`` is within the broadcast caps; reads at most one row more than the key cap.
+
+    Rows are measured, or counted at ``row_bytes`` each if that is given.
+    """
+    if row_bytes is not None:
+        cap = min(BROADCAST_KEY_CAP, BROADCAST_BYTE_CAP // max(1, row_bytes))
+        return df.limit(cap + 1).count() <= cap
+    n = df.select(_width(df).cast("bigint").alias("w")).limit(BROADCAST_KEY_CAP + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("w"), F.lit(0)).alias("bytes")).first()
+    return n.n <= BROADCAST_KEY_CAP and n.bytes <= BROADCAST_BYTE_CAP
+
+
+def stored_bytes(df: DataFrame) -> int:
+    """Size of the stored table ``df`` selects from, by the catalog or its files; 0 for anything that has to be computed first."""
+    node = df._jdf.queryExecution().optimizedPlan()
+    while node.children().size() == 1 and node.nodeName() in ("Project", "Filter", "SubqueryAlias", "View"):
+        node = node.children().apply(0)
+    stored = node.children().size() == 0 and node.nodeName() not in ("LogicalRDD", "LocalRelation", "Range", "OneRowRelation", "LogicalQueryStage")
+    return int(str(node.stats().sizeInBytes())) if stored else 0
+
+
+def lookup_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "left", row_bytes: int | None = None, salts: int = 16) -> DataFrame:
     """Joins a lookup table on null-safe keys without ever gathering a hot key in one task.
 
     The lookup side is broadcast if a count proves it small. Otherwise it is copied

@@ -125,4 +125,4 @@ def without_edges(df: DataFrame, skip_first: int = 0, drop_last: int = 0) -> Dat
     lines, w = ided.select("source_file", "__id"), Window.partitionBy("source_file")
     ends = [lines.withColumn("__n", F.row_number().over(w.orderBy(order))).filter(F.col("__n") <= n) for n, order in ((skip_first, F.col("__id")), (drop_last, F.col("__id").desc())) if n]
     gone = reduce(lambda a, b: a.unionByName(b), ends).select("source_file", "__id").distinct()
-    return ided.join(F.broadcast(gone) if small_enough(gone, 256) else gone, ["source_file", "__id"], "left_anti").select(*[quoted(c) for c in df.columns])
+    return ided.join(F.broadcast(gone) if small_enough(gone) else gone, ["source_file", "__id"], "left_anti").select(*[quoted(c) for c in df.columns])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sluice.functions.order import OrderError, parse_term, parse_terms
 from sluice.operators import keys, merge
 from sluice.operators.merge import MergeError, MergeSpec
+from sluice.session import small_enough, spread_join, stored_bytes
 
 SPEC = MergeSpec(keys=("k",), freshness="v", tie_breakers=("seq",))
 COLUMNS = "k string, v int, seq int, x string, record_hash string, create_timestamp timestamp_ntz, last_modified_op string, flag string, is_deleted boolean"
@@ -77,6 +78,46 @@ def test_a_small_batch_does_not_shuffle_the_target(spark):
     assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 2
 
 
+def test_the_plan_follows_the_measured_sizes(spark, tmp_path, monkeypatch):
+    """A full outer join reads each side once; only a stored large target and a small batch make it a broadcast, and the batch is evaluated once."""
+    table(spark, [(f"k{i}", 1, 1, "p" * 500, None, None) for i in range(500)], OLD).write.parquet(str(tmp_path / "t"))
+    tgt, seen = spark.read.parquet(str(tmp_path / "t")), spark.sparkContext.accumulator(0)
+
+    def batch(width):
+        def count(rows):
+            for b in rows:
+                seen.add(b.num_rows)
+                yield b
+
+        rows = table(spark, [(f"k{i}", 2, 1, "q" * width, None, None) for i in range(490, 510)], NEW).coalesce(1)
+        return rows.mapInArrow(count, rows.schema)
+
+    plan = lambda m: m._jdf.queryExecution().executedPlan().toString()
+    assert stored_bytes(tgt.filter("v = 1").select("k")) == stored_bytes(tgt) > 1_000 and stored_bytes(tgt.distinct()) == stored_bytes(spark.range(5)) == 0
+    whole = merge.merge(batch(1), tgt, SPEC)
+    assert plan(whole).count("FileScan") == 1 and "BroadcastHashJoin" not in plan(whole)
+    want = sorted(map(repr, whole.collect()))
+    monkeypatch.setattr(merge, "LARGE_TARGET", 0)
+    seen.value = 0
+    near = merge.merge(batch(1), tgt, SPEC)
+    assert "SortMergeJoin" not in plan(near) and plan(near).count("FileScan") == 2 and sorted(map(repr, near.collect())) == want and seen.value == 20
+    monkeypatch.setattr("sluice.session.BROADCAST_BYTE_CAP", 10_000)
+    assert small_enough(batch(100)) and not small_enough(batch(1_000)) and not small_enough(batch(1).withColumn("a", F.array(F.lit("z" * 1_000))))
+    assert "BroadcastHashJoin" not in plan(merge.merge(batch(1_000), tgt, SPEC))
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_keys_are_spread(spark, how):
+    big = spark.range(3_000).selectExpr("id", "IF(id % 3 = 0, 'hot', IF(id % 50 = 1, NULL, CAST(id % 40 AS STRING))) AS k")
+    other = spark.createDataFrame([("hot", 1), ("hot", 2), ("5", 3), (None, 4)], "k string, x int")
+    want = sorted(map(tuple, big.join(other, "k", how).select("id", "x").collect()), key=str)
+    for most in (100, 10**6):
+        got = spread_join(big, other, ["k"], how, hot_rows=most)
+        assert sorted(map(tuple, got.select("id", "x").collect()), key=str) == want and set(got.columns) == {"k", "id", "x"}
+    spread = spread_join(big.repartition(4), other, ["k"], how, hot_rows=100)
+    assert spread.filter("k = 'hot'").count() == 2_000
+
+
 def test_union_trap_stays_away(spark):
     """Inputs that are themselves deduplicated by the key, in every plan."""
     raw = spark.range(15000).selectExpr("id", "id % 1500 AS k", "pmod(hash(id), 2000) AS v")
