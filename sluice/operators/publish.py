@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import time
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -75,12 +76,16 @@ def _overwrite_mode(spark: SparkSession, mode: str):
         spark.conf.set(key, before)
 
 
-def publish(df: DataFrame, target: str, guards: Guards = Guards(), fmt: str = "parquet", partitions: tuple[str, ...] = (), scoped: bool = False) -> int:
+def publish(
+    df: DataFrame, target: str, guards: Guards = Guards(), fmt: str = "parquet", partitions: tuple[str, ...] = (), scoped: bool = False, aside: tuple[str, ...] = (), inspect: Callable[[DataFrame], object] | None = None
+) -> int:
     """Writes a staging table, checks it, then replaces the target in one statement; returns the rows published.
 
     With ``scoped`` only partitions present in ``df`` are replaced, otherwise all of the
-    table. The plan of ``df`` may read the target: it is executed into staging first. The
-    staging table is dropped whatever happens. A missing target is created.
+    table. The plan of ``df`` may read the target: it is executed into staging first, once.
+    Columns ``aside`` are staged but not published. ``inspect`` sees the staged rows, with
+    them, before the target changes, and may refuse by raising. The staging table is dropped
+    whatever happens. A missing target is created.
     """
     spark = df.sparkSession
     identifier(target)
@@ -91,6 +96,9 @@ def publish(df: DataFrame, target: str, guards: Guards = Guards(), fmt: str = "p
         spark.sql(f"ALTER TABLE {staged} SET TBLPROPERTIES ('{_CREATED}' = '{int(time.time() * 1000)}')")
         n = check(spark, staged, target, guards)
         rows = spark.table(staged)
+        if inspect:
+            inspect(rows)
+        rows = rows.drop(*aside)
         if not spark.catalog.tableExists(target):
             rows.write.format(fmt).partitionBy(*partitions).saveAsTable(target)
         else:
@@ -102,11 +110,17 @@ def publish(df: DataFrame, target: str, guards: Guards = Guards(), fmt: str = "p
         spark.sql(f"DROP TABLE IF EXISTS {staged}")
 
 
-def drop_partitions(spark: SparkSession, target: str, partitions: DataFrame, cap: int = DROP_CAP) -> int:
-    """Drops the listed partitions; refuses more than ``cap``. Null values name the default partition."""
+def droppable(partitions: DataFrame, cap: int = DROP_CAP) -> list:
+    """The listed partitions; refuses more than ``cap``."""
     got = partitions.limit(cap + 1).collect()
     if len(got) > cap:
         raise PublishError(f"more than {cap} partitions would be dropped")
+    return got
+
+
+def drop_partitions(spark: SparkSession, target: str, partitions: DataFrame, cap: int = DROP_CAP) -> int:
+    """Drops the listed partitions; refuses more than ``cap``. Null values name the default partition."""
+    got = droppable(partitions, cap)
     for row in got:
         spec = ", ".join(f"`{c}` = " + ("null" if row[c] is None else "'" + str(row[c]).replace("\\", "\\\\").replace("'", "\\'") + "'") for c in partitions.columns)
         spark.sql(f"ALTER TABLE {identifier(target)} DROP IF EXISTS PARTITION ({spec})")

@@ -58,19 +58,22 @@ def summary(rejected: DataFrame) -> DataFrame:
 
 
 def payload(columns: list[str], mode: str, keys: list[str] = (), sensitive: list[str] = ()) -> Column:
-    """The rejected record as JSON. FULL as it is, MASKED and HASHED hide sensitive columns, KEYS_ONLY has the keys."""
+    """The rejected record as JSON.
+
+    FULL as it is; HASHED has the SHA-256 of every value; MASKED hashes the sensitive
+    columns, of which there must be some; KEYS_ONLY has the key columns, sensitive ones
+    hashed. Null values are left out.
+    """
     hidden = {s.lower() for s in sensitive}
     if mode not in ("FULL", "MASKED", "HASHED", "KEYS_ONLY"):
         raise ValueError(f"payload mode {mode!r} must be FULL, MASKED, HASHED or KEYS_ONLY")
-    fields = []
-    for c in keys if mode == "KEYS_ONLY" else columns:
-        v = quoted(c)
-        if c.lower() in hidden and mode == "MASKED":
-            v = F.when(v.isNotNull(), F.lit("***"))
-        elif c.lower() in hidden and mode in ("HASHED", "KEYS_ONLY"):
-            v = F.sha2(v.cast("string"), 256)
-        fields.append(v.alias(c))
-    return F.to_json(F.struct(*fields))
+    if mode == "MASKED" and not hidden:
+        raise ValueError("payload mode MASKED needs sensitive columns, else it would mask nothing")
+    if mode == "KEYS_ONLY" and not keys:
+        raise ValueError("payload mode KEYS_ONLY needs the key columns")
+    digest = lambda c: F.sha2(quoted(c).cast("string"), 256)
+    secret = lambda c: mode == "HASHED" or mode != "FULL" and c.lower() in hidden
+    return F.to_json(F.struct(*[(digest(c) if secret(c) else quoted(c)).alias(c) for c in (keys if mode == "KEYS_ONLY" else columns)]))
 
 
 def check_limits(n_total: int, n_rejected: int, max_count: int | None = None, max_percent: float | None = None) -> None:

@@ -17,6 +17,8 @@ import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,12 +28,17 @@ from sluice.operators import keys, ledger, merge, rejects, stamps
 from sluice.operators.contract import Contract, curated_gate, enforce, null_violations, type_changes
 from sluice.operators.ledger import Counts
 from sluice.operators.merge import MergeSpec
-from sluice.operators.publish import DROP_CAP, SHRINK_PERCENT, Guards, append_control, append_raw, drop_partitions, publish
+from sluice.operators.publish import SHRINK_PERCENT, Guards, append_control, append_raw, drop_partitions, droppable, publish
 from sluice.operators.rejects import RejectRule
-from sluice.operators.validate import cast_losses, content_violations
+from sluice.operators.validate import cast_losses, content_violations, control_total
+from sluice.session import cut
 from sluice.sources import raw
 
 
+#: How the raw event of a run says that an earlier one had landed its window.
+SKIP_WINDOW = "skip_window"
+
+
 class PipelineError(RuntimeError):
     """A run that must not go on; the message starts with its code."""
 
@@ -63,6 +70,10 @@ class Feed:
     discard: Callable[[str], object] | None = None
     window: Callable[[str], tuple[str, str] | None] = lambda run_id: None
     hold_on_rejects: bool = False
+    skip_loaded_files: bool = False
+    control_total: str | None = None
+    reject_payload: str | None = None
+    on_finish: Callable[[dict], object] | None = None
     conf: dict = field(default_factory=dict)
 
 
@@ -80,10 +91,10 @@ class Run:
     resume: bool = False
     force: bool = False
 
-    def event(self, stage: str, status: str, message: str = "", c: Counts = Counts()) -> None:
+    def event(self, stage: str, status: str, message: str = "", c: Counts = Counts(), control_total: str | None = None) -> None:
         w = self.feed.window(self.run_id) or ("", "")
         row = (
-            self.run_id, self.feed.entity, stage, status, c.source, c.raw, c.accepted, c.rejected, c.inserted, c.updated, c.deleted, None, ledger.sanitize(message),
+            self.run_id, self.feed.entity, stage, status, c.source, c.raw, c.accepted, c.rejected, c.inserted, c.updated, c.deleted, control_total, ledger.sanitize(message),
             dt.datetime.now(dt.UTC).replace(tzinfo=None), self.mode, w[0], w[1], __version__, config.fingerprint(self.feed.conf), getpass.getuser(),
         )
         append_control(self.spark, self.feed.ledger_table, ledger.LEDGER_SCHEMA, [row])
@@ -108,7 +119,17 @@ class Run:
         except Exception as e:
             self.event(name, ledger.FAILED, str(e))
             raise
-        self.event(name, ledger.SUCCESS, "dry-run" if self.dry_run else box.get("message", ""), box["counts"])
+        self.event(name, ledger.SUCCESS, "dry-run" if self.dry_run else box.get("message", ""), box["counts"], box.get("control_total"))
+
+    def landed(self) -> DataFrame:
+        """What this run has to curate: its own rows, or those of its window where an earlier run had landed it."""
+        raw_table, runs = self.spark.table(self.feed.raw_table), self.runs()
+        w = self.feed.window(self.run_id)
+        if w and runs is not None:
+            own = runs.filter((F.col("run_id") == self.run_id) & (F.col("entity") == self.feed.entity) & ledger.succeeded(ledger.RAW))
+            if not own.filter(F.col("message").startswith(SKIP_WINDOW)).isEmpty():
+                return raw.window_slice(raw_table, w)
+        return raw.slice_of(raw_table, run_id=self.run_id)
 
 
 def land(run: Run) -> Counts:
@@ -126,34 +147,54 @@ def land(run: Run) -> Counts:
         w = f.window(run.run_id) or ("", "")
         df = stamps.stamp_raw(df, f.file_type, stamps.Lineage(run.run_id, extract_start_ts=w[0], extract_end_ts=w[1]), source_file=F.lit(f.entity))
         df = stamps.stamp_hash(df) if f.record_hash else df
-        classified = rejects.classify(df, f.reject_rules).persist()
-        try:
-            n = classified.agg(F.count(F.lit(1)).alias("n"), F.count("error_code").alias("bad")).first()
-            rejects.check_limits(n.n, n.bad, max_percent=f.max_reject_percent)
-            accepted = classified.filter(F.col("error_code").isNull()).drop("error_code", "error_message", "reject_category")
-            skipped = duplicates = 0
-            landed = spark.table(f.raw_table) if spark.catalog.tableExists(f.raw_table) else None
-            what = "APPEND"
-            if landed is not None:
-                held = w[1] != "" and run.runs() is not None and ledger.window_had_rejects(run.runs(), f.entity, run.run_id, *w)
-                what = raw.decision(landed, run.run_id, w, held, run.force)
-            if f.idempotency_key:
-                duplicates = keys.duplicate_keys(accepted, list(f.idempotency_key), with_blank=True).count()
-                if landed is not None and what == "APPEND":
-                    kept = raw.not_landed(accepted, landed, list(f.idempotency_key))
-                    skipped = n.n - n.bad - kept.count()
-                    accepted = kept
-            written = -1
-            if not run.dry_run and what == "APPEND":
-                append_raw(accepted, f.raw_table, metadata=stamps.RAW_COLUMNS + stamps.LINEAGE_COLUMNS)
-                if f.rejects_table and n.bad:
-                    append_raw(_reject_rows(classified, run), f.rejects_table)
-                written = raw.slice_of(spark.table(f.raw_table), run_id=run.run_id).count()
-            box["message"] = "" if what == "APPEND" else what.lower()
-            box["counts"] = Counts(source=n.n, raw=written, accepted=n.n - n.bad, rejected=n.bad, overlap_skipped=skipped, duplicate_versions=duplicates if f.idempotency_key else -1)
-            return box["counts"]
-        finally:
-            classified.unpersist()
+        classified = cut(rejects.classify(df, f.reject_rules))
+        n = classified.agg(F.count(F.lit(1)).alias("n"), F.count("error_code").alias("bad")).first()
+        rejects.check_limits(n.n, n.bad, max_percent=f.max_reject_percent)
+        accepted = classified.filter(F.col("error_code").isNull()).drop("error_code", "error_message", "reject_category")
+        passed = n.n - n.bad
+        skipped, duplicates, notes = 0, -1, []
+        landed = spark.table(f.raw_table) if spark.catalog.tableExists(f.raw_table) else None
+        what = "APPEND"
+        if landed is not None:
+            held = w[1] != "" and run.runs() is not None and ledger.window_had_rejects(run.runs(), f.entity, run.run_id, *w)
+            what = raw.decision(landed, run.run_id, w, held, run.force)
+            if what == "APPEND" and w[1] and not run.force and raw.drifted_end(landed, run.run_id, w):
+                notes.append(f"drift: the window from {w[0]} has landed with another end")
+        if f.idempotency_key:
+            duplicates = keys.duplicate_keys(accepted, list(f.idempotency_key), with_blank=True).count()
+        if landed is not None and what == "APPEND" and (f.skip_loaded_files or f.idempotency_key):
+            kept = raw.without_loaded_files(accepted, landed)[0] if f.skip_loaded_files else accepted
+            kept = raw.not_landed(kept, landed, list(f.idempotency_key)) if f.idempotency_key else kept
+            accepted = cut(kept)
+            skipped = passed - accepted.count()
+        written = -1
+        if not run.dry_run and what == "APPEND":
+            append_raw(accepted, f.raw_table, metadata=stamps.RAW_COLUMNS + stamps.LINEAGE_COLUMNS)
+            if f.rejects_table:
+                _store_rejects(_reject_rows(classified, run), run)
+            written = raw.slice_of(spark.table(f.raw_table), run_id=run.run_id).count()
+        elif not run.dry_run:
+            # nothing is written; the rows to account for are those that have landed before
+            own = raw.window_slice(landed, w) if what == "SKIP_WINDOW" else raw.slice_of(landed, run_id=run.run_id)
+            written = passed = own.count()
+        if f.control_total:
+            box["control_total"] = control_total(accepted, f.control_total).first().control_total
+        box["message"] = "; ".join(([] if what == "APPEND" else [what.lower()]) + notes)
+        box["counts"] = Counts(source=n.n if what == "APPEND" else -1, raw=written, accepted=passed, rejected=n.bad, overlap_skipped=skipped, duplicate_versions=duplicates)
+        return box["counts"]
+
+
+def _store_rejects(rows: DataFrame, run: Run) -> None:
+    """Rejects of a run as one slice: a run that comes again replaces what an earlier attempt left, if it differs."""
+    table = run.feed.rejects_table
+    mine = {"run_id": run.run_id, "entity": run.feed.entity}
+    if not run.spark.catalog.tableExists(table) or run.spark.table(table).filter(reduce(and_, (F.col(k) == v for k, v in mine.items()))).isEmpty():
+        if not rows.isEmpty():
+            append_raw(rows, table)
+        return
+    new = rejects.replaced_slice(run.spark.table(table), rows, mine)
+    if new is not None:
+        publish(new, table, Guards(allow_empty=True))
 
 
 def _reject_rows(classified: DataFrame, run: Run) -> DataFrame:
@@ -161,7 +202,7 @@ def _reject_rows(classified: DataFrame, run: Run) -> DataFrame:
     hidden = [c.name for c in run.feed.contract.columns if c.sensitive] if run.feed.contract else []
     return classified.filter(F.col("error_code").isNotNull()).select(
         F.lit(run.run_id).alias("run_id"), F.lit(run.feed.entity).alias("entity"), "file_id", "source_file", "row_idx",
-        rejects.payload(data, "MASKED" if hidden else "FULL", sensitive=hidden).alias("raw_record"), "error_code", "error_message", "reject_category", F.current_timestamp().alias("reject_ts"),
+        rejects.payload(data, run.feed.reject_payload or ("MASKED" if hidden else "FULL"), keys=list(run.feed.spec.keys) if run.feed.spec else [], sensitive=hidden).alias("raw_record"), "error_code", "error_message", "reject_category", F.current_timestamp().alias("reject_ts"),
     )
 
 
@@ -207,20 +248,35 @@ def curate(run: Run, landed: DataFrame) -> Counts:
             out = merge.merge(df, spark.table(f.curated_table), f.spec)
         if f.keep_keyless and f.spec:
             out = merge.with_passthrough(out, keyless, [c for c in out.columns if c != merge.OUTCOME])
-        out = out.persist()
-        try:
-            n = merge.outcome_counts(out).first()
-            if not run.dry_run:
-                unique = f.spec.keys if f.spec and not f.keep_keyless else ()
-                guards = Guards(allow_empty=partitions is not None or (full and total == 0), unique_keys=unique, max_shrink_percent=None if full else SHRINK_PERCENT, shrink_base=None if partitions is None else merge.partition_slice(spark.table(f.curated_table), partitions).count())
-                gone = merge.emptied_partitions(partitions, out).limit(DROP_CAP + 1).collect() if partitions is not None else []
-                publish(out.drop(merge.OUTCOME), f.curated_table, guards, partitions=f.spec.partition_columns if f.spec else (), scoped=partitions is not None)
-                if gone:
-                    drop_partitions(spark, f.curated_table, spark.createDataFrame(gone, partitions.schema))
-            box["counts"] = Counts(**(base.__dict__ | {"inserted": n.inserted, "updated": n.updated, "deleted": n.deleted, "ignored": n.ignored}))
-            return box["counts"]
-        finally:
-            out.unpersist()
+        box["counts"] = base
+        if run.dry_run:
+            seen = merge.outcome_counts(out).first()
+        else:
+            found: dict = {"gone": []}
+
+            def inspect(staged: DataFrame) -> None:
+                found["n"] = merge.outcome_counts(staged).first()
+                if partitions is not None:
+                    found["gone"] = droppable(merge.emptied_partitions(partitions, staged))
+
+            unique = f.spec.keys if f.spec and not f.keep_keyless else ()
+            shrink_base = None if partitions is None else merge.partition_slice(spark.table(f.curated_table), partitions).count()
+            guards = Guards(allow_empty=partitions is not None or (full and total == 0), unique_keys=unique, max_shrink_percent=None if full else SHRINK_PERCENT, shrink_base=shrink_base)
+            publish(out, f.curated_table, guards, partitions=f.spec.partition_columns if f.spec else (), scoped=partitions is not None, aside=(merge.OUTCOME,), inspect=inspect)
+            seen = found["n"]
+            if found["gone"]:
+                drop_partitions(spark, f.curated_table, spark.createDataFrame(found["gone"], partitions.schema))
+        box["counts"] = Counts(**(base.__dict__ | {"inserted": seen.inserted, "updated": seen.updated, "deleted": seen.deleted, "ignored": seen.ignored}))
+        return box["counts"]
+
+
+def _previous_window(run: Run) -> tuple[str, str] | None:
+    """The window of the latest other run of the entity that landed one."""
+    runs = run.runs()
+    if runs is None:
+        return None
+    last = ledger.last_raw_window(runs.filter((F.col("entity") == run.feed.entity) & (F.col("run_id") != run.run_id))).first()
+    return (last.window_start, last.window_end) if last else None
 
 
 def run_feed(spark: SparkSession, feed: Feed, run_id: str | None = None, mode: str = "INCR", dry_run: bool = False, resume: bool = False, force: bool = False) -> tuple[str, list[ledger.Check]]:
@@ -230,24 +286,36 @@ def run_feed(spark: SparkSession, feed: Feed, run_id: str | None = None, mode: s
     try:
         got = land(run)
         if dry_run:
+            _finished(run, ledger.SUCCESS, "dry-run")
             return run.run_id, []
-        cur = curate(run, raw.slice_of(spark.table(feed.raw_table), run_id=run.run_id))
+        cur = curate(run, run.landed())
         both = Counts(**(got.__dict__ | {k: v for k, v in cur.__dict__.items() if k not in ("source", "raw", "accepted", "rejected", "overlap_skipped", "duplicate_versions", "replayed")}))
         if got.overlap_skipped:
             both = Counts(**(both.__dict__ | {"accepted": both.accepted - got.overlap_skipped, "overlap_skipped": 0, "source": -1}))
-        checks = ledger.reconcile(both, dry_run=dry_run)
+        checks = ledger.reconcile(both, feed.window(run.run_id) if mode == "INCR" else None, _previous_window(run) if mode == "INCR" else None, dry_run)
         ledger.enforce(checks, feed.on_mismatch)
         if feed.commit and not (feed.hold_on_rejects and got.rejected > 0) and config.commits_watermark(feed.conf):
             feed.commit(run.run_id)
         elif feed.discard:
             feed.discard(run.run_id)
+        _finished(run, ledger.SUCCESS, counts=both)
         return run.run_id, checks
-    except Exception:
+    except Exception as e:
         if feed.discard:
             feed.discard(run.run_id)
+        _finished(run, ledger.FAILED, str(e))
         raise
 
 
+def _finished(run: Run, status: str, message: str = "", counts: Counts = Counts()) -> None:
+    """Tells ``on_finish`` how a run ended; whatever goes wrong there is no failure of the run."""
+    if run.feed.on_finish:
+        try:
+            run.feed.on_finish({"run_id": run.run_id, "entity": run.feed.entity, "mode": run.mode, "status": status, "message": ledger.sanitize(message), "counts": counts.__dict__})
+        except Exception as e:  # noqa: BLE001
+            print(f"on_finish of {run.run_id}: {ledger.sanitize(str(e))}", file=sys.stderr)
+
+
 def replay(spark: SparkSession, feed: Feed, run_id: str, mode: str = "INCR") -> list[ledger.Check]:
     """Curates a landed run again; needs its raw SUCCESS and never touches the position."""
     run = Run(spark, feed, run_id, mode)
@@ -255,8 +323,7 @@ def replay(spark: SparkSession, feed: Feed, run_id: str, mode: str = "INCR") ->
     batch = None if runs is None else ledger.batches(runs, feed.entity).filter(F.col("run_id") == run_id).first()
     if batch is None:
         raise PipelineError(f"PIPE_005 run {run_id} has no raw SUCCESS")
-    landed = raw.slice_of(spark.table(feed.raw_table), run_id=run_id)
-    counts = curate(run, landed)
+    counts = curate(run, run.landed())
     expected = runs.filter((F.col("run_id") == run_id) & ledger.succeeded(ledger.RAW)).agg(F.max("raw_count").alias("n")).first().n
     checks = ledger.reconcile(Counts(**(counts.__dict__ | {"accepted": -1, "replayed": -1 if expected is None else expected})))
     ledger.enforce(checks, feed.on_mismatch)

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from sluice.operators.merge import MergeError, MergeSpec, merge, outcome_counts, prepare_batch, with_passthrough
+from sluice.operators.merge import OUTCOME, MergeError, MergeSpec, merge, outcome_counts, prepare_batch, with_passthrough
 from sluice.operators.publish import SHRINK_PERCENT, Guards, publish
 
 
@@ -51,12 +51,9 @@ class MicroBatchMerge:
         merged = merge(valid, target, self.spec)
         if self.keep_keyless:
             merged = with_passthrough(merged, keyless, target.columns)
-        merged = merged.persist()
-        try:
-            counts = outcome_counts(merged).first().asDict()
-            publish(merged.drop("_outcome"), self.table, Guards(unique_keys=self.spec.keys, max_shrink_percent=SHRINK_PERCENT))
-        finally:
-            merged.unpersist()
+        counts: dict = {}
+        guards = Guards(unique_keys=self.spec.keys, max_shrink_percent=SHRINK_PERCENT)
+        publish(merged, self.table, guards, aside=(OUTCOME,), inspect=lambda staged: counts.update(outcome_counts(staged).first().asDict()))
         if self.on_counts:
             self.on_counts(f"stream-{batch_id}", counts)
 

@@ -91,7 +91,9 @@ def test_ledger_scenarios(spark):
     got = {r.run_id: r.continuous for r in ledger.window_continuity(runs).collect()}
     assert got == {"r1": True, "r2": True, "r3": False, "r4": got.get("r4")} or got == {"r1": True, "r2": True, "r3": False}
     assert ids(ledger.pending(runs.limit(0))) == []
-    assert ledger.sanitize("x Password=abc;y") == "x Password=***;y" and ledger.sanitize(None) == "" and ledger.sanitize("a" * 5000).endswith("(truncated)")
+    assert ledger.sanitize("x Password=abc;y") == "x Password=***;y" and ledger.sanitize(None) == "" and ledger.sanitize("a" * 5000).endswith(" [1000 characters cut]")
+    assert ledger.sanitize("jdbc:x://ann:pw@h/d?user=ann&db.password='a b'&n=1") == "jdbc:x://***@h/d?user=ann&db.password=***&n=1"
+    assert ledger.sanitize('{"apiKey": "k", "rows": 5} Authorization: Bearer abcdefgh12 end') == '{"apiKey": ***, "rows": 5} Authorization: *** *** end'
 
 
 def test_reconciliation():

@@ -135,6 +135,92 @@ def test_the_same_run_does_not_land_twice(spark, db):
     assert spark.table(f.ledger_table).filter("status = 'SKIPPED'").count() == 2 and spark.table(f.curated_table).count() == 3
 
 
+WINDOW = ("2026-01-01T00:00:00Z", "2026-01-05T00:00:00Z")
+
+
+@pytest.mark.parametrize("policy", ["FAIL", "WARN"])
+def test_a_window_that_landed_but_was_not_curated_is_curated_by_the_next_run(spark, db, policy):
+    """r1 lands and dies in the curated stage; r2 over the same window lands nothing, curates what r1 landed, and only then commits."""
+    done = []
+    f = feed(spark, db, [claims(spark, *SECOND)] * 3, commit=done.append, window=lambda run_id: WINDOW, on_mismatch=policy, reject_rules=[])
+    f.types = {"amount": "date"}
+    with pytest.raises(pipeline.PipelineError, match="CUR_003"):
+        pipeline.run_feed(spark, f, "r1")
+    f.types = {}
+    assert done == [] and spark.table(f.raw_table).count() == 3
+    run_id, checks = pipeline.run_feed(spark, f, "r2")
+    assert all(c.passed for c in checks) and {c.name for c in checks} >= {"raw_equals_accepted", "curated_accounts_for_accepted_rows", "watermark_continuity"}
+    assert done == ["r2"] and spark.table(f.raw_table).count() == 3
+    assert content(spark, f.curated_table, "claim_id", "amount") == [("C1", "90"), ("C2", "250"), ("C4", "400")]
+    pipeline.run_feed(spark, f, "r3")
+    pipeline.replay(spark, f, "r2")
+    assert done == ["r2", "r3"] and spark.table(f.curated_table).count() == 3 and spark.table(f.raw_table).count() == 3
+
+
+def test_a_resumed_run_curates_the_window_it_skipped(spark, db):
+    f = feed(spark, db, [claims(spark, *SECOND)] * 2, window=lambda run_id: WINDOW, reject_rules=[])
+    f.types = {"amount": "date"}
+    for run_id in ("r1", "r2"):
+        with pytest.raises(pipeline.PipelineError, match="CUR_003"):
+            pipeline.run_feed(spark, f, run_id)
+    f.types = {}
+    pipeline.run_feed(spark, f, "r2", resume=True)
+    assert spark.table(f.curated_table).count() == 3 and spark.table(f.raw_table).count() == 3
+
+
+def test_windows_that_drift_or_leave_a_gap_are_told(spark, db):
+    windows = {"r1": WINDOW, "r2": (WINDOW[0], "2026-01-06T00:00:00Z"), "r3": ("2026-01-09T00:00:00Z", "2026-01-10T00:00:00Z")}
+    f = feed(spark, db, [claims(spark, *SECOND)] * 3, window=windows.get, reject_rules=[], control_total="sum(amount)")
+    pipeline.run_feed(spark, f, "r1")
+    pipeline.run_feed(spark, f, "r2")
+    ended = {r.run_id: (r.message, r.control_total) for r in spark.table(f.ledger_table).filter("stage = 'raw' AND status = 'SUCCESS'").collect()}
+    assert ended["r1"] == ("", "740.0") and ended["r2"][0].startswith("drift: ")
+    with pytest.raises(ledger.ReconciliationError, match="watermark_continuity"):
+        pipeline.run_feed(spark, f, "r3")
+
+
+def test_rejects_of_a_run_are_one_slice_and_ends_are_told(spark, db):
+    ends = []
+    f = feed(spark, db, [claims(spark, *FIRST)] * 3 + [claims(spark, *SECOND)], reject_payload="HASHED", on_finish=ends.append, on_mismatch="WARN")
+    pipeline.run_feed(spark, f, "r1")
+    pipeline.run_feed(spark, f, "r1", force=True)
+    (secret,) = content(spark, f.rejects_table, "raw_record")
+    assert "C3" not in secret[0] and secret[0].count(":") == 3
+    f.reject_rules = [RejectRule("none", "claim_id = 'C1'", "R2", "x")]
+    pipeline.run_feed(spark, f, "r1", force=True)
+    assert content(spark, f.rejects_table, "error_code") == [("R2",)]
+
+    def fails(body):
+        raise OSError("nobody listens")
+
+    f.on_finish = lambda body: ends.append(body) or fails(body)
+    f.types = {"amount": "date"}
+    with pytest.raises(pipeline.PipelineError, match="CUR_003"):
+        pipeline.run_feed(spark, f, "r4")
+    assert [(e["run_id"], e["status"]) for e in ends] == [("r1", "SUCCESS")] * 3 + [("r4", "FAILED")]
+
+
+def test_files_that_have_landed_are_left_out(spark, db):
+    def read(n):
+        return spark.createDataFrame([(f"C{i}", str(i), "2026-01-01 09:00:00", f"f{i // 2}") for i in range(n)], "claim_id string, amount string, modified_ts string, source_file string")
+
+    f = feed(spark, db, [read(4), read(7)], skip_loaded_files=True, reject_rules=[])
+    pipeline.run_feed(spark, f, "r1")
+    pipeline.run_feed(spark, f, "r2")
+    assert spark.table(f.raw_table).count() == 7 and spark.table(f.curated_table).count() == 7
+
+
+def test_too_many_emptied_partitions_are_refused_before_anything_changes(spark, db, monkeypatch):
+    spec = MergeSpec(keys=("claim_id",), freshness="modified_ts", partition_columns=("amount",))
+    f = feed(spark, db, [claims(spark, ("C1", "1", "2026-01-01"), ("C2", "2", "2026-01-01")), claims(spark, ("C1", "3", "2026-01-02"), ("C2", "3", "2026-01-02"))], spec=spec, publish_mode="PARTITION_OVERWRITE")
+    pipeline.run_feed(spark, f, "r1")
+    before = content(spark, f.curated_table, "claim_id", "amount")
+    monkeypatch.setattr(publish.droppable, "__defaults__", (1,))
+    with pytest.raises(PublishError, match="more than 1 partitions"):
+        pipeline.run_feed(spark, f, "r2")
+    assert content(spark, f.curated_table, "claim_id", "amount") == before
+
+
 def test_rejects_hold_the_position(spark, db):
     done = []
     f = feed(spark, db, [claims(spark, *FIRST)], commit=done.append, hold_on_rejects=True)
@@ -253,7 +339,7 @@ def test_configuration_layers_and_classes():
     merged, paths, digest = config.override({"a": {"b": 1, "c": 2}}, {"a": {"b": 3}, "d": 4})
     assert merged == {"a": {"b": 3, "c": 2}, "d": 4} and paths == ["a.b"] and len(digest) == 64
     assert config.fingerprint({"a": {"b": 1}}) == config.fingerprint({"a": {"b": 2}}) != config.fingerprint({"a": {"c": 1}})
-    for e, kind in ((locks.LockError("x"), config.TRANSIENT), (PublishError("x"), config.DATA), (ValueError("HDR_001 x"), config.DATA), (ValueError("CFG_001"), config.CONFIGURATION), (OSError("Connection reset"), config.TRANSIENT), (ValueError("?"), config.UNCLASSIFIED)):
+    for e, kind in ((locks.LockError("x"), config.TRANSIENT), (PublishError("x"), config.DATA), (ValueError("HDR_001 x"), config.DATA), (ValueError("CFG_001"), config.CONFIGURATION), (ConnectionResetError(), config.TRANSIENT), (RuntimeError("x: java.net.SocketException: y"), config.TRANSIENT), (RuntimeError("error, SQLState: 08006"), config.TRANSIENT), (RuntimeError("[X] SQLSTATE: 22018"), config.DATA), (RuntimeError("SQL state [42601]"), config.CONFIGURATION), (ValueError("?"), config.UNCLASSIFIED)):
         assert config.classify(e) is kind
     with pytest.raises(config.ConfigError, match="separately"):
         config.check({"ingestion": {"execution": "DECOUPLED"}})
