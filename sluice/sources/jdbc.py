@@ -13,10 +13,15 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from py4j.java_gateway import is_instance_of
+from py4j.protocol import Py4JJavaError
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
+from sluice import config
 from sluice.operators import watermark as wm
 from sluice.operators.watermark import WatermarkError, WatermarkSpec
+from sluice.sources.kinds import Registry
 from sluice.sources.sqltext import Dialect, Filter, Projection, SqlError, dialect, render_template, single_select
 
 #: Defaults of fetch size, partitions, retry, clock drift.
@@ -49,6 +54,8 @@ class JdbcSource:
     upper_bound: str | None = None
     discover_bounds: bool = False
     predicates: tuple[str, ...] = ()
+    authentication: str | None = None
+    bound_full_load: bool = True
 
     def __post_init__(self):
         if self.mode not in MODES:
@@ -96,27 +103,53 @@ def masked(url: str) -> str:
     return re.sub(r"(?i)(password|pwd|user|token|secret)=[^;&]*", r"\1=***", re.sub(r"//[^/@]*@", "//***@", url))
 
 
-#: States of the SQL standard by what can be done about them.
+#: Classes of SQLSTATE, and vendors' own error codes, of faults that pass by themselves.
 TRANSIENT_STATES = ("08", "40", "53", "57")
-TRANSIENT_TEXT = re.compile(r"(?i)timed? ?out|connection (reset|refused|closed)|deadlock|too many connections|temporarily unavailable")
-PERMANENT_TEXT = re.compile(r"(?i)login failed|authentication|access denied|syntax|does not exist|invalid (object|column)|permission")
+TRANSIENT_CODES = {
+    "db2": (-904, -911, -913),
+    "mysql": (1040, 1205, 1213),
+    "oracle": (60, 3113, 3114, 12170, 12541),
+    "sqlserver": (1205, 1222, 40197, 40501, 40613, 49918),
+}
 
 
-def is_transient(error: BaseException) -> bool:
-    text = str(error)
-    if PERMANENT_TEXT.search(text):
-        return False
-    state = re.search(r"SQLSTATE[:\s=]*\[?([0-9A-Z]{5})", text)
-    return bool(TRANSIENT_TEXT.search(text)) or bool(state and state.group(1)[:2] in TRANSIENT_STATES)
+@dataclass(frozen=True)
+class SqlFailure:
+    """What a driver said: class of the exception, SQLSTATE, vendor code."""
+
+    kind: str
+    state: str
+    code: int
+
+
+def sql_failures(error: BaseException) -> list[SqlFailure]:
+    """All SQL exceptions among the causes of an error that came from the JVM, outermost first."""
+    out, at = [], getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    at = at.java_exception if isinstance(at, Py4JJavaError) else at
+    gateway = SparkContext._gateway
+    while at is not None and gateway is not None and len(out) < 20:
+        if is_instance_of(gateway, at, "java.sql.SQLException"):
+            out.append(SqlFailure(at.getClass().getName(), at.getSQLState() or "", int(at.getErrorCode())))
+        at = at.getCause()
+    return out
 
 
-def with_retry(call: Callable, attempts: int = ATTEMPTS, backoff_ms: int = BACKOFF_MS, sleep: Callable[[float], None] = time.sleep):
+def is_transient(error: BaseException, vendor: str = "") -> bool:
+    """Whether trying again may help: by exception class, SQLSTATE and vendor code, else as any failure is classified."""
+    found = sql_failures(error)
+    if not found:
+        return config.classify(error) is config.TRANSIENT
+    passing = lambda f: "Transient" in f.kind and "NonTransient" not in f.kind or "Recoverable" in f.kind or f.state[:2] in TRANSIENT_STATES or f.code in TRANSIENT_CODES.get(vendor.lower(), ())
+    return any(map(passing, found))
+
+
+def with_retry(call: Callable, attempts: int = ATTEMPTS, backoff_ms: int = BACKOFF_MS, sleep: Callable[[float], None] = time.sleep, vendor: str = ""):
     """Calls again after transient failures, each time waiting twice as long, with jitter."""
     for n in range(1, attempts + 1):
         try:
             return call()
         except Exception as e:
-            if n == attempts or not is_transient(e):
+            if n == attempts or not is_transient(e, vendor):
                 raise
             sleep(backoff_ms / 1000 * 2 ** (n - 1) * (0.5 + random.random()))
     raise AssertionError
@@ -126,7 +159,19 @@ def _reader(spark: SparkSession, s: JdbcSource):
     r = spark.read.format("jdbc").option("url", s.url).option("fetchsize", s.fetch_size)
     if s.dialect.driver and "driver" not in s.properties:
         r = r.option("driver", s.dialect.driver)
-    return r.options(**s.properties)
+    return r.options(**(AUTHENTICATION.get(s.authentication)(s.properties) if s.authentication else s.properties))
+
+
+#: How credentials become connection properties, by name: functions of the configured properties.
+AUTHENTICATION: Registry = Registry("authentication")
+AUTHENTICATION.register("password", lambda p: p)
+AUTHENTICATION.register("integrated", lambda p: {k: v for k, v in p.items() if k not in ("user", "password")} | {"integratedSecurity": "true"})
+AUTHENTICATION.register("token", lambda p: {k: v for k, v in p.items() if k not in ("user", "password", "token")} | {"accessToken": p["token"]})
+
+
+def first(spark: SparkSession, s: JdbcSource, query: str):
+    """The first row of a query's answer; asked again after passing faults."""
+    return with_retry(lambda: ask(spark, s, query).first(), vendor=s.dialect_name)
 
 
 def ask(spark: SparkSession, s: JdbcSource, query: str) -> DataFrame:
@@ -134,9 +179,24 @@ def ask(spark: SparkSession, s: JdbcSource, query: str) -> DataFrame:
     return _reader(spark, s).option("dbtable", f"({query}) q").load()
 
 
-def health_check(spark: SparkSession, s: JdbcSource) -> None:
+def _probe(spark: SparkSession, s: JdbcSource, query: str, alias: str) -> DataFrame:
+    return _reader(spark, s).option("dbtable", f"({query}) {alias}" if query.startswith("VALUES") else f"({query}) q").load()
+
+
+def health_check(spark: SparkSession, s: JdbcSource, executors: bool = False) -> int:
+    """Whether the database answers, from the driver's plan and, if asked, from as many tasks at once as the cluster has cores.
+
+    Returns how many tasks got an answer.
+    """
     try:
-        with_retry(lambda: _reader(spark, s).option("dbtable", f"({s.dialect.probe}) q" if not s.dialect.probe.startswith("VALUES") else f"({s.dialect.probe}) q(x)").load().collect())
+        with_retry(lambda: _probe(spark, s, s.dialect.probe, "q(x)").collect(), vendor=s.dialect_name)
+        if not executors:
+            return 1
+        n = spark.sparkContext.defaultParallelism
+        probe = s.dialect.probe.removesuffix(";")
+        props = {"fetchsize": "1", **({"driver": s.dialect.driver} if s.dialect.driver else {}), **s.properties}
+        table = f"({probe}) q(x)" if probe.startswith("VALUES") else f"({probe}) q"
+        return spark.read.jdbc(s.url, table, predicates=["1 = 1"] * n, properties=props).count()
     except Exception as e:
         raise JdbcError(f"JDBC_001 {masked(s.url)} can't be reached: {type(e).__name__}") from e
 
@@ -158,7 +218,7 @@ def read(spark: SparkSession, s: JdbcSource, window: str | None = None, paramete
 def discover(spark: SparkSession, s: JdbcSource, rel: str) -> tuple[str | None, str | None]:
     """Bounds of the partition column within the same filters and window; a column that isn't numeric or temporal is refused."""
     c = s.dialect.quote(s.partition_column)
-    row = ask(spark, s, f"SELECT MIN({c}) AS lo, MAX({c}) AS hi FROM {rel}").first()
+    row = first(spark, s, f"SELECT MIN({c}) AS lo, MAX({c}) AS hi FROM {rel}")
     if row[0] is not None and isinstance(row[0], str):
         raise JdbcError(f"partition column {s.partition_column!r} is text")
     return (None, None) if row[0] is None else (str(row[0]), str(row[1]))
@@ -172,33 +232,32 @@ def capture_upper(spark: SparkSession, s: JdbcSource, parameters: dict[str, str]
     """The window's upper bound: the source's clock, or the greatest watermark under the same filters; None for no rows."""
     spec, d = s.watermark, s.dialect
     if s.upper_from == "SOURCE_CLOCK":
-        q = d.clock if not d.clock.startswith("VALUES") else None
-        frame = ask(spark, s, q) if q else _reader(spark, s).option("dbtable", f"({d.clock}) q(now_ts)").load()
-        return (wm.render("TIMESTAMP", _text(frame.first()[0])),)
+        now = with_retry(lambda: _probe(spark, s, d.clock, "q(now_ts)").first()[0], vendor=s.dialect_name)
+        return (wm.render("TIMESTAMP", _text(now)),)
     rel = relation(s, None, parameters)
     names = [d.quote(c) for c in spec.columns]
     if len(names) == 1:
-        row = ask(spark, s, f"SELECT MAX({names[0]}) AS w0, COUNT(1) AS n FROM {rel}").first()
+        row = first(spark, s, f"SELECT MAX({names[0]}) AS w0, COUNT(1) AS n FROM {rel}")
         return None if row[0] is None else (_text(row[0]),)
     whole = " AND ".join(f"{n} IS NOT NULL" for n in names)
     order = ", ".join(f"{n} DESC" for n in names)
     q = d.top1(", ".join(f"{n} AS w{i}" for i, n in enumerate(names)), f"FROM {rel} WHERE {whole} ORDER BY {order}")
-    row = ask(spark, s, q).first()
+    row = first(spark, s, q)
     return None if row is None else tuple(_text(v) for v in row)
 
 
 def clock_drift(spark: SparkSession, s: JdbcSource) -> float:
     """Seconds the source's clock is ahead of this one; beyond ``DRIFT_SECONDS`` windows by the source's clock deserve a look."""
     d = s.dialect
-    frame = _reader(spark, s).option("dbtable", f"({d.clock}) q(now_ts)").load() if d.clock.startswith("VALUES") else ask(spark, s, d.clock)
+    theirs = with_retry(lambda: _probe(spark, s, d.clock, "q(now_ts)").first()[0], vendor=s.dialect_name)
     own = spark.range(1).selectExpr("current_timestamp() AS t").first().t
-    return (frame.first()[0] - own).total_seconds()
+    return (theirs - own).total_seconds()
 
 
 def guard_null_watermarks(spark: SparkSession, s: JdbcSource, parameters: dict[str, str] | None = None) -> None:
     """Before a first window: rows without watermark would never be delivered (JDBC_006)."""
     names = " AND ".join(f"{s.dialect.quote(c)} IS NOT NULL" for c in s.watermark.columns)
-    row = ask(spark, s, f"SELECT COUNT(1) AS n, SUM(CASE WHEN {names} THEN 1 ELSE 0 END) AS known FROM {relation(s, None, parameters)}").first()
+    row = first(spark, s, f"SELECT COUNT(1) AS n, SUM(CASE WHEN {names} THEN 1 ELSE 0 END) AS known FROM {relation(s, None, parameters)}")
     if row[0] and row[0] != (row[1] or 0) and not s.allow_null_watermarks:
         raise JdbcError(f"JDBC_006 {row[0] - (row[1] or 0)} rows have no watermark")
 
@@ -211,7 +270,14 @@ class Window:
 
 
 class IncrementalReader:
-    """Bounded windows with a store; ``commit`` after the whole run, ``discard`` after a failure."""
+    """Bounded windows with a store; ``commit`` after the whole run, ``discard`` after a failure.
+
+    In mode INCREMENTAL a read is the window from the stored value to the captured bound.
+    In any other mode with a watermark it is the full load before the first window: while
+    the store is empty, the captured bound seeds it on commit, and the load stops there
+    (``bound_full_load``), so that what changes meanwhile comes with the first window and only
+    with it. A store that has a value is never seeded again.
+    """
 
     def __init__(self, spark: SparkSession, source: JdbcSource, store: wm.WatermarkStore, entity: str):
         self.spark, self.source, self.store, self.entity = spark, source, store, entity
@@ -220,13 +286,19 @@ class IncrementalReader:
     def read(self, run_id: str, parameters: dict[str, str] | None = None) -> DataFrame:
         s = self.source
         known = self.store.get(self.entity)
-        lower, version = known if known else (s.initial, None)
+        seeding = s.mode != "INCREMENTAL"
+        if seeding and known is not None:
+            self.open[run_id] = Window(known[0], None, known[1])
+            return read(self.spark, s, None, parameters)
+        lower, version = known if known else (None if seeding else s.initial, None)
         if known is None:
             guard_null_watermarks(self.spark, s, parameters)
         upper = capture_upper(self.spark, s, parameters)
         self.open[run_id] = Window(lower, upper, version)
         if upper is None:
-            text = "1 = 0"
+            text = None if seeding else "1 = 0"
+        elif seeding and (not s.bound_full_load or s.allow_null_watermarks):
+            text = None
         elif lower is None:
             text = wm.upper_sql(s.watermark, upper, s.dialect.quote)
         else:

@@ -2,33 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.operators.publish import append_raw
 from sluice.sources.files import FileFormat, read_files
 from sluice.sources.jdbc import JdbcSource, read
-from sluice.sources.kafka import read_batch
-
-
-class UnknownKind(ValueError):
-    """A kind nobody has registered; the message lists those that are."""
-
-
-class Registry:
-    """Case-insensitive names."""
-
-    def __init__(self, what: str):
-        self.what, self._known = what, {}
-
-    def register(self, name: str, make: Callable) -> None:
-        self._known[name.lower()] = make
+from sluice.sources.kafka import read_batch, read_stream
+from sluice.sources.kinds import Registry, UnknownKind
 
-    def get(self, name: str) -> Callable:
-        if name.lower() not in self._known:
-            raise UnknownKind(f"unknown {self.what} {name!r}; known: {', '.join(sorted(self._known))}")
-        return self._known[name.lower()]
+__all__ = ["SINKS", "SOURCES", "Registry", "UnknownKind"]
 
 
 SOURCES, SINKS = Registry("source"), Registry("sink")
@@ -44,6 +26,7 @@ def _file(spark: SparkSession, path: str | None = None, paths: list[str] | None
 SOURCES.register("file", _file)
 SOURCES.register("jdbc", lambda spark, **options: read(spark, JdbcSource(**options)))
 SOURCES.register("kafka", lambda spark, **options: read_batch(spark, **options))
+SOURCES.register("kafka_stream", lambda spark, **options: read_stream(spark, **options))
 SOURCES.register("table", lambda spark, name: spark.table(name))
 SINKS.register("table", lambda df, name, **options: append_raw(df, name, **options))
 SINKS.register("files", lambda df, path, fmt="parquet", mode="append": df.write.format(fmt).mode(mode).save(path))

@@ -184,15 +184,68 @@ def test_retry_and_masking():
     def flaky():
         calls.append(1)
         if len(calls) < 3:
-            raise RuntimeError("Connection reset by peer")
+            raise ConnectionResetError("by peer")
         return "ok"
 
     assert jdbc.with_retry(flaky, sleep=waits.append) == "ok" and len(waits) == 2 and waits[1] > waits[0] / 2
     with pytest.raises(RuntimeError, match="Login"):
-        jdbc.with_retry(lambda: (_ for _ in ()).throw(RuntimeError("Login failed, connection reset")), sleep=waits.append)
+        jdbc.with_retry(lambda: (_ for _ in ()).throw(RuntimeError("Login failed")), sleep=waits.append)
     assert jdbc.masked("jdbc:x://u:p@h/db;password=secret;user=me") == "jdbc:x://***@h/db;password=***;user=***"
 
 
+def test_failures_of_a_driver_are_told_by_state_and_code(spark, derby):
+    with pytest.raises(Exception) as bad:  # noqa: PT011
+        jdbc.ask(spark, source(derby, table="ORDERS"), "SELECT NOPE FROM ORDERS").collect()
+    found = jdbc.sql_failures(bad.value)
+    assert found and found[0].state == "42X04" and not jdbc.is_transient(bad.value)
+    jvm = spark._jvm
+    for made, vendor, passing in (
+        (jvm.java.sql.SQLTransientConnectionException("x"), "", True), (jvm.java.sql.SQLNonTransientException("x"), "", False), (jvm.java.sql.SQLException("x", "08S01"), "", True),
+        (jvm.java.sql.SQLException("x", "S0001", 1205), "sqlserver", True), (jvm.java.sql.SQLException("x", "S0001", 1205), "oracle", False),
+    ):
+        assert jdbc.is_transient(type("E", (Exception,), {"java_exception": jvm.java.lang.RuntimeException("wrapped", made)})(), vendor) is passing
+    assert jdbc.health_check(spark, source(derby, table="ORDERS"), executors=True) == spark.sparkContext.defaultParallelism
+    with pytest.raises(jdbc.JdbcError, match="JDBC_001"):
+        jdbc.health_check(spark, source("jdbc:derby:memory:absent", table="T"))
+
+
+def test_authentication_by_name(spark):
+    s = source("jdbc:x", table="T", properties={"user": "u", "password": "p", "token": "t"}, authentication="TOKEN")
+    assert jdbc.AUTHENTICATION.get(s.authentication)(s.properties) == {"accessToken": "t"}
+    with pytest.raises(ValueError, match="unknown authentication 'magic'; known: integrated, password, token"):
+        jdbc.AUTHENTICATION.get("magic")
+
+
+def test_a_full_load_seeds_the_watermark_once(spark, derby):
+    rows = []
+    store = wm.WatermarkStore(lambda: spark.createDataFrame(rows, wm.STORE_SCHEMA), rows.append)
+    spec = wm.WatermarkSpec(("ORDER_ID",), ("NUMERIC",))
+    make = lambda **k: jdbc.IncrementalReader(spark, source(derby, table="ORDERS", watermark=spec, **k), store, "o")
+    full = make(filters=(Filter("ORDER_ID", "<=", 12, "NUMBER"),))
+    assert full.read("r1").count() == 12 and full.commit("r1") and store.get("o") == (("12",), 1)
+    again = make()
+    assert again.read("r2").count() == 20 and not again.commit("r2") and store.get("o") == (("12",), 1)
+    assert sorted(r.ORDER_ID for r in make(mode="INCREMENTAL").read("r3").collect()) == list(range(13, 21))
+    bounded = jdbc.relation(source(derby, table="ORDERS"), wm.upper_sql(spec, ("12",), lambda c: c))
+    assert jdbc.ask(spark, source(derby, table="ORDERS"), f"SELECT * FROM {bounded}").count() == 12
+
+
+def test_topic_ranges_are_pinned_and_committed_with_the_run(spark):
+    kept, asked, ends = [], [], {0: 10, 1: 0, 2: 5}
+    table = lambda: spark.createDataFrame(kept, kafka.OFFSET_SCHEMA)
+    r = kafka.LedgerReader("e", "t", table, lambda df: kept.extend(df.collect()), lambda: dict(ends), lambda a, b: asked.append((a, b)) or spark.range(1))
+    assert r.read("r1").count() == 1 and asked == [('{"t":{"0":-2,"2":-2}}', '{"t":{"0":10,"2":5}}')]
+    r.discard("r1")
+    assert r.position() == {} and r.read("r2") is not None and asked[0] == asked[1] and r.commit("r2", spark) == 2
+    ends |= {0: 12, 1: 3}
+    r.read("r3")
+    assert asked[2] == ('{"t":{"0":10,"1":-2}}', '{"t":{"0":12,"1":3}}') and r.commit("r3", spark) == 2 and r.position() == {0: 12, 1: 3, 2: 5}
+    assert r.read("r4") is None and r.commit("r4", spark) == 0
+    ends[2] = 1
+    with pytest.raises(kafka.RangeError, match="partitions 2 end before"):
+        r.read("r5")
+
+
 def test_topic_records(spark):
     rows = [(b"k1", b'{"id": 1, "tags": ["a"]}', "t", 0, 5, None), (b"k2", None, "t", 0, 6, None), (b"k3", b"not json", "t", 1, 2, None)]
     df = spark.createDataFrame(rows, "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp")
@@ -224,7 +277,7 @@ def test_registry_and_introspection(spark, derby, tmp_path):
 
     spark.range(3).write.parquet(str(tmp_path / "p"))
     assert registry.SOURCES.get("FILE")(spark, path=str(tmp_path / "p"), kind="parquet").count() == 3
-    with pytest.raises(registry.UnknownKind, match="file, jdbc, kafka, table"):
+    with pytest.raises(registry.UnknownKind, match="file, jdbc, kafka, kafka_stream, table"):
         registry.SOURCES.get("ftp")
     registry.SINKS.get("files")(spark.range(2), str(tmp_path / "p"))
     assert spark.read.parquet(str(tmp_path / "p")).count() == 5
