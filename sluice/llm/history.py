@@ -9,8 +9,9 @@ of what is found decide: a file as near as the threshold shares at least so many
 so coverage loses nothing; what it lets through is confirmed on lines. In the end the
 accepted files of the batch are appended. The content of earlier batches is never read.
 
-If at least ``t`` of ``n`` lines must be shared, any ``n - t + 1`` lines hold a shared one;
-the lines with the rarest chunks are taken, so lines found everywhere are never expanded.
+If at least ``t`` of ``n`` lines must be shared, any ``n - t + 2`` lines hold two shared ones;
+the lines with the rarest chunks are taken, so lines found everywhere are never expanded,
+and files that meet in one line only are no candidates.
 """
 
 from __future__ import annotations
@@ -24,15 +25,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.batches import slices
-from sluice.session import cut, lookup_join, shared_folder, spread_join
+from sluice.session import cut, forget, lookup_join, shared_folder, small_enough, spread_join, stored_copy
 
 #: Bytes the rolling hash looks at, and the longest chunk.
 WINDOW, MAX_CHUNK = 8, 1024
-#: A boundary is where these bits of the rolling hash are 0: one in 16 bytes.
-MASK = np.uint64(0xF0)
-#: The low bits of a chunk's key hold its length.
+#: A boundary is where these bits of the rolling hash are 0: one in 32 bytes.
+MASK = np.uint64(0x1F0)
+#: The low bits of a chunk's key hold its length, the one above them whether it ends its line.
 LENGTH_BITS = 11
-_LENGTHS = (1 << LENGTH_BITS) - 1
+_LENGTHS, _ENDS_LINE = (1 << LENGTH_BITS) - 1, 1 << LENGTH_BITS
 #: Most frequent chunks told to every task; a chunk is frequent from (all chunks / this) on, so there can't be more.
 FREQUENT_CAP = 200_000
 #: Earliest undecided files of a chunk that all others with it are compared with in one round.
@@ -40,7 +41,7 @@ LEADERS = 4
 #: Candidate pairs, and deliveries, up to which the order of acceptance is settled by one task.
 SETTLED_PAIRS, SETTLED_UNITS = 5_000_000, 500_000
 _GEAR = np.random.default_rng(20240229).integers(0, 2**63, 256, dtype=np.uint64)
-RECORD = "class binary, n int, least bigint, parts array<array<bigint>>"
+RECORD = "class binary, n int, least bigint, keys array<bigint>, lines array<bigint>"
 
 
 def normalized_lines(content: str | None) -> list[str]:
@@ -66,20 +67,24 @@ def chunk_ends(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(marks) + 1
 
 
-def _key(chunk: bytes) -> int:
-    """A chunk's 64 bits: hash above, length below."""
-    return (xxhash.xxh64_intdigest(chunk) & ~_LENGTHS | len(chunk)) - 2**63
-
-
-def chunk_lines(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(keys of all chunks, number of chunks of each line)."""
+def chunk_lines(lines: list[bytes]) -> np.ndarray:
+    """Keys of all chunks of all lines in order: hash, end of line, length."""
     flat = b"".join(lines)
     sizes = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
-    starts = np.cumsum(sizes) - sizes
-    ends = chunk_ends(np.frombuffer(flat, dtype=np.uint8), starts)
+    line_ends = np.cumsum(sizes)
+    ends = chunk_ends(np.frombuffer(flat, dtype=np.uint8), line_ends - sizes)
     at = [0, *ends.tolist()]
-    keys = np.fromiter((_key(flat[a:b]) for a, b in zip(at, at[1:], strict=False)), dtype=np.int64, count=len(ends))
-    return keys, np.diff(np.searchsorted(ends, np.append(starts, len(flat)), side="right"))
+    digest, low = xxhash.xxh64_intdigest, np.uint64(2 * _ENDS_LINE - 1)
+    hashes = np.fromiter((digest(flat[a:b]) for a, b in zip(at, at[1:], strict=False)), dtype=np.uint64, count=len(ends))
+    last = np.zeros(len(ends), dtype=np.uint64)
+    last[np.searchsorted(ends, line_ends)] = _ENDS_LINE
+    return ((hashes & ~low) | last | np.diff(ends, prepend=0).astype(np.uint64)).view(np.int64)
+
+
+def _line_numbers(keys: np.ndarray) -> np.ndarray:
+    """For each chunk the number of the line it belongs to."""
+    ends = (keys & _ENDS_LINE) != 0
+    return np.cumsum(ends) - ends
 
 
 def _lengths(keys: np.ndarray) -> np.ndarray:
@@ -92,12 +97,12 @@ def least_shared(n, threshold: float):
 
 
 def chunked(files: DataFrame, path: str, content: str, threshold: float = 0.8) -> DataFrame:
-    """(path, class, n, least, parts) of every file with at least one line.
+    """(path, class, n, least, keys, lines) of every file with at least one line.
 
-    ``class`` identifies the set of lines (128 bits), ``n`` counts them, ``parts`` has the
-    chunks of each line. ``least`` are the bytes of distinct chunks that a file as near as
-    the threshold shares: all but those of as many lines as may differ, the longest
-    taken. Null and blank contents give no row.
+    ``class`` identifies the set of lines (128 bits), ``n`` counts them, ``keys`` are the chunks
+    line by line, ``lines`` the hashes of the lines. ``least`` are the bytes of distinct chunks
+    that a file as near as the threshold shares: all but those of as many lines as may
+    differ, the longest taken. Null and blank contents give no row.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,20 +111,22 @@ def chunked(files: DataFrame, path: str, content: str, threshold: float = 0.8) -
             at = [k for k, lines in enumerate(texts) if lines]
             if not at:
                 continue
-            keys, per_line = chunk_lines([x for k in at for x in texts[k]])
-            n = np.array([len(texts[k]) for k in at])
-            line_ends, least = np.cumsum(np.append(0, per_line)), []
-            file_ends = np.append(0, np.cumsum(n))
-            line_bytes = np.add.reduceat(_lengths(keys), line_ends[:-1])
+            every = [x for k in at for x in texts[k]]
+            keys = chunk_lines(every)
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, every), dtype=np.uint64, count=len(every)).view(np.int64)
+            sizes = np.fromiter(map(len, every), dtype=np.int64, count=len(every))
+            line_of_file = np.append(0, np.cumsum([len(texts[k]) for k in at]))
+            chunk_of_file = np.searchsorted(_line_numbers(keys), line_of_file)
+            n, least = np.diff(line_of_file), []
             for i, count in enumerate(n):
-                own = np.unique(keys[line_ends[file_ends[i]] : line_ends[file_ends[i + 1]]])
-                may_differ = int(count - least_shared(count, threshold))
-                longest = np.sort(line_bytes[file_ends[i] : file_ends[i + 1]])[int(count) - may_differ :]
+                own = np.unique(keys[chunk_of_file[i] : chunk_of_file[i + 1]])
+                same = int(least_shared(count, threshold))
+                longest = np.sort(sizes[line_of_file[i] : line_of_file[i + 1]])[same:]
                 least.append(int(_lengths(own).sum() - longest.sum()))
-            parts = pa.ListArray.from_arrays(pa.array(line_ends, pa.int32()), pa.array(keys, pa.int64()))
             classes = [xxhash.xxh3_128_digest(b"\n".join(sorted(texts[k]))) for k in at]
-            columns = [b.column(0).take(pa.array(at)), pa.array(classes, pa.binary()), pa.array(n, pa.int32()), pa.array(least, pa.int64()), pa.ListArray.from_arrays(pa.array(file_ends, pa.int32()), parts)]
-            yield pa.RecordBatch.from_arrays(columns, ["path", "class", "n", "least", "parts"])
+            lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64())) for ends, values in ((chunk_of_file, keys), (line_of_file, hashes))]
+            columns = [b.column(0).take(pa.array(at)), pa.array(classes, pa.binary()), pa.array(n, pa.int32()), pa.array(least, pa.int64()), *lists]
+            yield pa.RecordBatch.from_arrays(columns, ["path", "class", "n", "least", "keys", "lines"])
 
     return files.select(path, content).mapInArrow(run, f"path string, {RECORD}")
 
@@ -129,30 +136,57 @@ def _cid(c: str = "class") -> Column:
     return F.xxhash64(c)
 
 
-def _size_class(n: Column, threshold: float) -> Column:
-    return F.floor(F.log(n.cast("double")) / F.log(F.lit(1 / threshold)) + 1e-9).cast("int")
+def chunk_table(records: DataFrame) -> DataFrame:
+    """One row per distinct chunk and record, with the record's number of lines."""
+    return records.select(F.explode(F.array_distinct("keys")).alias("h"), F.col("n").alias("o_n"), _cid().alias("other"))
 
 
-def chunk_table(records: DataFrame, threshold: float) -> DataFrame:
-    """One row per distinct chunk and record, with the record's size class."""
-    return records.select(F.explode(F.array_distinct(F.flatten("parts"))).alias("h"), _size_class(F.col("n"), threshold).alias("size"), _cid().alias("other"))
+def frequent_chunks(table: DataFrame) -> DataFrame:
+    """(h, df) of the chunks held by more than one in ``FREQUENT_CAP`` of all rows: fewer than that cap.
 
+    Counts runs of equal chunks in each partition; a chunk met once inside a partition of
+    a sorted table is met nowhere else, so only repeated ones and those at the ends are
+    shuffled. All rows of a chunk must lie together, as in the parts of a sorted table.
+    """
 
-def frequent_chunks(table: DataFrame) -> DataFrame:
-    """(h, df) of the chunks held by more than one in ``FREQUENT_CAP`` of all rows: fewer than that cap."""
-    total = table.count()
-    return table.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") > max(2, -(-total // FREQUENT_CAP)))
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h, n, total = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), 0
+        first = True
+        for b in batches:
+            got = b.column(0).to_numpy()
+            if not len(got):
+                continue
+            total += len(got)
+            starts = np.flatnonzero(np.append(True, got[1:] != got[:-1]))
+            h, n = np.append(h, got[starts]), np.append(n, np.diff(np.append(starts, len(got))))
+            joined = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+            h, n = h[joined], np.add.reduceat(n, joined)
+            out = (n > 1) & (np.arange(len(h)) < len(h) - 1)
+            out[0] |= first and len(h) > 1
+            first = first and len(h) == 1
+            yield pa.RecordBatch.from_arrays([pa.array(h[out]), pa.array(n[out]), pa.array(np.zeros(int(out.sum()), dtype=np.int64))], ["h", "df", "total"])
+            h, n = h[-1:], n[-1:]
+        yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n), pa.array(np.full(len(h), total, dtype=np.int64))], ["h", "df", "total"])
+
+    counted = cut(table.select("h").mapInArrow(runs, "h bigint, df bigint, total bigint").groupBy("h").agg(F.sum("df").alias("df"), F.sum("total").alias("total")))
+    total = counted.agg(F.sum("total").alias("n")).first().n or 0
+    return counted.filter(F.col("df") > max(2, -(-total // FREQUENT_CAP))).select("h", "df")
+
+
+def most_frequent(frequent: DataFrame) -> DataFrame:
+    """(h, df), at most ``FREQUENT_CAP`` rows of 16 bytes whatever the table's size; counts left out change the order only."""
+    return frequent.groupBy("h").agg(F.sum("df").alias("df")).orderBy(F.desc("df"), "h").limit(FREQUENT_CAP)
 
 
 def picked_chunks(records: DataFrame, frequent: DataFrame, threshold: float) -> DataFrame:
-    """(cid, n, keys): the chunks each record is looked up by.
+    """(cid, n, keys, lines, need): the chunks each record is looked up by, for how many lines each stands, and how many lines a near record shares of them.
 
-    Of each line its rarest chunk, of these the rarest ``n - t + 1``. Chunks are ordered by
-    their count in ``frequent`` (0 where missing), then by their key, so two records picked
-    with the same counts that share ``t`` lines have a key in common.
+    Of each line its rarest chunk, of these the rarest ``n - t + need``, where ``need`` is two,
+    or one where ``t`` is. Chunks are ordered by their count in ``frequent`` (0 where missing),
+    then by their key, so two records picked with the same counts that share ``t`` lines
+    have keys for ``need`` lines of either in common.
     """
-    # at most FREQUENT_CAP rows of 16 bytes, whatever the table's size; counts left out change the order only
-    got = frequent.groupBy("h").agg(F.sum("df").alias("df")).orderBy(F.desc("df"), "h").limit(FREQUENT_CAP).toArrow()
+    got = most_frequent(frequent).toArrow()
     h = got.column("h").to_numpy()
     order = np.argsort(h)
     told = records.sparkSession.sparkContext.broadcast((h[order], got.column("df").to_numpy()[order]))
@@ -162,44 +196,62 @@ def picked_chunks(records: DataFrame, frequent: DataFrame, threshold: float) ->
         for b in batches:
             if not b.num_rows:
                 continue
-            parts = b.column(2)
-            lines = parts.flatten()
-            keys = lines.flatten().to_numpy()
-            line_of = np.repeat(np.arange(len(lines)), np.diff(lines.offsets.to_numpy()))
+            ends = b.column(2).offsets.to_numpy()
+            keys = b.column(2).flatten().to_numpy()
+            line_of = _line_numbers(keys)
             df = np.zeros(len(keys), dtype=np.int64)
             if len(known):
                 slot = np.minimum(np.searchsorted(known, keys), len(known) - 1)
                 df = np.where(known[slot] == keys, counts[slot], 0)
             order = np.lexsort((keys, df, line_of))
-            first = order[np.append(True, np.diff(line_of[order]) > 0)] if len(order) else order
-            row_of = np.repeat(np.arange(b.num_rows), np.diff(parts.offsets.to_numpy()))
+            first = order[np.append(True, np.diff(line_of[order]) > 0)]
+            row_of = np.repeat(np.arange(b.num_rows), np.diff(ends))[first]
             order = first[np.lexsort((keys[first], df[first], row_of))]
             n = b.column(1).to_numpy()
             rank = np.arange(len(order)) - np.repeat(np.cumsum(n) - n, n)
-            chosen = rank < (n - least_shared(n, threshold) + 1)[row_of]
-            out = [np.unique(x) for x in np.split(keys[order[chosen]], np.searchsorted(row_of[chosen], np.arange(1, b.num_rows)))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.list_(pa.int64()))], ["cid", "n", "keys"])
+            shared = least_shared(n, threshold)
+            need = np.minimum(2, shared)
+            chosen = rank < (n - shared + need)[row_of]
+            out = [np.unique(x, return_counts=True) for x in np.split(keys[order[chosen]], np.searchsorted(row_of[chosen], np.arange(1, b.num_rows)))]
+            lists = [pa.array([x[0] for x in out], pa.list_(pa.int64())), pa.array([x[1] for x in out], pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *lists, pa.array(need, pa.int32())], ["cid", "n", "keys", "lines", "need"])
 
-    return records.select(_cid().alias("cid"), "n", "parts").mapInArrow(run, "cid bigint, n int, keys array<bigint>")
+    return records.select(_cid().alias("cid"), "n", "keys").mapInArrow(run, "cid bigint, n int, keys array<bigint>, lines array<int>, need int")
 
 
 def confirmed(pairs: DataFrame, left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (cid, other) that are near: by shared byte totals, then by lines. Records of one class are no pair."""
-    a = left.select(_cid().alias("cid"), F.col("class").alias("a"), F.col("least").alias("la"), F.col("parts").alias("pa"))
-    b = right.select(_cid().alias("other"), F.col("class").alias("b"), F.col("least").alias("lb"), F.col("parts").alias("pb"))
-    pairs = cut(pairs)
-    j = spread_join(spread_join(pairs, a, ["cid"]), b, ["other"], counted=pairs)
-    shared = F.aggregate(F.array_intersect(F.flatten("pa"), F.flatten("pb")), F.lit(0).cast("bigint"), lambda acc, h: acc + h.bitwiseAND(F.lit(_LENGTHS).cast("bigint")))
-    covered = shared >= F.greatest("la", "lb")
-    lines = lambda c: F.transform(c, lambda p: F.xxhash64(p))
-    both = F.size(F.array_intersect(lines("pa"), lines("pb")))
-    exact = both >= F.lit(threshold - 1e-9) * (F.size("pa") + F.size("pb") - both)
-    return j.filter((F.col("a") != F.col("b")) & covered & exact).select("cid", "other")
+    """The pairs (cid, other) that are near: by shared byte totals, then by lines. Records of one class are no pair.
+
+    Few pairs are brought to the records, so only records in pairs are shuffled; many meet
+    them in joins that spread hot records.
+    """
+    side = lambda df, name, at: df.select(_cid().alias(name), *[F.col(c).alias(f"{c}_{at}") for c in ("class", "least", "keys", "lines")])
+    a, b, pairs = side(left, "cid", "a"), side(right, "other", "b"), cut(pairs)
+    if small_enough(pairs, 16):
+        met = b.join(F.broadcast(pairs), "other")
+        j = a.join(F.broadcast(pairs.select("cid").distinct()), "cid", "left_semi").join(met, "cid")
+    else:
+        j = spread_join(spread_join(pairs, a, ["cid"]), b, ["other"], counted=pairs)
+    shared = F.aggregate(F.array_intersect("keys_a", "keys_b"), F.lit(0).cast("bigint"), lambda acc, h: acc + h.bitwiseAND(F.lit(_LENGTHS).cast("bigint")))
+    covered = shared >= F.greatest("least_a", "least_b")
+    both = F.size(F.array_intersect("lines_a", "lines_b"))
+    exact = both >= F.lit(threshold - 1e-9) * (F.size("lines_a") + F.size("lines_b") - both)
+    return j.filter((F.col("class_a") != F.col("class_b")) & covered & exact).select("cid", "other")
+
+
+def _asked(picked: DataFrame) -> DataFrame:
+    """One row per record and chunk it is looked up by."""
+    return picked.select("cid", "n", "need", F.explode(F.arrays_zip(F.col("keys").alias("h"), F.col("lines").alias("m"))).alias("k")).select("cid", "n", "need", "k.h", "k.m")
+
+
+def _size_near(a: Column, b: Column, threshold: float) -> Column:
+    return (a >= F.lit(threshold - 1e-9) * b) & (b >= F.lit(threshold - 1e-9) * a)
 
 
-def _asked(picked: DataFrame, threshold: float) -> DataFrame:
-    size = _size_class(F.col("n"), threshold)
-    return picked.select("cid", F.explode("keys").alias("h"), size.alias("own")).select("cid", "h", F.explode(F.array(F.col("own") - 1, F.col("own"), F.col("own") + 1)).alias("size"))
+def _candidates(met: DataFrame, threshold: float) -> DataFrame:
+    """(cid, other) of looked-up rows that met: of near size, with as many lines in common as needed."""
+    near = met.filter(_size_near(F.col("n"), F.col("o_n"), threshold))
+    return near.groupBy("cid", "other", "need").agg(F.sum("m").alias("m")).filter(F.col("m") >= F.col("need")).select("cid", "other")
 
 
 class ChunkStore:
@@ -226,10 +278,9 @@ class ChunkStore:
         return sorted({s.getPath().getName().removeprefix("batch=") for s in fs.listStatus(path) if done(s)} - set(self.hidden))
 
     def append(self, batch: str, records: DataFrame) -> None:
-        """Adds the records (columns of ``RECORD``) of one batch."""
-        one = cut(records.select("class", "n", "least", "parts").dropDuplicates(["class"]))
-        table = chunk_table(one, self.threshold)
-        table.repartitionByRange("h").sortWithinPartitions("h").write.mode("overwrite").parquet(f"{self.path}/chunks/batch={batch}")
+        """Adds the records (columns of ``RECORD``, one per class) of one batch."""
+        one = records.select("class", "n", "least", "keys", "lines")
+        chunk_table(one).repartitionByRange("h").sortWithinPartitions("h").write.mode("overwrite").parquet(f"{self.path}/chunks/batch={batch}")
         written = self.spark.read.parquet(f"{self.path}/chunks/batch={batch}")
         frequent_chunks(written).write.mode("overwrite").parquet(f"{self.path}/frequent/batch={batch}")
         one.write.mode("overwrite").parquet(f"{self.path}/records/batch={batch}")
@@ -244,7 +295,7 @@ class ChunkStore:
         return self._read("records", RECORD)
 
     def chunks(self) -> DataFrame:
-        return self._read("chunks", "h bigint, size int, other bigint")
+        return self._read("chunks", "h bigint, o_n int, other bigint")
 
     def frequent(self) -> DataFrame:
         return self._read("frequent", "h bigint, df bigint")
@@ -257,13 +308,18 @@ class ChunkStore:
         records that aren't near to it are compared with all.
         """
         table, stored = self.chunks(), self.records()
-        frequent = self.frequent().select("h").distinct()
-        leading = table.join(frequent, "h", "left_semi").groupBy("h", "size").agg(F.min("other").alias("other"))
-        asked = cut(_asked(picked, self.threshold))
-        found = cut(confirmed(spread_join(asked, leading, ["h", "size"]).select("cid", "other").distinct(), records, stored, self.threshold).select("cid").distinct())
-        rest = cut(asked.join(found, "cid", "left_anti"))
-        more = confirmed(spread_join(rest, table, ["h", "size"]).select("cid", "other").distinct(), records, stored, self.threshold)
-        return found.unionByName(more.select("cid").distinct())
+        frequent = most_frequent(self.frequent()).select("h")
+        size = F.floor(F.log(F.col("o_n").cast("double")) / F.log(F.lit(1 / self.threshold))).alias("size")
+        leading = table.join(F.broadcast(frequent), "h", "left_semi").groupBy("h", size).agg(F.min(F.struct("other", "o_n")).alias("r")).select("h", "r.other", "r.o_n")
+        asked = cut(_asked(picked))
+
+        def found_in(asked: DataFrame, table: DataFrame, need: Column) -> DataFrame:
+            met = table.join(F.broadcast(asked), "h") if small_enough(asked, 32) else spread_join(asked, table, ["h"])
+            pairs = _candidates(met.withColumn("need", need), self.threshold)
+            return cut(confirmed(pairs, records, stored, self.threshold).select("cid").distinct())
+
+        near_leading = found_in(asked, leading, F.lit(1))
+        return near_leading.unionByName(found_in(cut(asked.join(near_leading, "cid", "left_anti")), table, F.col("need")))
 
 
 def repeated_deliveries(deliveries: DataFrame, accepted: DataFrame, samples: DataFrame, threshold: float = 0.8, store: ChunkStore | None = None, batch: str = "deliveries") -> DataFrame:
@@ -284,22 +340,29 @@ def repeated_deliveries(deliveries: DataFrame, accepted: DataFrame, samples: Dat
     """
     spark = samples.sparkSession
     store = store or ChunkStore(spark, shared_folder(spark, "chunks"), threshold)
-    files = cut(chunked(samples, "path", "content", threshold))
+    at_hand = shared_folder(spark, "files")
+    files = stored_copy(chunked(samples, "path", "content", threshold).withColumn("row", F.monotonically_increasing_id()), at_hand)
     named = files.groupBy("path").agg(F.min("class").alias("class"))  # a path that comes twice has one content
-    old = cut(accepted.join(named, "path", "left").select("checksum", "class"))
-    new = cut(deliveries.join(named, "path", "left").select("id", F.struct(F.coalesce("ts", F.lit(-(2**63))).alias("ts"), F.col("id").alias("id")).alias("at"), "checksum", "class"))
+    at = F.struct(F.coalesce("ts", F.lit(-(2**63))).alias("ts"), F.col("id").alias("id"))
+    parties = deliveries.select("id", at.alias("at"), "checksum", "path", F.lit(False).alias("old")).unionByName(accepted.select("checksum", "path", F.lit(True).alias("old")), allowMissingColumns=True)
+    parties = cut(parties.join(named, "path", "left").drop("path"))
+    old, new = parties.filter("old").select("checksum", "class"), parties.filter("NOT old").drop("old")
 
     old_sums = old.filter(F.col("checksum").isNotNull()).select("checksum").distinct()
-    old_classes = old.filter(F.col("class").isNotNull()).select("class").distinct()
-    seen = old_classes.withColumn("old", F.lit(True)).unionByName(new.filter(F.col("class").isNotNull()).select("class").withColumn("old", F.lit(False)))
-    contents = cut(files.drop("path").dropDuplicates(["class"]).join(seen.groupBy("class").agg(F.max("old").alias("old")), "class"))
     before = f"{batch}-before"
-    store.append(before, contents.filter("old").drop("old").join(store.without(batch, before).records().select("class"), "class", "left_anti"))
+    earlier = store.without(batch, before).records().select("class").withColumn("state", F.lit(2))
+    states = old.select("class", F.lit(1).alias("state")).unionByName(new.select("class", F.lit(0).alias("state"))).unionByName(earlier).filter(F.col("class").isNotNull())
+    state = states.groupBy("class").agg(F.max("state").alias("state"))
+    # one row of the files stands for each class, known by its number, so contents are not shuffled to find copies
+    rows = cut(files.groupBy("class").agg(F.min("row").alias("row")).join(state, "class").select("row", "state"))
+    contents = lookup_join(files.drop("path"), rows, ["row"], "inner", row_bytes=16).drop("row")
+    store.append(before, contents.filter("state = 1").drop("state"))
 
     store = store.without(batch)
     stored = store.records().select("class")
-    probe = cut(contents.filter("NOT old").drop("old").join(stored, "class", "left_anti"))
-    frequent = frequent_chunks(chunk_table(probe, threshold)).unionByName(store.frequent())
+    probe = cut(contents.filter("state = 0").drop("state"))
+    forget(spark, at_hand)  # all that is needed later lies in the store and the checkpoints
+    frequent = frequent_chunks(chunk_table(probe).repartition("h").sortWithinPartitions("h")).unionByName(store.frequent())
     picked = cut(picked_chunks(probe, frequent, threshold))
     near_old = cut(store.near(probe, picked))
     hit = cut(probe.withColumn("cid", _cid()).join(near_old, "cid", "left_semi").select("class").unionByName(stored))
@@ -360,10 +423,6 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _size_near(a: Column, b: Column, threshold: float) -> Column:
-    return (a >= F.lit(threshold - 1e-9) * b) & (b >= F.lit(threshold - 1e-9) * a)
-
-
 def _leaders(open_: DataFrame, records: DataFrame, live: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
     """One round: (accepted now, (cid, at) near to them, still undecided).
 
@@ -377,7 +436,7 @@ def _leaders(open_: DataFrame, records: DataFrame, live: DataFrame, threshold: f
     rank = F.row_number().over(Window.partitionBy("h").orderBy("c_at", "cid"))
     lead = cut(each.withColumn("rank", rank).filter(F.col("rank") <= LEADERS).select("h", F.col("cid").alias("other"), F.col("c_at").alias("o_at"), F.col("n").alias("o_n")))
     clear = lead.groupBy(F.col("other").alias("cid")).agg(F.count(F.lit(1)).alias("k")).join(live.select("cid", F.size("keys").alias("all")), "cid").filter(F.col("k") == F.col("all")).select("cid")
-    met = spread_join(each, lead, ["h"]).filter(((F.col("o_at") < F.col("c_at")) | ((F.col("o_at") == F.col("c_at")) & (F.col("other") < F.col("cid")))) & _size_near(F.col("n"), F.col("o_n"), threshold))
+    met = spread_join(each.select("cid", "n", "c_at", "h"), lead, ["h"]).filter(((F.col("o_at") < F.col("c_at")) | ((F.col("o_at") == F.col("c_at")) & (F.col("other") < F.col("cid")))) & _size_near(F.col("n"), F.col("o_n"), threshold))
     links = cut(confirmed(met.select("cid", "other").distinct(), records, records, threshold))
     free = clear.join(links.select("cid").distinct(), "cid", "left_anti").withColumn("free", F.lit(True))
     first_sum = open_.filter(F.col("checksum").isNotNull()).groupBy("checksum").agg(F.min("at").alias("s_at"))
@@ -393,10 +452,10 @@ def _leaders(open_: DataFrame, records: DataFrame, live: DataFrame, threshold: f
 
 def _settled(open_: DataFrame, records: DataFrame, live: DataFrame, threshold: float, most_units: int) -> tuple[DataFrame, DataFrame, bool]:
     """(accepted, (cid, at) near to them, whether few enough deliveries were entangled to decide them here)."""
-    each = cut(live.select("cid", "n", F.explode("keys").alias("h")))
+    each = cut(_asked(live))
     other = each.select("h", F.col("cid").alias("other"), F.col("n").alias("o_n"))
-    met = each.join(other, "h").filter((F.col("cid") < F.col("other")) & _size_near(F.col("n"), F.col("o_n"), threshold))
-    links = confirmed(met.select("cid", "other").distinct(), records, records, threshold)
+    met = _candidates(each.join(other, "h").filter(F.col("cid") < F.col("other")), threshold)
+    links = confirmed(met, records, records, threshold)
     links = cut(links.select(F.explode(F.array(F.struct("cid", "other"), F.struct(F.col("other").alias("cid"), F.col("cid").alias("other")))).alias("e")).select("e.*"))
     same = lambda c: open_.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias(f"n_{c}"))
     linked = links.groupBy("cid").agg(F.collect_list("other").alias("others"))

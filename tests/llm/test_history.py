@@ -101,34 +101,49 @@ def test_copies_never_become_pairs(spark):
     assert len(got) == 9_999 and {k for i, k in got if i % 3} == {"near"} and {k for i, k in got if i % 3 == 0} == {"exact"}
 
 
+def by_line(*lines):
+    keys = h.chunk_lines(list(lines))
+    return np.split(keys, np.flatnonzero(np.diff(h._line_numbers(keys))) + 1)
+
+
 def test_chunks_are_cut_by_content():
     rnd = random.Random(1)
     line = bytes(rnd.randrange(97, 123) for _ in range(20_000))
-    pieces = lambda *lines: np.split(h.chunk_lines(list(lines))[0], np.cumsum(h.chunk_lines(list(lines))[1])[:-1])
-    (a,), (b,) = pieces(line), pieces(line[:9_000] + b"insert" + line[9_000:])
+    (a,), (b,) = by_line(line), by_line(line[:9_000] + b"insert" + line[9_000:])
     lengths = a & h._LENGTHS
-    assert lengths.sum() == len(line) and lengths.max() <= h.MAX_CHUNK and len(set(a) & set(b)) > 0.9 * len(a) > 500
-    assert (pieces(b"another line, " * 9, line, b"x")[1] == a).all()  # whatever stands beside it
-    assert len(pieces(b"short")[0]) == 1 and len(pieces(b"a" * 5_000)[0]) >= 5
+    assert lengths.sum() == len(line) and lengths.max() <= h.MAX_CHUNK and len(set(a) & set(b)) > 0.9 * len(a) > 300
+    assert (by_line(b"another line, " * 9, line, b"x")[1] == a).all()  # whatever stands beside it
+    assert len(by_line(b"short")[0]) == 1 and len(by_line(b"a" * 5_000)[0]) >= 5
 
 
 def test_ordinary_lines_are_cut():
     lines = [f"s{i:010d},{i * 7919 % 99999:05d}a{i % 9999:04d},2026-06-{i % 28 + 1:02d},{i * 31 % 5000}".encode() for i in range(500)]
-    assert len(h.chunk_lines(lines)[0]) > 1.5 * len(lines)
+    assert len(h.chunk_lines(lines)) > 1.4 * len(lines)
 
 
-def test_coverage_never_refuses_near_files():
+def test_coverage_never_refuses_near_files(spark):
     rnd = random.Random(3)
+    near = []
     for _ in range(300):
         base = [("x" if rnd.random() < 0.3 else "") + f"{rnd.randrange(40)} row " * rnd.choice([1, 1, 2, 30]) + str(rnd.random()) for _ in range(rnd.randrange(1, 15))]
-        sides = [h.normalized_lines("\n".join(mutate(rnd, base, rnd.choice([0, 1, 2])))) for _ in range(2)]
-        if not all(sides) or len(set(sides[0]) & set(sides[1])) < 0.8 * len(set(sides[0]) | set(sides[1])):
-            continue
-        keys = [set(h.chunk_lines([x.encode() for x in s])[0].tolist()) for s in sides]
-        shared = sum(k & h._LENGTHS for k in keys[0] & keys[1])
-        for s, own in zip(sides, keys, strict=True):
-            longest = sorted(len(x.encode()) for x in s)[int(h.least_shared(len(s), 0.8)) :]
-            assert shared >= sum(k & h._LENGTHS for k in own) - sum(longest)
+        texts = ["\n".join(mutate(rnd, base, rnd.choice([0, 1, 2]))) for _ in range(2)]
+        a, b = map(lines_of, texts)
+        if a and b and len(a & b) >= 0.8 * len(a | b):
+            near += texts
+    got = h.chunked(spark.createDataFrame(list(enumerate(near)), "path int, content string").selectExpr("cast(path AS string) AS path", "content"), "path", "content").collect()
+    rows = sorted(got, key=lambda r: int(r.path))
+    assert len(rows) == len(near) > 100
+    for a, b in zip(rows[::2], rows[1::2], strict=True):
+        assert sum(k & h._LENGTHS for k in set(a["keys"]) & set(b["keys"])) >= max(a.least, b.least)
+
+
+def test_frequent_chunks_are_counted_whole(spark):
+    values = [1] * 5 + [2] + [3] * 3 + [4, 5] + [6] * 40 + [7]
+    df = spark.createDataFrame([(v,) for v in values], "h bigint")
+    for parts in (1, 3):
+        got = h.frequent_chunks(df.repartition(parts, "h").sortWithinPartitions("h")).collect()
+        assert sorted(map(tuple, got)) == [(1, 5), (3, 3), (6, 40)]
+    assert h.frequent_chunks(df.limit(0)).count() == 0
 
 
 CHUNKED = "path string, content string"
