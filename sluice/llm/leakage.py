@@ -3,8 +3,9 @@
 Every run of ``n`` words of the evaluation items is hashed over word numbers from the
 items' own vocabulary. Documents are turned into the same numbers (words no item has
 are 0), their windows are hashed with array operations, looked up in the sorted hash
-set, and each hit is verified word by word. The set is broadcast only while the items
-are within ``max_item_bytes``; larger sets are joined by hash instead.
+set, and each hit is verified word by word. A set is broadcast only up to
+``max_item_bytes``; more items are taken in blocks of that size, one scan of the documents
+each, so the documents are never shuffled and results are the same.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.batches import slices
+from sluice.session import cut, lookup_join
 
 WORD = re.compile(r"[^\W_]+")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -102,11 +105,17 @@ def hits(grams: GramSet, texts: list[str | None]) -> list[tuple[int, int, int]]:
     return out
 
 
-def _collect_items(items: DataFrame, item: str, text: str, max_item_bytes: int) -> list[tuple[int, str]] | None:
-    size = items.agg(F.sum(F.octet_length(text)).alias("n")).first().n or 0
-    if size > max_item_bytes:
-        return None
-    return [(r[0], r[1]) for r in items.select(item, text).filter(F.col(item).isNotNull() & F.col(text).isNotNull()).collect()]
+def item_blocks(items: DataFrame, item: str, text: str, n: int, max_item_bytes: int) -> Iterator[GramSet]:
+    """The items as gram sets of at most about ``max_item_bytes`` of text each: one set if all fit, else by hash of the id.
+
+    An item stays whole, so one longer than that makes a larger set.
+    """
+    rows = items.select(F.col(item).alias("item"), F.col(text).alias("text")).filter(F.col("item").isNotNull() & F.col("text").isNotNull())
+    size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+    blocks = 1 if size <= max_item_bytes else -(-2 * size // max(1, max_item_bytes))
+    for k in range(blocks):
+        block = rows if blocks == 1 else rows.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k)
+        yield build([(r.item, r.text) for r in block.collect()], n)
 
 
 def leaks(documents: DataFrame, items: DataFrame, doc: str = "doc_id", item: str = "item_id", text: str = "text", n: int = 12, max_item_bytes: int = 32 << 20) -> DataFrame:
@@ -116,60 +125,61 @@ def leaks(documents: DataFrame, items: DataFrame, doc: str = "doc_id", item: str
     leaked. All items that share a leaked window are reported. A document id that occurs
     in several rows is reported once.
     """
-    got = _collect_items(items, item, text, max_item_bytes)
     out_schema = f"{doc} {documents.schema[doc].dataType.simpleString()}, {item} {items.schema[item].dataType.simpleString()}"
-    rows = documents.select(doc, text)
-    if got is None:
-        return _joined(rows, items.select(item, text), doc, item, text, n).select(doc, item)
-    shared = documents.sparkSession.sparkContext.broadcast(build(got, n))
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = shared.value
-        for b in slices(batches, 1):
-            pairs = sorted({(k, i) for k, _, i in hits(grams, b.column(1).to_pylist())})
-            if pairs:
-                at = pa.array([k for k, _ in pairs], pa.int64())
-                yield pa.RecordBatch.from_arrays([b.column(0).take(at), pa.array([grams.items[i][0] for _, i in pairs])], [doc, item])
+    def scan_with(shared):
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            grams = shared.value
+            for b in slices(batches, 1):
+                pairs = sorted({(k, i) for k, _, i in hits(grams, b.column(1).to_pylist())})
+                if pairs:
+                    at = pa.array([k for k, _ in pairs], pa.int64())
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(at), pa.array([grams.items[i][0] for _, i in pairs])], [doc, item])
 
-    return rows.mapInArrow(scan, out_schema).distinct()
+        return documents.select(doc, text).mapInArrow(scan, out_schema)
 
+    sc = documents.sparkSession.sparkContext
+    found = [scan_with(sc.broadcast(grams)) for grams in item_blocks(items, item, text, n, max_item_bytes)]
+    return reduce(DataFrame.unionByName, found).distinct()
 
-def _grams(text: str, n: int):
-    """Column expression: windows of ``n`` words joined by blanks."""
-    w = F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"), lambda x: x != "")
-    starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - n + 1)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(w, i, n), " ")))
 
+def leaked_words(documents: DataFrame, items: DataFrame, doc: str, item: str, text: str, n: int, max_item_bytes: int) -> DataFrame:
+    """(doc, same, words): for each document with leaks, known by id and hash of its text, the sorted numbers of its leaked words."""
 
-def _joined(rows: DataFrame, items: DataFrame, doc: str, item: str, text: str, n: int) -> DataFrame:
-    """The same pairs by a join on window hashes, for item sets too large to broadcast."""
-    left = rows.select(doc, F.explode(_grams(text, n)).alias("gram")).select(doc, "gram", F.xxhash64("gram").alias("h"))
-    right = items.select(item, F.explode(_grams(text, n)).alias("g")).select(item, "g", F.xxhash64("g").alias("h"))
-    return left.join(right, "h").filter(F.col("gram") == F.col("g")).select(doc, item).distinct()
+    def scan_with(shared):
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            grams = shared.value
+            for b in slices(batches, 2):
+                gone: dict[int, set[int]] = {}
+                for k, at, _ in hits(grams, b.column(2).to_pylist()):
+                    gone.setdefault(k, set()).update(range(at, at + grams.n))
+                if gone:
+                    rows = pa.array(list(gone))
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array([sorted(x) for x in gone.values()], pa.list_(pa.int32()))], [doc, "same", "words"])
+
+        return documents.select(doc, F.xxhash64(text).alias("same"), text).mapInArrow(scan, f"{doc} {documents.schema[doc].dataType.simpleString()}, same bigint, words array<int>")
+
+    sc = documents.sparkSession.sparkContext
+    found = reduce(DataFrame.unionByName, [scan_with(sc.broadcast(grams)) for grams in item_blocks(items, item, text, n, max_item_bytes)])
+    return found.groupBy(doc, "same").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("words")))).alias("words"))
 
 
 def without_leaks(documents: DataFrame, items: DataFrame, doc: str = "doc_id", item: str = "item_id", text: str = "text", n: int = 12, max_item_bytes: int = 32 << 20) -> DataFrame:
     """(doc, text, n_leaked_words): texts without the words of every leaked window and what stands between them.
 
-    Needs an item set within ``max_item_bytes``. Null texts stay null.
+    All windows are found in the text as it is, whatever number of blocks the items take,
+    then cut at once. Null texts stay null.
     """
-    got = _collect_items(items, item, text, max_item_bytes)
-    if got is None:
-        raise ValueError(f"the items exceed {max_item_bytes} bytes; find the documents with leaks() and drop them whole")
-    shared = documents.sparkSession.sparkContext.broadcast(build(got, n))
+    leaked = cut(leaked_words(documents, items, doc, item, text, n, max_item_bytes))
+    joined = lookup_join(documents.select(doc, text).withColumn("same", F.xxhash64(text)), leaked, [doc, "same"]).select(doc, text, "words")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = shared.value
         for b in slices(batches, 1):
-            texts = b.column(1).to_pylist()
-            gone: dict[int, set[int]] = {}
-            for k, at, _ in hits(grams, texts):
-                gone.setdefault(k, set()).update(range(at, at + grams.n))
-            for k, drop in gone.items():
-                texts[k] = _cut_words(texts[k], drop)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array([len(gone.get(k, ())) for k in range(len(texts))], pa.int32())], [doc, text, "n_leaked_words"])
-
-    return documents.select(doc, text).mapInArrow(clean, f"{doc} {documents.schema[doc].dataType.simpleString()}, {text} string, n_leaked_words int")
+            gone = b.column(2).to_pylist()
+            texts = [_cut_words(t, set(w)) if w else t for t, w in zip(b.column(1).to_pylist(), gone, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array([len(w or ()) for w in gone], pa.int32())], [doc, text, "n_leaked_words"])
+
+    return joined.mapInArrow(clean, f"{doc} {documents.schema[doc].dataType.simpleString()}, {text} string, n_leaked_words int")
 
 
 def _cut_words(text: str, drop: set[int]) -> str:

@@ -44,7 +44,11 @@ def test_equals_a_loop_over_windows(spark, seed):
     d, i = frames(spark, docs, items)
     want = brute(docs, items)
     assert want and {tuple(r) for r in lk.leaks(d, i).collect()} == want
-    assert {tuple(r) for r in lk.leaks(d, i, max_item_bytes=0).collect()} == want
+    size = sum(len((t or "").encode()) for _, t in items)
+    assert len(list(lk.item_blocks(i, "item_id", "text", 12, size // 3))) > 3
+    assert {tuple(r) for r in lk.leaks(d, i, max_item_bytes=size // 3).collect()} == want
+    whole = sorted(map(str, lk.without_leaks(d, i).collect()))
+    assert sorted(map(str, lk.without_leaks(d, i, max_item_bytes=size // 3).collect())) == whole
 
 
 def test_items_that_share_a_window_are_all_reported(spark):
@@ -63,5 +67,14 @@ def test_spans_are_removed(spark):
     d, i = frames(spark, [(1, f"Before. {text}, after!"), (2, "clean"), (3, None), (4, text)], [(1, text)])
     got = {r.doc_id: (r.text, r.n_leaked_words) for r in lk.without_leaks(d, i).collect()}
     assert got == {1: ("Before. , after!", 14), 2: ("clean", 0), 3: (None, 0), 4: ("", 14)}
-    with pytest.raises(ValueError, match="exceed"):
-        lk.without_leaks(d, i, max_item_bytes=1)
+
+
+def test_blocks_find_what_overlaps_and_repeated_documents_keep_their_texts(spark):
+    """Windows of items in different blocks overlap in one document; an id may come with two texts."""
+    w = [f"a{i}" for i in range(30)]
+    items = [(1, " ".join(w[:14])), (2, " ".join(w[10:26]))]
+    docs = [(7, "x " + " ".join(w[:27]) + " y"), (7, "clean"), (7, None), (None, " ".join(w[10:26]))]
+    d, i = frames(spark, docs, items)
+    for most in (10**6, 60):
+        got = sorted(((r.doc_id, r.text, r.n_leaked_words) for r in lk.without_leaks(d, i, max_item_bytes=most).collect()), key=str)
+        assert got == [(7, "clean", 0), (7, "x  a26 y", 26), (7, None, 0), (None, "", 16)]
