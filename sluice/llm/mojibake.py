@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field, replace
 
@@ -49,7 +50,7 @@ _LOST = re.compile("[�\x80-\x84\x86-\x9f]")
 _MIXED = re.compile("[A-Za-z\xc0-\u024f][\u0400-\u04ff]|[\u0400-\u04ff][A-Za-z\xc0-\u024f]")
 _INNER_CAPITAL = re.compile("[\u0430-\u045f][\u0400-\u042f]")
 _SPACE = re.compile(r"\s+")
-_DIGIT = re.compile(r"[0-9]")
+_DIGIT = re.compile(r"[1-9]")
 
 
 def _to_bytes(charset: str) -> dict[str, int]:
@@ -67,6 +68,15 @@ def _to_bytes(charset: str) -> dict[str, int]:
 _BYTES = {c: _to_bytes(c) for c in {*UTF8_READ_AS, *(r for r, _ in SINGLE_BYTE)}}
 
 
+def _multi_byte(charset: str) -> re.Pattern:
+    """Finds what may be one multi-byte UTF-8 character read as this charset: a first byte and its first continuation."""
+    at = lambda low, high: "".join(re.escape(ch) for ch, b in _BYTES[charset].items() if low <= b <= high)
+    return re.compile(f"[{at(0xC2, 0xF4)}][{at(0x80, 0xBF)}]")
+
+
+_MULTI_BYTE = {c: _multi_byte(c) for c in UTF8_READ_AS}
+
+
 def _decode_table(read: str, written: str) -> dict[int, str]:
     out = {}
     for ch, b in _BYTES[read].items():
@@ -84,7 +94,10 @@ _SINGLE = {(r, w): _decode_table(r, w) for r, w in SINGLE_BYTE}
 
 def utf8_units(text: str, charset: str) -> list[tuple[int, int, str]]:
     """(start, end, character) wherever the charset's bytes form one multi-byte character."""
-    table, out, i, n = _BYTES[charset], [], 0, len(text)
+    start = _MULTI_BYTE[charset].search(text)
+    if start is None:
+        return []
+    table, out, i, n = _BYTES[charset], [], start.start(), len(text)
     while i < n:
         b = table.get(text[i], 0)
         k = 1 if 0xC2 <= b <= 0xDF else 2 if 0xE0 <= b <= 0xEF else 3 if 0xF0 <= b <= 0xF4 else 0
@@ -177,13 +190,33 @@ def _tri(a, b, c):
     return ((a * 0x9E3779B1) ^ (b * 0x85EBCA77) ^ (c * 0xC2B2AE3D)) >> 7 & ((1 << TRI_BITS) - 1)
 
 
-def gram_slots(texts: Iterable[str]) -> np.ndarray:
-    """Table slots of all 1-, 2- and 3-grams: code points first, then bigrams, then trigrams."""
-    out = []
-    for t in texts:
-        c = np.frombuffer(normal(t).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
-        out += [c, CODE_POINTS + _bi(c[:-1], c[1:]), CODE_POINTS + (1 << BI_BITS) + _tri(c[:-2], c[1:-1], c[2:])]
-    return np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
+#: Which code points are white space, as a table.
+_BLANK = np.array([chr(i).isspace() for i in range(0x3001)])
+
+
+def normal_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(code points of all texts as ``normal`` has them, one behind the other; whether each begins a text)."""
+    raw = [t.encode("utf-32-le", "surrogatepass") for t in texts if t]
+    c = np.frombuffer(b"".join(raw), dtype=np.uint32).copy()
+    begins = np.zeros(len(c), dtype=bool)
+    if raw:
+        begins[np.cumsum([0, *(len(x) // 4 for x in raw[:-1])])] = True
+    c[(c >= 0x31) & (c <= 0x39)] = 0x30
+    blank = _BLANK[np.minimum(c, 0x3000)] & (c <= 0x3000)
+    c[blank] = 0x20
+    kept = ~blank | begins
+    kept[1:] |= ~blank[:-1]
+    return c[kept], begins[kept]
+
+
+def count_grams(texts: list[str], counts: np.ndarray) -> None:
+    """Adds all 1-, 2- and 3-grams to a table: code points first, then bigrams, then trigrams."""
+    c, begins = normal_points(texts)
+    counts[:CODE_POINTS] += np.bincount(c, minlength=CODE_POINTS)
+    # 32 bits suffice: the slots are made of bits 7 to 28 of the products
+    a, b, inner = c[:-1], c[1:], ~begins[1:]
+    counts[CODE_POINTS : CODE_POINTS + (1 << BI_BITS)] += np.bincount(_bi(a, b)[inner], minlength=1 << BI_BITS)
+    counts[CODE_POINTS + (1 << BI_BITS) :] += np.bincount(_tri(a[:-1], b[:-1], c[2:])[inner[:-1] & inner[1:]], minlength=1 << TRI_BITS)
 
 
 @dataclass(frozen=True)
@@ -222,6 +255,26 @@ def _short(r: Rewriting, explained: dict[str, int]) -> bool:
     return r.single_byte and max(explained[c] for c in r.agreeing) < LEAST_CHANGED
 
 
+#: What the models a worker process works with have found so far, by model; tasks of later stages go on with it.
+_MEMORIES: dict[str, Memory] = {}
+
+
+@dataclass
+class Memory:
+    """Rewritings of clusters, fillings, likelihoods of grams: all follow from counts and residues alone."""
+
+    rewritings: dict[str, tuple[Rewriting, Rewriting | None]] = field(default_factory=dict)
+    fills: dict[tuple[str, str], tuple[str, int]] = field(default_factory=dict)
+    grams: dict[str, float] = field(default_factory=dict)
+
+
+def _memory(name: str) -> Memory:
+    if name not in _MEMORIES:
+        _MEMORIES.clear()  # one model at a time
+        _MEMORIES[name] = Memory()
+    return _MEMORIES[name]
+
+
 @dataclass
 class Model:
     """Interpolated character trigrams in tables of fixed size (about 27 MB as 32-bit counts).
@@ -236,67 +289,85 @@ class Model:
     margin: float = LEAST_MARGIN
     floor: float = -math.inf
     short_margin: float = LEAST_MARGIN
-    cache: dict[str, Rewriting] = field(default_factory=dict)
-    fills: dict[tuple[str, str], tuple[str, int]] = field(default_factory=dict)
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def __post_init__(self):
         self.total = float(self.counts[:CODE_POINTS].sum()) + 1.0
+        self.memory = Memory()
 
     def __getstate__(self):
-        return self.__dict__ | {"cache": {}, "fills": {}}
+        return self.__dict__ | {"memory": None}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state, memory=_memory(state["name"]))
+
+    def _likelihood(self, gram: str) -> float:
+        """Log likelihood of the last character of one to three."""
+        n, c = self.counts, ord(gram[-1])
+        p = (float(n[c]) + 0.05) / (self.total + 0.05 * 150_000)
+        if len(gram) > 1:
+            b = ord(gram[-2])
+            pair = float(n[CODE_POINTS + _bi(b, c)])
+            p = (pair + 20.0 * p) / (max(float(n[b]), pair) + 20.0)
+            if len(gram) > 2:
+                a = ord(gram[0])
+                before = float(n[CODE_POINTS + _bi(a, b)])
+                triple = min(float(n[CODE_POINTS + (1 << BI_BITS) + _tri(a, b, c)]), before)
+                p = (triple + 5.0 * p) / (before + 5.0)
+        return math.log(p)
 
     def score(self, text: str, skip: int = 0, least: float = -math.inf) -> float:
         """Log likelihood of the characters of a cluster behind the first ``skip``; no further than to where it isn't above ``least`` any more."""
-        n, total, a, b, out = self.counts, self.total, -1, -1, 0.0
-        for at, ch in enumerate(normal(text)):
-            c = ord(ch)
-            if at < skip:
-                a, b = b, c
-                continue
-            p = (float(n[c]) + 0.05) / (total + 0.05 * 150_000)
-            if b >= 0:
-                pair = float(n[CODE_POINTS + _bi(b, c)])
-                p = (pair + 20.0 * p) / (max(float(n[b]), pair) + 20.0)
-                if a >= 0:
-                    before = float(n[CODE_POINTS + _bi(a, b)])
-                    triple = min(float(n[CODE_POINTS + (1 << BI_BITS) + _tri(a, b, c)]), before)
-                    p = (triple + 5.0 * p) / (before + 5.0)
-            out += math.log(p)
+        t, grams, out = normal(text), self.memory.grams, 0.0
+        for at in range(skip, len(t)):
+            gram = t[at - 2 if at > 2 else 0 : at + 1]
+            p = grams.get(gram)
+            if p is None:
+                if len(grams) > 500_000:
+                    grams.clear()
+                p = grams[gram] = self._likelihood(gram)
+            out += p
             if out <= least:
                 break
-            a, b = b, c
         return out
 
     def best(self, cluster: str) -> Rewriting:
         """The likeliest rewriting; the cluster itself if none gains. No rewriting may add lost or control characters."""
-        got = self.cache.get(cluster)
-        if got is None:
-            base, got, lost = None, Rewriting(cluster), len(_LOST.findall(cluster))
-            # what is not printable ASCII stands next to white space where the cluster ends with it
-            left, right = " " * (cluster[0] > "~"), " " * (cluster[-1] > "~")
-            scored = lambda t: self.score(left + t + right)
-            for chain, new in candidates(cluster):
-                if len(_LOST.findall(new)) > lost or "\x85" in new and "\x85" not in cluster:
-                    continue
-                base = scored(cluster) if base is None else base
-                s = scored(new)
-                if s - base > got.gain:
-                    got = Rewriting(new, s - base, chain, sum(x != y for x, y in zip(cluster, new, strict=False)), s / len(new))
-            single, refill = got if got.single_byte else None, None
-            for new in self._refilled(cluster, left, right):
-                base = scored(cluster) if base is None else base
-                s = scored(new)
-                if s - base > max(got.gain if refill is None else refill.gain, 2 * self.margin):
-                    refill = Rewriting(new, s - base, LOSSY, 1, s / len(new))
-            if refill and (single is None or refill.gain > 2 * single.gain):
-                got = refill
-            elif single:
-                got = replace(got, instead=refill, agreeing=tuple(f"{r}>{w}" for (r, w), table in _SINGLE.items() if cluster.translate(table) == got.text))
-            if len(self.cache) > 200_000:
-                self.cache.clear()
+        known = self.memory.rewritings.get(cluster)
+        if known is None:
+            known = self._likeliest(cluster)
+            if len(self.memory.rewritings) > 200_000:
+                self.memory.rewritings.clear()
             if len(cluster) <= 200:
-                self.cache[cluster] = got
-        return got
+                self.memory.rewritings[cluster] = known
+        got, refill = known
+        if refill and refill.gain <= max(got.gain if not got.single_byte else 0.0, 2 * self.margin):
+            refill = None
+        if refill and (not got.single_byte or refill.gain > 2 * got.gain):
+            return refill
+        return replace(got, instead=refill) if got.single_byte else got
+
+    def _likeliest(self, cluster: str) -> tuple[Rewriting, Rewriting | None]:
+        """The likeliest result of a chain, or the cluster itself, and the likeliest refilled text."""
+        base, got, refill, lost = None, Rewriting(cluster), None, len(_LOST.findall(cluster))
+        # what is not printable ASCII stands next to white space where the cluster ends with it
+        left, right = " " * (cluster[0] > "~"), " " * (cluster[-1] > "~")
+        scored = lambda t, least=-math.inf: self.score(left + t + right, 0, least)
+        for chain, new in candidates(cluster):
+            if len(_LOST.findall(new)) > lost or "\x85" in new and "\x85" not in cluster:
+                continue
+            base = scored(cluster) if base is None else base
+            s = scored(new, base + got.gain)  # no further than to where it can't win any more
+            if s - base > got.gain:
+                got = Rewriting(new, s - base, chain, sum(x != y for x, y in zip(cluster, new, strict=False)), s / len(new))
+        for new in self._refilled(cluster, left, right):
+            base = scored(cluster) if base is None else base
+            s = scored(new, base + (refill.gain if refill else 0.0))
+            if s - base > (refill.gain if refill else 0.0):
+                refill = Rewriting(new, s - base, LOSSY, 1, s / len(new))
+        if got.single_byte:
+            got = replace(got, agreeing=tuple(f"{r}>{w}" for (r, w), table in _SINGLE.items() if cluster.translate(table) == got.text))
+        return got, refill
 
     def _refilled(self, cluster: str, left: str, right: str) -> Iterator[str]:
         """The cluster with each residue of a character that lost bytes replaced by the likeliest known character that leaves it.
@@ -322,7 +393,8 @@ class Model:
 
     def _fill(self, head: str, window: str) -> tuple[str, int]:
         """(likeliest character, characters it replaces) at the start of a window behind ``head``; its first one if nothing is likelier."""
-        got = self.fills.get((head, window))
+        fills = self.memory.fills
+        got = fills.get((head, window))
         if got is None:
             got, best, skip = (window[0], 1), self.score(head + window, len(head)), len(head)
             for k in (1, 2, 3):
@@ -330,9 +402,9 @@ class Model:
                     s = self.score(head + ch + window[k:], skip, best)
                     if s > best:
                         got, best = (ch, k), s
-            if len(self.fills) > 500_000:
-                self.fills.clear()
-            self.fills[head, window] = got
+            if len(fills) > 500_000:
+                fills.clear()
+            fills[head, window] = got
         return got
 
     def repair(self, text: str) -> tuple[str, int, int]:
@@ -444,8 +516,7 @@ def train(documents: DataFrame, text: str = "text") -> Model:
         counts, test = np.zeros(size, dtype=np.int64), CleanTest(known.value)
         for b in slices(batches, 0):
             clean = [t for t in b.column(0).to_pylist() if not test.garbled(t)]
-            slots, n = np.unique(gram_slots(clean), return_counts=True)
-            counts[slots] += n
+            count_grams(clean, counts)
         yield _sparse(counts)
 
     counts = _sum_slots(rows.filter(~held).mapInArrow(count, "slot int, n bigint"), size)
@@ -511,3 +582,17 @@ def repair_corpus(documents: DataFrame, model: Model, doc: str = "doc_id", text:
     return documents.select(doc, text).mapInArrow(run, f"{doc} {documents.schema[doc].dataType.simpleString()}, {text} string, n_restored int, n_lost int")
 
 
+def garbled_records(documents: DataFrame, model: Model, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc, n_restored, n_lost) of the records ``repair_corpus`` finds garbled; those of ASCII alone never leave the scan."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b in slices(batches, 1):
+            got = [(k, restored, lost) for k, (_, restored, lost) in enumerate(map(m.repair, b.column(1).to_pylist())) if restored or lost]
+            if got:
+                at, restored, lost = zip(*got, strict=True)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), pa.array(restored, pa.int32()), pa.array(lost, pa.int32())], [doc, "n_restored", "n_lost"])
+
+    beyond = documents.filter(F.col(text).rlike(r"[^\x00-\x7f]")).select(doc, text)
+    return beyond.mapInArrow(run, f"{doc} {documents.schema[doc].dataType.simpleString()}, n_restored int, n_lost int")

@@ -105,11 +105,31 @@ def test_local_scores_refill_as_whole_ones_do(model, cluster):
     assert set(model._refilled(cluster, left, right)) == want
 
 
+SIZE = mb.CODE_POINTS + (1 << mb.BI_BITS) + (1 << mb.TRI_BITS)
+
+
+def test_counts_equal_a_loop():
+    texts = ["", "a", "ab", " a \t\u3000 b\n12x7 ", "\n\n", "für 10 Städte", "\U0001f600 \x85\x1c!", "  x", "\ud800"]
+    counts, want = mb.np.zeros(SIZE, dtype="int64"), mb.np.zeros(SIZE, dtype="int64")
+    mb.count_grams(texts, counts)
+    mb.count_grams([], counts)
+    for t in texts:
+        c = [ord(x) for x in mb.normal(t)]
+        for i, x in enumerate(c):
+            want[x] += 1
+            if i:
+                want[mb.CODE_POINTS + mb._bi(c[i - 1], x)] += 1
+            if i > 1:
+                want[mb.CODE_POINTS + (1 << mb.BI_BITS) + mb._tri(c[i - 2], c[i - 1], x)] += 1
+    assert (counts == want).all() and counts.sum() > 60
+
+
 def test_long_text_without_blanks_is_refilled():
     phrases = ["これは検証の結果です。", "表の列を確認してください。", "取り込みは完了しました。", "差分が見つかりました。", "この行は除外されます。"]
     rnd = random.Random(3)
     texts = ["".join(rnd.choices(phrases, k=4)) for _ in range(300)]
-    counts = mb.np.bincount(mb.gram_slots(texts), minlength=mb.CODE_POINTS + (1 << mb.BI_BITS) + (1 << mb.TRI_BITS))
+    counts = mb.np.zeros(SIZE, dtype="int64")
+    mb.count_grams(texts, counts)
     japanese = mb.Model(counts.astype("int32"), mb.residues(set("".join(phrases))))
     text = "".join(phrases * 4)
     bad = re.sub("[\x80-\x9f]", "", text.encode().decode("latin-1"))
@@ -153,3 +173,9 @@ def test_empty_corpus(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     m = mb.train(empty)
     assert m.margin == mb.LEAST_MARGIN and mb.repair_corpus(empty, m).count() == 0
+
+
+def test_found_are_the_restored_and_the_lost(spark, model):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(["fÃ¼r das Feld", "für das Feld", "plain", None, "", "lost \ufffd here", "Ã¼ber die MÃ¶glichkeit"])], "doc_id bigint, text string")
+    want = sorted((r.doc_id, r.n_restored, r.n_lost) for r in mb.repair_corpus(df, model).collect() if r.n_restored + r.n_lost)
+    assert sorted(map(tuple, mb.garbled_records(df, model).collect())) == want and {w[0] for w in want} >= {0, 5}
