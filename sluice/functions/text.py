@@ -61,16 +61,27 @@ TYPE_SYNONYMS = {
 }
 
 
-def spark_type_name(c: Column) -> Column:
-    """One spelling per Spark type: synonyms merged, char and varchar of any length are string, decimal without arguments is decimal(10,0)."""
-    t = F.lower(F.regexp_replace(c, r"\s+", ""))
-    base = F.regexp_extract(t, r"^([a-z_]+)", 1)
-    args = F.regexp_extract(t, r"(\(.*\))$", 1)
+def _type_name(base: Column, args: Column) -> Column:
     known = F.coalesce(*[F.when(base == a, F.lit(b)) for a, b in TYPE_SYNONYMS.items()], base)
     scaled = F.when(args == "", F.lit("(10,0)")).when(args.rlike(r"^\(\d+\)$"), F.regexp_replace(args, r"\)", ",0)")).otherwise(args)
     return F.when(base.isin("varchar", "char", "character", "nvarchar"), F.lit("string")).when(known == "decimal", F.concat(F.lit("decimal"), scaled)).otherwise(F.concat(known, args))
 
 
+def spark_type_names(types: Column) -> Column:
+    """An array of type names in one spelling each: synonyms merged, char and varchar of any length are string, decimal without arguments is decimal(10,0).
+
+    In steps over the whole array, so that each pattern is matched once an element.
+    """
+    bare = F.transform(types, lambda c: F.lower(F.regexp_replace(c, r"\s+", "")))
+    parts = F.transform(bare, lambda t: F.struct(F.regexp_extract(t, r"^([a-z_]+)", 1).alias("base"), F.regexp_extract(t, r"(\(.*\))$", 1).alias("args")))
+    return F.transform(parts, lambda p: _type_name(p["base"], p["args"]))
+
+
+def spark_type_name(c: Column) -> Column:
+    """One spelling per Spark type, as ``spark_type_names`` has it."""
+    return F.element_at(spark_type_names(F.array(c)), 1)
+
+
 def checksum_key(c: Column) -> Column:
     """Checksum without blanks, case and algorithm prefix; null for null and blank."""
     bare = F.regexp_replace(F.lower(F.regexp_replace(c, r"\s+", "")), r"^[a-z][a-z0-9_-]*[:=]", "")

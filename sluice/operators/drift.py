@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.text import normalized_header, spark_type_name
+from sluice.functions.text import normalized_header, spark_type_names
 from sluice.operators.ordered import previous_row
 from sluice.session import cut, lookup_join
 
@@ -28,22 +28,23 @@ def header_columns(headers: DataFrame, contract: DataFrame) -> DataFrame:
     header without letters or digits is no column. Missing types are null.
     """
     names = F.transform(F.split("actual_source_headers", ","), normalized_header)
-    types = F.transform(F.split("actual_source_types", r"\|"), spark_type_name)
+    types = spark_type_names(F.split("actual_source_types", r"\|"))
     c = contract.filter(F.col("column_name").isNotNull())
     known = c.select("entity", F.explode(F.concat(F.array(F.lower("column_name")), F.coalesce(F.split("aliases", r"\|"), F.array()))).alias("n"), "column_name")
     known = known.select("entity", normalized_header(F.col("n")).alias("n"), "column_name").filter("n <> ''").groupBy("entity", "n").agg(F.min("column_name").alias("column_name"))
     known = known.groupBy("entity").agg(F.map_from_entries(F.collect_list(F.struct("n", "column_name"))).alias("__known"))
-    rows = headers.filter(F.trim("actual_source_headers") != "").withColumns({"__names": names, "__types": types})
-    rows = lookup_join(rows, known, ["entity"], "left", row_bytes=4096)
+    rows = headers.filter(F.trim("actual_source_headers") != "").drop("cols")
+    rows = lookup_join(rows, known, ["entity"], "left")
 
     def entry(n: Column, i: Column) -> Column:
         found = F.element_at(F.col("__known"), n)
         return F.struct(F.coalesce(found, n).alias("col"), n.alias("name"), F.get(F.col("__types"), i).alias("type"), i.alias("pos"))
 
-    rows = rows.withColumn("cols", F.filter(F.transform("__names", entry), lambda e: e["col"] != ""))
-    ids = F.transform("cols", lambda e: e["col"])
-    first = F.filter("cols", lambda e, i: F.array_position(ids, e["col"]) == i + 1)
-    return rows.withColumn("cols", first).drop("__names", "__types", "__known")
+    # behind generators, so that what is used for each element isn't computed for each element
+    for name, c in (("__names", names), ("__types", types), ("cols", F.filter(F.transform("__names", entry), lambda e: e["col"] != "")), ("__ids", F.transform("cols", lambda e: e["col"]))):
+        rows = rows.withColumn(name, F.explode(F.array(c)))
+    first = F.filter("cols", lambda e, i: F.array_position("__ids", e["col"]) == i + 1)
+    return rows.withColumn("cols", first).drop("__names", "__types", "__known", "__ids")
 
 
 def branches(columns: DataFrame) -> DataFrame:
@@ -120,7 +121,7 @@ def tagged_cells(rows: DataFrame, columns: DataFrame) -> DataFrame:
     Cells beyond the header, rows without a header and empty cells give no row.
     """
     h = columns.select("header_id", "entity", "cols")
-    joined = lookup_join(rows, h, ["header_id"], "inner", row_bytes=2048)
+    joined = lookup_join(rows, h, ["header_id"], "inner")
     each = joined.select("file_row_id", "header_id", "entity", "row_idx", "cell_values", F.explode("cols").alias("c"))
     value = F.trim(F.get(F.col("cell_values"), F.col("c.pos")))
     return each.select("file_row_id", "header_id", "entity", "row_idx", F.col("c.col").alias("column_name"), F.coalesce("c.type", F.lit("string")).alias("tag"), F.when(value != "", value).alias("value")).filter(F.col("value").isNotNull())
@@ -144,7 +145,7 @@ def consistent_table(rows: DataFrame, columns: DataFrame) -> DataFrame:
     place = F.map_from_entries(F.transform("cols", lambda e: F.struct(e["col"], F.struct(e["pos"].alias("pos"), F.coalesce(e["type"], F.lit("string")).alias("type")))))
     at = F.transform(F.array(*[F.lit(w.col) for w in width]), lambda name: F.element_at(F.col("__map"), name)) if width else F.array().cast("array<struct<pos:int,type:string>>")
     h = columns.select("header_id", "entity", place.alias("__map")).select("header_id", "entity", at.alias("__at"))
-    joined = lookup_join(rows.select("file_row_id", "header_id", "row_idx", "cell_values"), h, ["header_id"], "left", row_bytes=2048)
+    joined = lookup_join(rows.select("file_row_id", "header_id", "row_idx", "cell_values"), h, ["header_id"], "left")
     read = lambda p: F.trim(F.get(F.col("cell_values"), p["pos"]))
     cells = F.transform("__at", lambda p: F.struct(F.when(read(p) != "", read(p)).alias("text"), p["type"].alias("type")))
     out = []
