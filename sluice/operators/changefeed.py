@@ -66,15 +66,31 @@ def _longs(t: pa.Table, name: str) -> np.ndarray:
     return pc.fill_null(t.column(name).cast(pa.int64()), EARLIEST).combine_chunks().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
 
 
+def _in_order(group: np.ndarray, version: list[np.ndarray]) -> bool:
+    """Whether versions never fall inside a group."""
+    tie, falls = group[1:] == group[:-1], False
+    for v in version:
+        falls = falls or bool((tie & (v[1:] < v[:-1])).any())
+        tie = tie & (v[1:] == v[:-1])
+    return not falls
+
+
 def _winners(group: np.ndarray, n: int, valid: np.ndarray, *version: np.ndarray) -> np.ndarray:
-    """Per group the position of the valid row with the highest version, else -1."""
+    """Per group the position of the valid row with the highest version, else -1.
+
+    Changes come sorted, so the last valid row of a group is the one; a change that comes
+    again has been applied and is passed over. Versions of columns inside states that were
+    folded before may be older than the state, only then they are sorted again.
+    """
     at = np.flatnonzero(valid)
     out = np.full(n, -1, dtype=np.int64)
     if at.size:
-        order = at[np.lexsort((*[v[at] for v in reversed(version)], group[at]))]
-        g = group[order]
+        g, v = group[at], [x[at] for x in version]
+        if not _in_order(g, v):
+            order = np.lexsort((*reversed(v), g))
+            at, g = at[order], g[order]
         last = np.append(g[1:] != g[:-1], True)
-        out[g[last]] = order[last]
+        out[g[last]] = at[last]
     return out
 
 
@@ -134,7 +150,8 @@ def replay(lifted: DataFrame, n_columns: int) -> DataFrame:
     copies of one change carry different columns, each column comes from its earliest
     landing that carries it; a delete outranks other codes of the same change.
     """
-    order = ["key", "ts", "seq"]
+    # copies of one change by landing, so that the earliest comes last
+    order = ["key", "ts", "seq", "kind", *[f"vl_{i}" for i in range(n_columns)]]
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in lifted.schema.fields])
     partial = lifted.sortWithinPartitions(*order).mapInArrow(_fold_sorted(n_columns), schema)
     return partial.repartition("key").sortWithinPartitions(*order).mapInArrow(_fold_sorted(n_columns), schema)

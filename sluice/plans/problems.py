@@ -23,6 +23,14 @@ def p1_found(spark: SparkSession, root: str) -> DataFrame:
     return p1_state(spark, root).select("subscriber_id", "source_sequence_number")
 
 
+def p1_batches(spark: SparkSession, root: str) -> DataFrame:
+    """The same state when the feed comes in two batches, the second applied to what the first has left."""
+    feed = table(spark, root, "health_sherpa_member")
+    later = F.pmod(F.col("rec_id"), F.lit(2)) == 0
+    state = changefeed.apply_changes(feed.filter(~later), MEMBER_FEED)
+    return changefeed.live(changefeed.apply_changes(feed.filter(later), MEMBER_FEED, state), MEMBER_FEED)
+
+
 def _classified_lines(spark: SparkSession, root: str) -> DataFrame:
     lines = table(spark, root, "raw_member_line")
     parsed = parsefail.parse_lines(lines, "raw_line", "field_delimiter", parsefail.MEMBER_READ_AS)
@@ -108,7 +116,7 @@ def header_resolve(spark: SparkSession, root: str) -> DataFrame:
     return each.select("header_id", F.col("c.col").alias("column_name"), F.col("c.name").alias("normalized"), F.col("c.type").alias("type"))
 
 
-QUERIES = {f.__name__: f for f in (header_resolve, p1_found, p1_state, p2_found, p2_valid, p2_by_file, p5_found, p5_units, p6_found, p6_table, p6_cells, p6_schema)}
+QUERIES = {f.__name__: f for f in (header_resolve, p1_found, p1_state, p1_batches, p2_found, p2_valid, p2_by_file, p5_found, p5_units, p6_found, p6_table, p6_cells, p6_schema)}
 
 _KEY = CANONICAL_ID_SQL.format(c="subscriber_id")
 _KIND = CHANGE_KIND_SQL.format(c="last_modified_op")
@@ -173,3 +181,4 @@ SQL = {
     "p6_cells": f"""WITH {_HEADERS}, placed AS (SELECT header_id, named.entity, coalesce(column_name, named.n) AS col, min(pos) AS pos, arg_min(t, pos) AS t FROM named LEFT JOIN known ON known.entity = named.entity AND known.n = named.n WHERE named.n <> '' GROUP BY 1, 2, 3)
  SELECT file_row_id, header_id, entity, row_idx, col AS column_name, coalesce(t, 'string') AS tag, trim(cell_values[pos + 1]) AS value FROM member_file_row JOIN placed USING (header_id) WHERE trim(cell_values[pos + 1]) <> ''""",
 }
+SQL["p1_batches"] = SQL["p1_state"]
