@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -173,6 +175,26 @@ def resolve_header(contract: Contract, headers: list[str], today: str | None = N
     return Resolution(tuple(mapping), tuple(out))
 
 
+def header_violations(headers: DataFrame, contracts: dict[str, Contract], identity: str, entity: str, header: str) -> DataFrame:
+    """(identity, kind, code, message): every violation of every comma-joined header against its entity's contract.
+
+    Checked where the headers lie; the contracts are configuration and go to every task.
+    Null headers and entities without contract give no row.
+    """
+    kind = headers.schema[identity].dataType.simpleString()
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for i, e, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if text is not None and e in contracts:
+                    rows += [(i, v.kind, v.code, v.message) for v in resolve_header(contracts[e], text.split(",")).violations]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, b.schema.field(0).type if k == 0 else pa.string()) for k, x in enumerate(zip(*rows, strict=True))], [identity, "kind", "code", "message"])
+
+    return headers.select(identity, entity, header).mapInArrow(check, f"`{identity}` {kind}, kind string, code string, message string")
+
+
 def enforce(violations: list[Violation] | tuple[Violation, ...]) -> list[Violation]:
     """Raises one error with all violations whose policy is FAIL; returns the others that aren't ignored."""
     bad = [v for v in violations if v.policy == "FAIL"]

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from sluice.plans import ingestion, problems
+from sluice.plans import ingestion, landing, problems
 
 FLAGSHIP = "merge_freshness_rows"
-QUERIES = ingestion.QUERIES | problems.QUERIES
-SQL = ingestion.SQL | problems.SQL
+QUERIES = ingestion.QUERIES | landing.QUERIES | problems.QUERIES
+SQL = ingestion.SQL | landing.SQL | problems.SQL

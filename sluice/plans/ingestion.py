@@ -57,10 +57,14 @@ def dedup_typed_order(spark, root):
     return keys.latest_per_key(d, ["o_custkey"], "seq as bigint,o_orderkey")
 
 
-@query("SELECT count(*) AS n_keys, count(DISTINCT o_custkey) AS n_distinct FROM (SELECT DISTINCT o_custkey FROM orders)")
+@query("SELECT DISTINCT o_custkey, true AS was_there FROM orders")
 def dedup_unordered_keys(spark, root):
-    d = keys.latest_per_key(table(spark, root, "orders"), ["o_custkey"], "")
-    return d.agg(F.count(F.lit(1)).alias("n_keys"), F.countDistinct("o_custkey").alias("n_distinct"))
+    """One row per key, no order given: which one is open, but it is one of the table's."""
+    orders = table(spark, root, "orders")
+    kept = keys.latest_per_key(orders, ["o_custkey"], "").select("o_custkey", "o_orderkey")
+    own = orders.select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"))
+    met = kept.join(own, (F.col("o_orderkey") == F.col("k")) & F.col("o_custkey").eqNullSafe(F.col("c")), "left")
+    return met.select("o_custkey", F.col("k").isNotNull().alias("was_there"))
 
 
 @query(f"WITH {KEYED} SELECT * FROM keyed WHERE NOT (cust IS NULL OR trim(cust) = '')")
@@ -101,7 +105,7 @@ def freshness_parse_honesty(spark, root):
 _SIDES = "FROM tgt t FULL JOIN inc i ON t.o_custkey IS NOT DISTINCT FROM i.o_custkey"
 _FRESH = "(i.o_orderdate > t.o_orderdate OR (i.o_orderdate = t.o_orderdate AND i.o_orderkey > t.o_orderkey))"
 _OUTCOME = f"CASE WHEN i.o_custkey IS NULL THEN 'unchanged' WHEN t.o_custkey IS NULL THEN 'inserted' WHEN {_FRESH} THEN 'updated' ELSE 'ignored' END"
-_MERGED = f"""{DECK}, merged AS (SELECT CASE WHEN t.o_custkey IS NULL OR coalesce({_FRESH}, false) THEN i.o_custkey ELSE t.o_custkey END AS o_custkey,
+MERGED_SQL = f"""{DECK}, merged AS (SELECT CASE WHEN t.o_custkey IS NULL OR coalesce({_FRESH}, false) THEN i.o_custkey ELSE t.o_custkey END AS o_custkey,
  CASE WHEN t.o_custkey IS NULL OR coalesce({_FRESH}, false) THEN i.o_orderkey ELSE t.o_orderkey END AS o_orderkey,
  CASE WHEN t.o_custkey IS NULL OR coalesce({_FRESH}, false) THEN i.o_orderdate ELSE t.o_orderdate END AS o_orderdate,
  CASE WHEN t.o_custkey IS NULL OR coalesce({_FRESH}, false) THEN i.o_orderpriority ELSE t.o_orderpriority END AS o_orderpriority, {_OUTCOME} AS outcome {_SIDES})"""
@@ -112,18 +116,18 @@ def _merged(spark, root, small=None):
     return m.select("o_custkey", "o_orderkey", "o_orderdate", "o_orderpriority", F.col(merge.OUTCOME).alias("outcome"))
 
 
-@query(f"WITH {_MERGED} SELECT * FROM merged")
+@query(f"WITH {MERGED_SQL} SELECT * FROM merged")
 def merge_freshness_rows(spark, root):
     return _merged(spark, root)
 
 
-@query(f"WITH {_MERGED} SELECT * FROM merged")
+@query(f"WITH {MERGED_SQL} SELECT * FROM merged")
 def merge_freshness_rows_shuffled(spark, root):
     """The same merge by the plan for batches too large to broadcast."""
     return _merged(spark, root, small=False)
 
 
-@query(f"WITH {_MERGED} SELECT count(*) FILTER (outcome = 'inserted') AS inserted, count(*) FILTER (outcome = 'updated') AS updated, cast(0 AS bigint) AS deleted, count(*) FILTER (outcome = 'ignored') AS ignored FROM merged")
+@query(f"WITH {MERGED_SQL} SELECT count(*) FILTER (outcome = 'inserted') AS inserted, count(*) FILTER (outcome = 'updated') AS updated, cast(0 AS bigint) AS deleted, count(*) FILTER (outcome = 'ignored') AS ignored FROM merged")
 def merge_freshness_counts(spark, root):
     return merge.outcome_counts(merge.merge(decks.incoming_orders(spark, root), decks.target_orders(spark, root), decks.MERGE))
 
@@ -190,7 +194,7 @@ def merge_delete_counts(spark, root):
     return merge.outcome_counts(_audited(spark, root, replace(decks.MERGE, deletes="SOFT", indicator="o_orderstatus", indicator_values=("p",))))
 
 
-@query(f"""WITH {_MERGED}, k AS (SELECT CASE WHEN o_orderkey % 17 <> 0 THEN o_custkey END AS o_custkey, o_orderkey FROM arriving)
+@query(f"""WITH {MERGED_SQL}, k AS (SELECT CASE WHEN o_orderkey % 17 <> 0 THEN o_custkey END AS o_custkey, o_orderkey FROM arriving)
  SELECT count(*) FILTER (o_custkey IS NOT NULL) AS keyed, count(*) FILTER (o_custkey IS NULL) AS keyless, cast(sum(o_orderkey) FILTER (o_custkey IS NULL) AS bigint) AS keyless_sum FROM (SELECT o_custkey, o_orderkey FROM merged UNION ALL SELECT o_custkey, o_orderkey FROM k WHERE o_custkey IS NULL)""")
 def merge_passthrough_keyless(spark, root):
     batch = decks.arriving_orders(spark, root).withColumn("o_custkey", F.when(F.col("o_orderkey") % 17 != 0, F.col("o_custkey")))
@@ -245,20 +249,32 @@ def partition_null_default(spark, root):
     return merge.null_partitions(d, ["o_orderpriority"], "DEFAULT", {"o_orderpriority": "NONE"})
 
 
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderpriority END AS o_orderpriority, true AS refused FROM orders")
+def partition_null_policies(spark, root):
+    """HIVE leaves null partition values as they are, REJECT refuses a batch that has some."""
+    d = table(spark, root, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderpriority")).alias("o_orderpriority"))
+    try:
+        merge.null_partitions(d, ["o_orderpriority"], "REJECT")
+        refused = False
+    except merge.MergeError:
+        refused = True
+    return merge.null_partitions(d, ["o_orderpriority"], "HIVE").withColumn("refused", F.lit(refused))
+
+
 @query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS order_month, 'orders' AS feed FROM orders")
 def partition_derive(spark, root):
     return stamps.derive_partitions(table(spark, root, "orders"), {"order_month": "date_format(o_orderdate, 'yyyy-MM')", "feed": {"literal": "orders"}}).select("o_orderkey", "order_month", "feed")
 
 
-@query(f"WITH {_MERGED} SELECT o_custkey, o_orderkey, CASE WHEN outcome = 'unchanged' THEN 'unchanged' ELSE 'ignored' END AS outcome FROM merged")
-def stream_merge_replay(spark, root):
+@query(f"WITH {MERGED_SQL} SELECT o_custkey, o_orderkey, CASE WHEN outcome = 'unchanged' THEN 'unchanged' ELSE 'ignored' END AS outcome FROM merged")
+def merge_replayed_batch(spark, root):
     """A batch that is delivered again changes nothing: its rows tie with what they wrote."""
     batch = decks.incoming_orders(spark, root)
     once = merge.merge(batch, decks.target_orders(spark, root), decks.MERGE).drop(merge.OUTCOME)
     return merge.merge(batch, once, decks.MERGE).select("o_custkey", "o_orderkey", F.col(merge.OUTCOME).alias("outcome"))
 
 
-@query(f"WITH {_MERGED} SELECT o_custkey, cast(o_orderkey AS varchar) AS o_orderkey, outcome FROM merged")
+@query(f"WITH {MERGED_SQL} SELECT o_custkey, cast(o_orderkey AS varchar) AS o_orderkey, outcome FROM merged")
 def merge_logical_version(spark, root):
     """Versions kept as text, compared as what they stand for."""
     spec = merge.MergeSpec(keys=("o_custkey",), freshness="version", compare_as="timestamp_ntz", tie_breakers=("o_orderkey as bigint",))
@@ -359,10 +375,18 @@ def reject_summary_by_code(spark, root):
     return rejects.summary(rejects.split(_reject_input(spark, root), _RULES)[1])
 
 
-@query("""SELECT s_suppkey, '{"s_suppkey":' || s_suppkey || ',"s_name":"***"}' AS masked, '{"s_suppkey":' || s_suppkey || ',"s_name":"' || sha256(s_name) || '"}' AS hashed, '{"s_suppkey":' || s_suppkey || '}' AS keys_only FROM supplier""")
+@query("""SELECT s_suppkey, '{"s_suppkey":' || s_suppkey || ',"s_name":"' || sha256(s_name) || '"}' AS masked, '{"s_suppkey":"' || sha256(cast(s_suppkey AS varchar)) || '","s_name":"' || sha256(s_name) || '"}' AS hashed,
+ '{"s_suppkey":' || s_suppkey || '}' AS keys_only, '{"s_name":"' || sha256(s_name) || '"}' AS secret_key, '{"s_suppkey":' || s_suppkey || ',"s_name":"' || s_name || '"}' AS whole FROM supplier""")
 def reject_payload_modes(spark, root):
     cols, hide = ["s_suppkey", "s_name"], ["s_name"]
-    return table(spark, root, "supplier").select("s_suppkey", rejects.payload(cols, "MASKED", sensitive=hide).alias("masked"), rejects.payload(cols, "HASHED", sensitive=hide).alias("hashed"), rejects.payload(cols, "KEYS_ONLY", keys=["s_suppkey"]).alias("keys_only"))
+    shown = {
+        "masked": rejects.payload(cols, "MASKED", sensitive=hide),
+        "hashed": rejects.payload(cols, "HASHED"),
+        "keys_only": rejects.payload(cols, "KEYS_ONLY", keys=["s_suppkey"], sensitive=hide),
+        "secret_key": rejects.payload(cols, "KEYS_ONLY", keys=["s_name"], sensitive=hide),
+        "whole": rejects.payload(cols, "FULL"),
+    }
+    return table(spark, root, "supplier").select("s_suppkey", *[c.alias(n) for n, c in shown.items()])
 
 
 @query(f"WITH {_REJECT_DECK}, old AS (SELECT o_orderkey, error_code, CASE WHEN o_orderkey % 2 = 0 THEN 'r1' ELSE 'r2' END AS run_id FROM c WHERE error_code IS NOT NULL) SELECT * FROM old WHERE run_id <> 'r1' UNION ALL SELECT o_orderkey, 'R_NEW', 'r1' FROM old WHERE run_id = 'r1'")
@@ -472,9 +496,11 @@ def configured_casts(spark, root):
     return stamps.cast_columns(table(spark, root, "part").select("p_partkey", "p_size", "p_brand"), {"P_SIZE": "string", "p_brand": "int", "absent": "int"})
 
 
-@query(r"SELECT header_id, trim(regexp_replace(lower(actual_source_headers), '[^a-z0-9]+', '_', 'g'), '_') AS normalized FROM ingest_header_audit")
+@query(r"SELECT header_id, pos, trim(regexp_replace(lower(h), '[^a-z0-9]+', '_', 'g'), '_') AS normalized FROM (SELECT header_id, unnest(string_split(actual_source_headers, ',')) AS h, unnest(range(len(string_split(actual_source_headers, ',')))) AS pos FROM ingest_header_audit)")
 def header_normalize(spark, root):
-    return table(spark, root, "ingest_header_audit").select("header_id", normalized_header(F.col("actual_source_headers")).alias("normalized"))
+    """Each header of each recorded file."""
+    each = table(spark, root, "ingest_header_audit").select("header_id", F.posexplode(F.split("actual_source_headers", ",")).alias("pos", "h"))
+    return each.select("header_id", F.col("pos").cast("bigint").alias("pos"), normalized_header(F.col("h")).alias("normalized"))
 
 
 @query("SELECT s_suppkey AS id, s_name AS name, cast(NULL AS varchar) AS brand FROM supplier UNION ALL SELECT p_partkey, p_name, p_brand FROM part")
@@ -621,17 +647,6 @@ def ledger_window_continuity(spark, root):
     return ledger.window_continuity(table(spark, root, "ingest_run_audit"))
 
 
-@query(f"WITH {_MERGED}, n AS (SELECT count(*) AS accepted FROM arriving) SELECT n.accepted, count(*) FILTER (outcome = 'inserted') AS inserted, count(*) FILTER (outcome = 'updated') AS updated, count(*) FILTER (outcome = 'ignored') AS ignored, n.accepted - count(*) FILTER (outcome <> 'unchanged') AS deduped, true AS accounted FROM merged, n GROUP BY n.accepted")
-def reconcile_identity(spark, root):
-    orders = decks.arriving_orders(spark, root)
-    m = merge.merge(decks.incoming_orders(spark, root), decks.target_orders(spark, root), decks.MERGE)
-    keys_ = orders.agg(F.count(F.lit(1)).alias("accepted"), F.countDistinct("o_custkey").alias("n_keys"))
-    both = merge.outcome_counts(m).join(keys_)
-    deduped = F.col("accepted") - F.col("n_keys")
-    total = F.col("inserted") + F.col("updated") + F.col("deleted") + F.col("ignored") + deduped
-    return both.select("accepted", "inserted", "updated", "ignored", deduped.alias("deduped"), (total == F.col("accepted")).alias("accounted"))
-
-
 @query("SELECT event_id, ts FROM events WHERE ts IS NULL OR ts >= TIMESTAMP '2024-01-15'")
 def retention_survivors(spark, root):
     return retention.survivors_since(table(spark, root, "events"), "ts", F.lit("2024-01-15").cast("timestamp_ntz")).select("event_id", "ts")
