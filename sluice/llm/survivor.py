@@ -107,7 +107,7 @@ def _long(df: DataFrame, key: Column, time: str, identity: str, fields: list[str
 
 def value_shape(c: Column) -> Column:
     """The class of a value: digits as 9, letters as a; lets precedence learnt on one value hold for others like it."""
-    return F.substring(F.regexp_replace(F.regexp_replace(c, r"\p{L}+", "a"), r"\d+", "9"), 1, 64)
+    return F.regexp_replace(F.regexp_replace(c, r"\p{L}+", "a"), r"\d+", "9")
 
 
 def learn_precedence(values: DataFrame) -> DataFrame:
