@@ -16,16 +16,17 @@ import urllib.request
 import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from operator import and_
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice import __version__, config
 from sluice.operators import keys, ledger, merge, rejects, stamps
-from sluice.operators.contract import Contract, curated_gate, enforce, null_violations, type_changes
+from sluice.operators.contract import Contract, curated_gate, enforce, explain, null_violations, resolve_header, type_changes
 from sluice.operators.ledger import Counts
 from sluice.operators.merge import MergeSpec
 from sluice.operators.publish import SHRINK_PERCENT, Guards, append_control, append_raw, drop_partitions, droppable, publish
@@ -65,7 +66,7 @@ class Feed:
     keep_keyless: bool = False
     record_hash: bool = False
     on_mismatch: str = "FAIL"
-    file_type: str = "csv"
+    file_type: str | None = None
     commit: Callable[[str], object] | None = None
     discard: Callable[[str], object] | None = None
     window: Callable[[str], tuple[str, str] | None] = lambda run_id: None
@@ -90,6 +91,13 @@ class Run:
     dry_run: bool = False
     resume: bool = False
     force: bool = False
+    raw_flag: str | None = None
+    file_id: str | None = None
+
+    @property
+    def flag(self) -> str:
+        """What landed rows are marked with: as told, else by the feed, else F or I by the mode."""
+        return self.raw_flag or self.feed.file_type or ("F" if self.mode == "FULL" else "I")
 
     def event(self, stage: str, status: str, message: str = "", c: Counts = Counts(), control_total: str | None = None) -> None:
         w = self.feed.window(self.run_id) or ("", "")
@@ -128,8 +136,9 @@ class Run:
         if w and runs is not None:
             own = runs.filter((F.col("run_id") == self.run_id) & (F.col("entity") == self.feed.entity) & ledger.succeeded(ledger.RAW))
             if not own.filter(F.col("message").startswith(SKIP_WINDOW)).isEmpty():
-                return raw.window_slice(raw_table, w)
-        return raw.slice_of(raw_table, run_id=self.run_id)
+                own_rows = raw.window_slice(raw_table, w)
+                return own_rows if self.file_id is None else own_rows.filter(F.col("file_id") == self.file_id)
+        return raw.slice_of(raw_table, run_id=self.run_id, file_id=self.file_id)
 
 
 def land(run: Run) -> Counts:
@@ -145,7 +154,7 @@ def land(run: Run) -> Counts:
             if bad:
                 raise PipelineError("; ".join(bad))
         w = f.window(run.run_id) or ("", "")
-        df = stamps.stamp_raw(df, f.file_type, stamps.Lineage(run.run_id, extract_start_ts=w[0], extract_end_ts=w[1]), source_file=F.lit(f.entity))
+        df = stamps.stamp_raw(df, run.flag, stamps.Lineage(run.run_id, extract_start_ts=w[0], extract_end_ts=w[1]), source_file=F.lit(f.entity))
         df = stamps.stamp_hash(df) if f.record_hash else df
         classified = cut(rejects.classify(df, f.reject_rules))
         n = classified.agg(F.count(F.lit(1)).alias("n"), F.count("error_code").alias("bad")).first()
@@ -279,10 +288,10 @@ def _previous_window(run: Run) -> tuple[str, str] | None:
     return (last.window_start, last.window_end) if last else None
 
 
-def run_feed(spark: SparkSession, feed: Feed, run_id: str | None = None, mode: str = "INCR", dry_run: bool = False, resume: bool = False, force: bool = False) -> tuple[str, list[ledger.Check]]:
+def run_feed(spark: SparkSession, feed: Feed, run_id: str | None = None, mode: str = "INCR", dry_run: bool = False, resume: bool = False, force: bool = False, raw_flag: str | None = None) -> tuple[str, list[ledger.Check]]:
     """Land, curate, reconcile, then commit the position; nothing is committed if a step fails or rejects hold it."""
     config.check(feed.conf)
-    run = Run(spark, feed, run_id or new_run_id(feed.entity), mode, dry_run, resume, force)
+    run = Run(spark, feed, run_id or new_run_id(feed.entity), mode, dry_run, resume, force, raw_flag)
     try:
         got = land(run)
         if dry_run:
@@ -316,22 +325,48 @@ def _finished(run: Run, status: str, message: str = "", counts: Counts = Counts(
             print(f"on_finish of {run.run_id}: {ledger.sanitize(str(e))}", file=sys.stderr)
 
 
-def replay(spark: SparkSession, feed: Feed, run_id: str, mode: str = "INCR") -> list[ledger.Check]:
-    """Curates a landed run again; needs its raw SUCCESS and never touches the position."""
-    run = Run(spark, feed, run_id, mode)
+def replay(spark: SparkSession, feed: Feed, run_id: str, mode: str = "INCR", file_id: str | None = None) -> list[ledger.Check]:
+    """Curates a landed run again, or one file of it; needs its raw SUCCESS and never touches the position."""
+    run = Run(spark, feed, run_id, mode, file_id=file_id)
     runs = run.runs()
     batch = None if runs is None else ledger.batches(runs, feed.entity).filter(F.col("run_id") == run_id).first()
     if batch is None:
         raise PipelineError(f"PIPE_005 run {run_id} has no raw SUCCESS")
     counts = curate(run, run.landed())
     expected = runs.filter((F.col("run_id") == run_id) & ledger.succeeded(ledger.RAW)).agg(F.max("raw_count").alias("n")).first().n
-    checks = ledger.reconcile(Counts(**(counts.__dict__ | {"accepted": -1, "replayed": -1 if expected is None else expected})))
+    checks = ledger.reconcile(Counts(**(counts.__dict__ | {"accepted": -1, "replayed": -1 if expected is None or file_id else expected})))
     ledger.enforce(checks, feed.on_mismatch)
     return checks
 
 
-def drive_batches(spark: SparkSession, feed: Feed, select: str = "pending", n: int = 0, first_day: str = "", last_day: str = "", on_failure: str = "STOP") -> list[tuple[str, str]]:
-    """Curates landed batches in commit order: pending, failed, last (``n``) or between (days); (run id, outcome) of each."""
+def replay_day(spark: SparkSession, feed: Feed, ingest_dt: str, mode: str = "INCR", raw_flag: str | None = None) -> Counts:
+    """Curates what has landed on a day under a flag, under a run of its own; never touches the position."""
+    run = Run(spark, feed, new_run_id(feed.entity), mode, raw_flag=raw_flag)
+    return curate(run, raw.slice_of(spark.table(feed.raw_table), ingest_dt=ingest_dt, file_type=run.flag))
+
+
+def explain_mapping(feed: Feed) -> list[tuple[str, str, str]]:
+    """(header, column, how it was found) for what the feed delivers now; nothing is landed."""
+    if feed.contract is None:
+        raise PipelineError("HDR_017 a feed without contract has no mapping")
+    delivered = [c for c in feed.read(new_run_id(feed.entity)).columns if c != "source_file"]
+    return explain(feed.contract, resolve_header(feed.contract, delivered))
+
+
+def configured(feed: Feed, conf_path: str | None = None, override_path: str | None = None) -> Feed:
+    """The feed with the configuration of a JSON file, and the values of another one over it."""
+    conf = json.loads(Path(conf_path).read_text()) if conf_path else feed.conf
+    if override_path:
+        conf, changed, digest = config.override(conf, json.loads(Path(override_path).read_text()))
+        print(f"override {digest[:12]}: {', '.join(changed) or 'adds only'}", file=sys.stderr)
+    return replace(feed, conf=conf)
+
+
+def drive_batches(spark: SparkSession, feed: Feed, select: str = "pending", n: int = 0, first_day: str = "", last_day: str = "", on_failure: str = "STOP", source_system: str | None = None) -> list[tuple[str, str]]:
+    """Curates landed batches in commit order: pending, failed, last (``n``) or between (days); (run id, outcome) of each.
+
+    ``source_system`` keeps those that landed rows of it.
+    """
     if not spark.catalog.tableExists(feed.ledger_table):
         raise PipelineError("PIPE_006 batches need the ledger")
     runs = spark.table(feed.ledger_table)
@@ -343,8 +378,14 @@ def drive_batches(spark: SparkSession, feed: Feed, select: str = "pending", n: i
     }
     if select not in chosen:
         raise PipelineError(f"PIPE_007 selection {select!r} must be one of {', '.join(chosen)}")
+    batches = chosen[select]()
+    if source_system is not None:
+        if not spark.catalog.tableExists(feed.raw_table):
+            raise PipelineError("PIPE_007 batches are chosen by source system from the landed table, which is missing")
+        own = spark.table(feed.raw_table).filter(F.col("source_system") == source_system).select("run_id").distinct()
+        batches = batches.join(own, "run_id", "left_semi")
     out = []
-    for b in chosen[select]().orderBy("raw_success_ts", "run_id").toLocalIterator():
+    for b in batches.orderBy("raw_success_ts", "run_id").toLocalIterator():
         if not b.run_mode:
             raise PipelineError(f"PIPE_008 run {b.run_id} has no mode in the ledger")
         try:
@@ -384,12 +425,27 @@ def parse_arguments(argv: list[str]) -> argparse.Namespace:
     one.add_argument("--failed", action="store_true")
     one.add_argument("--last", type=int)
     one.add_argument("--between", nargs=2, metavar=("FIRST", "LAST"))
+    one.add_argument("--resume-ingest-dt", metavar="DAY", help="curates what has landed on a day")
     p.add_argument("--on-failure", choices=["STOP", "CONTINUE"], default="STOP")
+    p.add_argument("--replay-source-system", metavar="SYSTEM", help="of the selected batches, or the pending ones, those of a source system")
+    p.add_argument("--file-id", help="one file of a landed run")
+    p.add_argument("--raw-flag", help="mark of landed rows; F for full and I for incremental runs by default")
+    p.add_argument("--conf-path", help="JSON configuration in place of the feed's own")
+    p.add_argument("--override-path", help="JSON values over the configuration")
+    p.add_argument("--explain-mapping", action="store_true")
+    p.add_argument("--validate-only", action="store_true")
     a = p.parse_args(argv)
-    if a.stage != "curated" and (a.pending or a.failed or a.last or a.between):
-        p.error("batches are selected for --stage curated only")
-    if a.stage == "curated" and not (a.run_id or a.pending or a.failed or a.last or a.between):
-        p.error("--stage curated needs --run-id or a selection of batches")
+    if a.validate_only:
+        a.stage = "validate"
+    chosen = a.pending or a.failed or a.last or a.between or a.replay_source_system
+    if a.stage != "curated" and (chosen or a.resume_ingest_dt or a.file_id):
+        p.error("batches, days and files are selected for --stage curated only")
+    if a.stage == "curated" and not (a.run_id or chosen or a.resume_ingest_dt):
+        p.error("--stage curated needs --run-id, a day or a selection of batches")
+    if a.run_id and (chosen or a.resume_ingest_dt):
+        p.error("a run and a selection of batches or a day exclude each other")
+    if a.file_id and not a.run_id:
+        p.error("--file-id needs --run-id")
     return a
 
 
@@ -399,18 +455,24 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.getOrCreate()
     try:
         feed: Feed = getattr(__import__(module, fromlist=[name]), name)(spark)
+        feed = configured(feed, a.conf_path, a.override_path)
+        if a.explain_mapping:
+            print("\n".join("\t".join(row) for row in explain_mapping(feed)))
+            return 0
         config.check(feed.conf, a.stage)
         if a.stage == "validate":
             return 0
         if a.stage == "raw":
-            land(Run(spark, feed, a.run_id or new_run_id(feed.entity), a.mode, a.dry_run, a.resume, a.force_reprocess))
+            land(Run(spark, feed, a.run_id or new_run_id(feed.entity), a.mode, a.dry_run, a.resume, a.force_reprocess, a.raw_flag))
         elif a.stage == "all":
-            run_feed(spark, feed, a.run_id, a.mode, a.dry_run, a.resume, a.force_reprocess)
+            run_feed(spark, feed, a.run_id, a.mode, a.dry_run, a.resume, a.force_reprocess, a.raw_flag)
         elif a.run_id:
-            replay(spark, feed, a.run_id, a.mode)
+            replay(spark, feed, a.run_id, a.mode, a.file_id)
+        elif a.resume_ingest_dt:
+            replay_day(spark, feed, a.resume_ingest_dt, a.mode, a.raw_flag)
         else:
-            kind = "pending" if a.pending else "failed" if a.failed else "last" if a.last else "between"
-            got = drive_batches(spark, feed, kind, a.last or 0, *(a.between or ("", "")), on_failure=a.on_failure)
+            kind = "pending" if a.pending else "failed" if a.failed else "last" if a.last else "between" if a.between else "pending"
+            got = drive_batches(spark, feed, kind, a.last or 0, *(a.between or ("", "")), on_failure=a.on_failure, source_system=a.replay_source_system)
             return 0 if all(s == ledger.SUCCESS for _, s in got) else 20
         return 0
     except Exception as e:  # noqa: BLE001 - the exit code tells the class

@@ -354,6 +354,46 @@ def test_arguments():
     assert not pipeline.notify({}, webhook="http://127.0.0.1:9/none", timeout=0.2) and pipeline.notify({"a": 1}, command=["cat"])
 
 
+def test_command_line(spark, db, tmp_path, monkeypatch, capsys):
+    """Every stage and selection from the command line, one after the other."""
+    import sys
+    import types
+
+    f = feed(spark, db, [], reject_rules=[], contract=Contract((ContractColumn("claim_id"), ContractColumn("amount", aliases=("amt",)), ContractColumn("modified_ts"))))
+    coming = [claims(spark, *SECOND[:1]), claims(spark, *SECOND[1:])]
+    f.read = lambda run_id: coming.pop(0).withColumn("source_file", F.lit(f"file-{len(coming)}"))
+    monkeypatch.setitem(sys.modules, "feeds_of_test", types.SimpleNamespace(claims=lambda spark: f))
+    run = lambda *argv: pipeline.main(["--feed", "feeds_of_test:claims", *argv])
+    (tmp_path / "c.json").write_text('{"source": {"type": "jdbc"}, "curated": {"strategy": "TYPE1_MERGE"}}')
+    (tmp_path / "o.json").write_text('{"curated": {"merge": {"keys": ["claim_id"]}}}')
+    assert run("--validate-only") == 0 and run("--validate-only", "--conf-path", str(tmp_path / "c.json")) == 30
+    assert run("--validate-only", "--conf-path", str(tmp_path / "c.json"), "--override-path", str(tmp_path / "o.json")) == 0
+    assert run("--stage", "raw", "--run-id", "r1") == 0 and run("--stage", "raw", "--run-id", "r2", "--raw-flag", "X") == 0
+    landed = {r.run_id: (r.file_type, r.file_id) for r in spark.table(f.raw_table).select("run_id", "file_type", "file_id").distinct().collect()}
+    assert (landed["r1"][0], landed["r2"][0]) == ("I", "X") and not spark.catalog.tableExists(f.curated_table)
+    assert run("--stage", "curated", "--replay-source-system", "nobody") == 0 and not spark.catalog.tableExists(f.curated_table)
+    assert run("--stage", "curated", "--run-id", "r2", "--file-id", landed["r2"][1]) == 0 and content(spark, f.curated_table, "claim_id") == [("C2",), ("C4",)]
+    assert run("--stage", "curated", "--pending") == 0 and content(spark, f.curated_table, "claim_id") == [("C1",), ("C2",), ("C4",)]
+    assert run("--stage", "curated", "--run-id", "nope") == 1
+    spark.table(f.raw_table).withColumn("ingest_dt", F.lit("2026-01-05")).write.saveAsTable(f"{db}.days")
+    f.raw_table = f"{db}.days"
+    assert run("--stage", "curated", "--resume-ingest-dt", "2026-01-05", "--raw-flag", "X") == 0
+    capsys.readouterr()
+    f.read = lambda run_id: claims(spark, *SECOND).withColumnRenamed("amount", "AMT")
+    assert run("--explain-mapping") == 0 and capsys.readouterr().out.splitlines()[:2] == ["claim_id\tclaim_id\tEXACT", "AMT\tamount\tALIAS"]
+
+
+def test_batches_of_a_source_system(spark, db):
+    f = feed(spark, db, [claims(spark, *SECOND[:1]), claims(spark, *SECOND[1:])], reject_rules=[])
+    for run_id, system in (("r1", "east"), ("r2", "west")):
+        pipeline.land(pipeline.Run(spark, f, run_id))
+    marked = spark.table(f.raw_table).withColumn("source_system", F.when(F.col("run_id") == "r1", "east").otherwise("west"))
+    marked.write.saveAsTable(f"{db}.marked")
+    f.raw_table = f"{db}.marked"
+    assert pipeline.drive_batches(spark, f, "pending", source_system="west") == [("r2", "SUCCESS")]
+    assert pipeline.drive_batches(spark, f, "pending") == [("r1", "SUCCESS")]
+
+
 def test_database_lease(spark, tmp_path):
     now, url = [1000.0], f"jdbc:derby:{tmp_path / 'locks'};create=true"
     make = lambda r: locks.DatabaseLease(spark, url, "e", r, minutes=1, clock=lambda: now[0], driver="org.apache.derby.jdbc.EmbeddedDriver")
