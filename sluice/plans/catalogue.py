@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from sluice.plans import ingestion, landing, problems
+from sluice.plans import ingestion, landing, problems, services
 
 FLAGSHIP = "merge_freshness_rows"
-QUERIES = ingestion.QUERIES | landing.QUERIES | problems.QUERIES
-SQL = ingestion.SQL | landing.SQL | problems.SQL
+QUERIES = ingestion.QUERIES | landing.QUERIES | services.QUERIES | problems.QUERIES
+SQL = ingestion.SQL | landing.SQL | services.SQL | problems.SQL
