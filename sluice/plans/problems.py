@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.instants import INSTANT_TEXT_SQL, instant_text_micros
-from sluice.functions.text import CANONICAL_ID_SQL, CHANGE_KIND_SQL, canonical_id, is_blank
+from sluice.functions.text import CANONICAL_ID_SQL, CHANGE_KIND_SQL, canonical_id, is_blank, quoted
 from sluice.operators import changefeed, drift, manifest, parsefail
 from sluice.session import shared_folder, table
 
@@ -98,6 +98,13 @@ def p6_table(spark: SparkSession, root: str) -> DataFrame:
     return drift.consistent_table(table(spark, root, "member_file_row"), _header_columns(spark, root))
 
 
+def p6_table_filled(spark: SparkSession, root: str) -> DataFrame:
+    """Each column and branch of the consistent table with its number of values."""
+    t = p6_table(spark, root).drop("file_row_id", "header_id", "entity", "row_idx")
+    counts = t.agg(*[F.count(quoted(c)).alias(c) for c in t.columns])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), quoted(c).alias("n_values")) for c in t.columns])).alias("c")).select("c.*")
+
+
 def p6_schema(spark: SparkSession, root: str) -> DataFrame:
     """The fused schema, one row per alternative type of a column."""
     fused = drift.fused_schema(_header_columns(spark, root))
@@ -116,7 +123,7 @@ def header_resolve(spark: SparkSession, root: str) -> DataFrame:
     return each.select("header_id", F.col("c.col").alias("column_name"), F.col("c.name").alias("normalized"), F.col("c.type").alias("type"))
 
 
-QUERIES = {f.__name__: f for f in (header_resolve, p1_found, p1_state, p1_batches, p2_found, p2_valid, p2_by_file, p5_found, p5_units, p6_found, p6_table, p6_cells, p6_schema)}
+QUERIES = {f.__name__: f for f in (header_resolve, p1_found, p1_state, p1_batches, p2_found, p2_valid, p2_by_file, p5_found, p5_units, p6_found, p6_table, p6_table_filled, p6_cells, p6_schema)}
 
 _KEY = CANONICAL_ID_SQL.format(c="subscriber_id")
 _KIND = CHANGE_KIND_SQL.format(c="last_modified_op")
@@ -182,3 +189,13 @@ SQL = {
  SELECT file_row_id, header_id, entity, row_idx, col AS column_name, coalesce(t, 'string') AS tag, trim(cell_values[pos + 1]) AS value FROM member_file_row JOIN placed USING (header_id) WHERE trim(cell_values[pos + 1]) <> ''""",
 }
 SQL["p1_batches"] = SQL["p1_state"]
+_PLACED = "placed AS (SELECT header_id, coalesce(column_name, named.n) AS col, min(pos) AS pos, coalesce(arg_min(t, pos), 'string') AS t FROM named LEFT JOIN known ON known.entity = named.entity AND known.n = named.n WHERE named.n <> '' GROUP BY 1, 2)"
+_CONVERTS = r"""CASE WHEN {k} = 'string' THEN true WHEN {k} IN ('tinyint', 'smallint', 'int', 'bigint') THEN regexp_full_match(v, '[+-]?[0-9]+') AND try_cast(v AS bigint) IS NOT NULL WHEN {k} IN ('float', 'double') THEN try_cast(v AS double) IS NOT NULL
+ WHEN starts_with({k}, 'decimal') THEN try_cast(v AS decimal(38, 10)) IS NOT NULL WHEN {k} = 'date' THEN try_cast(v AS date) IS NOT NULL WHEN {k} IN ('timestamp', 'timestamp_ntz') THEN try_cast(v AS timestamp) IS NOT NULL END"""
+SQL["p6_table_filled"] = f"""WITH {_HEADERS}, {_PLACED}, alternatives AS (SELECT DISTINCT col, t FROM placed),
+ canon AS (SELECT col, count(*) AS k, CASE WHEN count(*) = 1 THEN min(t) WHEN bool_and(t IN ('tinyint','smallint','int')) THEN 'int' WHEN bool_and(t IN ('tinyint','smallint','int','bigint')) THEN 'bigint'
+   WHEN bool_and(t IN ('tinyint','smallint','int','bigint') OR starts_with(t, 'decimal')) THEN 'decimal(38,10)' WHEN bool_and(t IN ('tinyint','smallint','int','bigint','float','double') OR starts_with(t, 'decimal')) THEN 'double'
+   WHEN bool_and(t IN ('date','timestamp','timestamp_ntz')) THEN 'timestamp' ELSE 'string' END AS canonical FROM alternatives GROUP BY 1),
+ cells AS (SELECT col, t, trim(cell_values[pos + 1]) AS v FROM member_file_row JOIN placed USING (header_id) WHERE trim(cell_values[pos + 1]) <> '')
+ SELECT canon.col AS column_name, count(v) FILTER ({_CONVERTS.format(k="canonical")}) AS n_values FROM canon LEFT JOIN cells USING (col) GROUP BY 1
+ UNION ALL SELECT a.col || '__' || replace(replace(replace(a.t, '(', '_'), ',', '_'), ')', ''), count(v) FILTER ({_CONVERTS.format(k="a.t")}) FROM alternatives a JOIN canon ON canon.col = a.col AND canon.k > 1 LEFT JOIN cells ON cells.col = a.col AND cells.t = a.t GROUP BY 1, a.col, a.t"""
