@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import SparkSession
 
 from sluice import config
@@ -49,6 +51,70 @@ def table_columns(spark: SparkSession, source: JdbcSource, table: str, schema: s
         connection.close()
 
 
+def primary_key(spark: SparkSession, source: JdbcSource, table: str, schema: str | None = None) -> list[str]:
+    """The columns of a table's primary key, in its order."""
+    connection = spark._jvm.java.sql.DriverManager.getConnection(source.url)
+    try:
+        found, out = connection.getMetaData().getPrimaryKeys(None, schema, table), []
+        while found.next():
+            out.append((found.getShort("KEY_SEQ"), found.getString("COLUMN_NAME")))
+        return [name for _, name in sorted(out)]
+    finally:
+        connection.close()
+
+
+@dataclass(frozen=True)
+class Draft:
+    """A feed's configuration and contract as far as the database tells, what was decided how, and what is left to be said."""
+
+    conf: dict
+    contract: Contract
+    decided: tuple[str, ...]
+    open: tuple[str, ...]
+
+
+#: Words in the names of columns that hold the time of the last change, likeliest first.
+_CHANGE_WORDS = ("modified", "updated", "changed", "last_upd", "upd_ts")
+
+
+def draft(columns: list[tuple[str, str, bool]], keys: list[str], entity: str, table: str, answers: dict[str, object] | None = None) -> Draft:
+    """A feed for a table. ``answers`` settle what the columns leave open: ``watermark`` (a column, or None for full loads), ``keys``, ``partitions``.
+
+    A watermark is proposed if one column that can't be null, or only one at all, is named
+    like a time of change, else a whole-number key of one column; keys come from the primary key.
+    """
+    answers, decided, left = answers or {}, [], []
+    kinds = {n: t for n, t, _ in columns}
+    keys = list(answers.get("keys", keys))
+    unknown = [c for c in [*keys, *([answers["watermark"]] if answers.get("watermark") else [])] if c not in kinds]
+    if unknown:
+        raise ValueError(f"columns {', '.join(unknown)} aren't in {table}")
+    decided.append(f"keys {', '.join(keys)}") if keys else left.append("keys: the table has no primary key; without keys no current state can be derived")
+    stamps = [(n, nullable) for w in _CHANGE_WORDS for n, t, nullable in columns if t == "timestamp" and w in n.lower()]
+    sure = list(dict.fromkeys(n for n, nullable in stamps if not nullable)) or list(dict.fromkeys(n for n, _ in stamps))
+    mark = answers["watermark"] if "watermark" in answers else sure[0] if len(sure) == 1 else None
+    if "watermark" not in answers:
+        if len(sure) > 1:
+            left.append(f"watermark: {', '.join(sure)} all may be the time of the last change")
+        elif mark is None and len(keys) == 1 and kinds[keys[0]] in ("int", "bigint"):
+            mark = keys[0]
+            decided.append(f"watermark {mark}: a growing key sees inserts only")
+        elif mark is None:
+            left.append("watermark: no column tells the last change; every run loads all")
+        else:
+            decided.append(f"watermark {mark}: the only time of change")
+    source: dict = {"type": "jdbc", "table": table, "mode": "INCREMENTAL" if mark else "FULL_TABLE"}
+    if mark:
+        source["incremental"] = {"watermark_column": mark, "watermark_type": "TIMESTAMP" if kinds[mark] == "timestamp" else "NUMERIC"}
+    if len(keys) == 1 and kinds[keys[0]] in ("int", "bigint") and int(answers.get("partitions", 1)) > 1:
+        source["partitioning"] = {"column": keys[0], "partitions": int(answers["partitions"]), "bounds": "MINMAX"}
+    conf: dict = {"entity": entity, "source": source, "raw": {"table": f"raw.{entity}", "idempotency_key": [*keys, *([mark] if mark and mark not in keys else [])], "delivery_mode": "DEDUPLICATED_APPEND" if keys and mark else "AT_LEAST_ONCE_APPEND"}}
+    if keys:
+        normal = [normalize_header(k) for k in keys]
+        conf["curated"] = {"table": f"curated.{entity}", "strategy": "TYPE1_MERGE", "merge": {"keys": normal, **({"freshness": {"column": normalize_header(mark)}} if mark else {})}}
+    return Draft(conf, contract_of(columns, tuple(keys)), tuple(decided), tuple(left))
+
+
 def contract_of(columns: list[tuple[str, str, bool]], keys: tuple[str, ...] = ()) -> Contract:
     """A contract with normalized names; the database's own names are aliases."""
     return Contract(tuple(ContractColumn(normalize_header(n), t, nullable, () if normalize_header(n) == n else (n,), i, business_key=n in keys) for i, (n, t, nullable) in enumerate(columns)))

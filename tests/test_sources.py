@@ -292,6 +292,30 @@ def test_registry_and_introspection(spark, derby, tmp_path):
     assert problems == ["raw.table is required"] and text
 
 
+def test_a_feed_is_drafted_from_a_database(spark, derby):
+    from sluice.sources import introspect
+
+    s = source(derby, table="KEYED")
+    c = spark._jvm.java.sql.DriverManager.getConnection(derby)
+    c.createStatement().execute("CREATE TABLE KEYED (B INT NOT NULL, A BIGINT NOT NULL, UPDATED_TS TIMESTAMP NOT NULL, LAST_MODIFIED TIMESTAMP, X VARCHAR(9), PRIMARY KEY (A, B))")
+    c.close()
+    columns, keys = introspect.table_columns(spark, s, "KEYED"), introspect.primary_key(spark, s, "KEYED")
+    assert keys == ["A", "B"] and introspect.primary_key(spark, s, "ORDERS") == []
+    d = introspect.draft(columns, keys, "keyed", "KEYED")
+    assert d.open == () and d.conf["source"]["incremental"] == {"watermark_column": "UPDATED_TS", "watermark_type": "TIMESTAMP"} and sorted(d.contract.business_keys) == ["a", "b"]
+    assert introspect.dry_run(d.conf)[0] == [] and d.conf["raw"]["idempotency_key"] == ["A", "B", "UPDATED_TS"] and d.conf["curated"]["merge"] == {"keys": ["a", "b"], "freshness": {"column": "updated_ts"}}
+    two = [*columns, ("CHANGED_TS", "timestamp", False)]
+    assert introspect.draft(two, keys, "keyed", "KEYED").open == ("watermark: UPDATED_TS, CHANGED_TS all may be the time of the last change",)
+    full = introspect.draft(two, ["A"], "keyed", "KEYED", {"watermark": None, "partitions": 8})
+    assert full.open == () and full.conf["source"]["mode"] == "FULL_TABLE" and full.conf["source"]["partitioning"]["column"] == "A"
+    none = introspect.draft([("X", "string", True)], [], "x", "X")
+    assert len(none.open) == 2 and "curated" not in none.conf and introspect.dry_run(none.conf)[0] == []
+    grows = introspect.draft([("ID", "bigint", False)], ["ID"], "x", "X")
+    assert grows.conf["source"]["incremental"]["watermark_type"] == "NUMERIC" and grows.open == ()
+    with pytest.raises(ValueError, match="NOPE"):
+        introspect.draft(columns, keys, "x", "X", {"watermark": "NOPE"})
+
+
 def test_columns_of_feeds_without_contract(spark):
     df = spark.createDataFrame([(1, 2, 3)], "`Sub No` int, `A.b` int, c int")
     assert files.legacy_columns(df, {"sub no": "id"}).columns == ["id", "A.b", "c"] and files.legacy_columns(df, normalize=True).columns == ["sub_no", "a_b", "c"]
