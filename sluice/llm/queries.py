@@ -63,6 +63,11 @@ def p8_clean(spark: SparkSession, root: str) -> DataFrame:
     return leakage.without_leaks(table(spark, root, "documents"), table(spark, root, "eval_item"))
 
 
+def p8_leaked_words(spark: SparkSession, root: str) -> DataFrame:
+    """How many words of each document are leaked."""
+    return p8_clean(spark, root).filter("n_leaked_words > 0").select("doc_id", "n_leaked_words")
+
+
 def p9_found(spark: SparkSession, root: str) -> DataFrame:
     documents = table(spark, root, "documents")
     return mojibake.garbled_records(documents, mojibake.train(documents)).select("doc_id")
@@ -74,7 +79,7 @@ def p9_restored(spark: SparkSession, root: str) -> DataFrame:
     return mojibake.repair_corpus(documents, mojibake.train(documents))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_survivor, p3_currency, p4_found, p7_ids, p8_found, p8_clean, p9_found, p9_restored)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_survivor, p3_currency, p4_found, p7_ids, p8_found, p8_clean, p8_leaked_words, p9_found, p9_restored)}
 
 _KEY = CANONICAL_ID_SQL.format(c="subscriber_id")
 _PLACEHOLDERS = ", ".join(f"'{v}'" for v in survivor.NO_VALUE)
@@ -88,10 +93,13 @@ _RANKED = f"""keyed AS (SELECT *, {_KEY} AS k FROM health_sherpa_member_curated
  cells AS ({_CELLS}), chosen AS (SELECT k, field_name, arg_min(curated_id, rank) AS curated_id, arg_min(value, rank) AS value FROM cells GROUP BY ALL)"""
 
 _WORDS = r"list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
+_PLACED = "SELECT doc_id, i, array_to_string(w[i:i + 11], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS i FROM (SELECT doc_id, {words} AS w FROM documents WHERE text IS NOT NULL))"
 _GRAMS = "SELECT {id}, array_to_string(w[i:i + 11], ' ') AS g FROM (SELECT {id}, w, unnest(range(1, len(w) - 10)) AS i FROM (SELECT {id}, {words} AS w FROM {t} WHERE text IS NOT NULL))"
 
 SQL = {
     "p3_found": f"WITH {_RANKED} SELECT k AS subscriber_id, field_name, curated_id FROM chosen",
     "p3_survivor": f"WITH {_RANKED} SELECT k AS subscriber_id, {', '.join(f"max(value) FILTER (field_name = '{f}') AS {f}" for f in SURVIVOR_FIELDS)} FROM chosen GROUP BY k",
+    "p8_leaked_words": f"""SELECT doc_id, count(DISTINCT word) AS n_leaked_words FROM (SELECT doc_id, unnest(range(i, i + 12)) AS word FROM ({_PLACED.format(words=_WORDS)})
+ WHERE g IN (SELECT g FROM ({_GRAMS.format(id='item_id', t='eval_item', words=_WORDS)}))) GROUP BY 1""",
     "p8_found": f"SELECT DISTINCT doc_id, item_id FROM ({_GRAMS.format(id='doc_id', t='documents', words=_WORDS)}) JOIN ({_GRAMS.format(id='item_id', t='eval_item', words=_WORDS)}) USING (g)",
 }
