@@ -10,8 +10,9 @@ so coverage loses nothing; what it lets through is confirmed on lines. In the en
 accepted files of the batch are appended. The content of earlier batches is never read.
 
 If at least ``t`` of ``n`` lines must be shared, any ``n - t + 2`` lines hold two shared ones;
-the lines with the rarest chunks are taken, so lines found everywhere are never expanded,
-and files that meet in one line only are no candidates.
+the lines with the rarest chunks are taken, so files that meet in one line only are no
+candidates, and lines found everywhere are not expanded (where two lines would need one of
+those, one line less is taken).
 """
 
 from __future__ import annotations
@@ -181,10 +182,11 @@ def most_frequent(frequent: DataFrame) -> DataFrame:
 def picked_chunks(records: DataFrame, frequent: DataFrame, threshold: float) -> DataFrame:
     """(cid, n, keys, lines, need): the chunks each record is looked up by, for how many lines each stands, and how many lines a near record shares of them.
 
-    Of each line its rarest chunk, of these the rarest ``n - t + need``, where ``need`` is two,
-    or one where ``t`` is. Chunks are ordered by their count in ``frequent`` (0 where missing),
-    then by their key, so two records picked with the same counts that share ``t`` lines
-    have keys for ``need`` lines of either in common.
+    Of each line its rarest chunk, of these the rarest ``n - t + need``, where ``need`` is two if
+    that reaches no frequent chunk, else one: a file of a header and a row is looked up by its
+    row. Chunks are ordered by their count in ``frequent`` (0 where missing), then by their key,
+    so two records picked with the same counts that share ``t`` lines have keys for as many
+    lines in common as both need.
     """
     got = most_frequent(frequent).toArrow()
     h = got.column("h").to_numpy()
@@ -209,9 +211,13 @@ def picked_chunks(records: DataFrame, frequent: DataFrame, threshold: float) ->
             order = first[np.lexsort((keys[first], df[first], row_of))]
             n = b.column(1).to_numpy()
             rank = np.arange(len(order)) - np.repeat(np.cumsum(n) - n, n)
-            shared = least_shared(n, threshold)
-            need = np.minimum(2, shared)
-            chosen = rank < (n - shared + need)[row_of]
+            least = least_shared(n, threshold)
+            base = (n - least + 1).astype(np.int64)
+            extra = rank == base[row_of]
+            rare = np.zeros(b.num_rows, dtype=bool)
+            rare[row_of[extra]] = df[order[extra]] == 0
+            need = np.where(rare & (least >= 2), 2, 1)
+            chosen = rank < (base + need - 1)[row_of]
             out = [np.unique(x, return_counts=True) for x in np.split(keys[order[chosen]], np.searchsorted(row_of[chosen], np.arange(1, b.num_rows)))]
             lists = [pa.array([x[0] for x in out], pa.list_(pa.int64())), pa.array([x[1] for x in out], pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *lists, pa.array(need, pa.int32())], ["cid", "n", "keys", "lines", "need"])
@@ -251,6 +257,8 @@ def _size_near(a: Column, b: Column, threshold: float) -> Column:
 def _candidates(met: DataFrame, threshold: float) -> DataFrame:
     """(cid, other) of looked-up rows that met: of near size, with as many lines in common as needed."""
     near = met.filter(_size_near(F.col("n"), F.col("o_n"), threshold))
+    if "o_need" in near.columns:
+        near = near.withColumn("need", F.least("need", "o_need"))
     return near.groupBy("cid", "other", "need").agg(F.sum("m").alias("m")).filter(F.col("m") >= F.col("need")).select("cid", "other")
 
 
@@ -453,7 +461,7 @@ def _leaders(open_: DataFrame, records: DataFrame, live: DataFrame, threshold: f
 def _settled(open_: DataFrame, records: DataFrame, live: DataFrame, threshold: float, most_units: int) -> tuple[DataFrame, DataFrame, bool]:
     """(accepted, (cid, at) near to them, whether few enough deliveries were entangled to decide them here)."""
     each = cut(_asked(live))
-    other = each.select("h", F.col("cid").alias("other"), F.col("n").alias("o_n"))
+    other = each.select("h", F.col("cid").alias("other"), F.col("n").alias("o_n"), F.col("need").alias("o_need"))
     met = _candidates(each.join(other, "h").filter(F.col("cid") < F.col("other")), threshold)
     links = confirmed(met, records, records, threshold)
     links = cut(links.select(F.explode(F.array(F.struct("cid", "other"), F.struct(F.col("other").alias("cid"), F.col("cid").alias("other")))).alias("e")).select("e.*"))

@@ -188,6 +188,16 @@ def test_rounds_of_leaders_decide_alike(spark, monkeypatch, bounds):
     test_chains_are_decided_in_order(spark)
 
 
+def test_what_is_everywhere_is_not_looked_up(spark):
+    """Files of a header, a row and a trailer are looked up by the row; larger ones by as many rows as may differ and two."""
+    texts = [("\n".join(["the header", f"row {i} of many", "the trailer"])) for i in range(300)] + ["\n".join(["the header", *(f"line {k}" for k in range(20)), "the trailer"])]
+    records = h.chunked(spark.createDataFrame([(f"p{i}", t) for i, t in enumerate(texts)], CHUNKED), "path", "content").cache()
+    frequent = h.frequent_chunks(h.chunk_table(records).repartition("h").sortWithinPartitions("h"))
+    common = {r.h for r in frequent.collect()}
+    for r in h.picked_chunks(records, frequent, 0.8).collect():
+        assert (r.n, r.need, len(r["keys"])) in ((3, 1, 1), (22, 2, 6)) and not common & set(r["keys"])
+
+
 def test_a_family_of_near_files_forms_no_pairs(spark, monkeypatch):
     """1,500 mutually near files of different content: each is compared with a few leaders, not with all."""
     base = [f"line {i}" for i in range(30)]
