@@ -372,14 +372,14 @@ def repeated_deliveries(deliveries: DataFrame, accepted: DataFrame, samples: Dat
     forget(spark, at_hand)  # all that is needed later lies in the store and the checkpoints
     frequent = frequent_chunks(chunk_table(probe).repartition("h").sortWithinPartitions("h")).unionByName(store.frequent())
     picked = cut(picked_chunks(probe, frequent, threshold))
-    near_old = cut(store.near(probe, picked))
-    hit = cut(probe.withColumn("cid", _cid()).join(near_old, "cid", "left_semi").select("class").unionByName(stored))
+    near_old = cut(_by_class(probe.withColumn("cid", _cid()), store.near(probe, picked), "cid", "left_semi").select("class"))
+    hit = cut(near_old.unionByName(stored))
 
     firsts = new.filter(F.col("checksum").isNotNull() | F.col("class").isNotNull()).groupBy("checksum", "class").agg(F.min("at").alias("at"))
     open_ = firsts.join(old_sums, "checksum", "left_anti").join(hit, "class", "left_anti").withColumn("cid", F.when(F.col("class").isNotNull(), _cid()))
-    rest = cut(probe.join(hit, "class", "left_anti"))
+    rest = _by_class(probe, near_old, "class", "left_anti")
     taken, around = _accept_in_order(cut(open_), rest, picked.join(rest.select(_cid().alias("cid")), "cid", "left_semi"), threshold)
-    store.append(batch, rest.join(taken.filter(F.col("class").isNotNull()).select("class").distinct(), "class", "left_semi"))
+    store.append(batch, _by_class(rest, cut(taken.filter(F.col("class").isNotNull()).select("class").distinct()), "class", "left_semi"))
 
     by_sum = taken.filter(F.col("checksum").isNotNull()).groupBy("checksum").agg(F.min("at").alias("sum_at"))
     own = taken.filter(F.col("cid").isNotNull()).select("cid", "at")
@@ -394,6 +394,13 @@ def repeated_deliveries(deliveries: DataFrame, accepted: DataFrame, samples: Dat
     return out.filter(exact | near).select("id", F.when(exact, "exact").otherwise("near").alias("match_kind")).distinct()
 
 
+def _by_class(records: DataFrame, classes: DataFrame, on: str, how: str) -> DataFrame:
+    """Records with, or without, one of these classes: filtered where they lie if the classes are few, else shuffled and cut."""
+    few = small_enough(classes)
+    out = records.join(F.broadcast(classes) if few else classes, on, how)
+    return out if few else cut(out)
+
+
 def _accept_in_order(open_: DataFrame, records: DataFrame, picked: DataFrame, threshold: float, most_pairs: int = SETTLED_PAIRS, most_units: int = SETTLED_UNITS) -> tuple[DataFrame, DataFrame]:
     """(accepted first deliveries, (cid, at) of the accepted ones each record is near to).
 
