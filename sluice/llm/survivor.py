@@ -114,10 +114,10 @@ def learn_precedence(values: DataFrame) -> DataFrame:
     """How often, over all groups, one value or shape is next followed by another, as a net share.
 
     Dated values of a (key, field) are ordered by time; each neighbouring pair is a
-    transition. Kept are directions seen more often than their reverse.
+    transition. Kept are directions seen more often than their reverse. ``values`` should be cut.
     """
     dated = values.filter(F.col("t").isNotNull())
-    step = previous_row(dated, ["key", "field_name"], ["t", "id", "value"], ["value"], "last").filter(F.col("last").isNotNull()).withColumn("before", F.col("last.value"))
+    step = previous_row(dated, ["key", "field_name"], ["t", "id", "value"], ["value"], "last", written=True).filter(F.col("last").isNotNull()).withColumn("before", F.col("last.value"))
     levels = F.explode(F.array(F.struct(F.lit("value").alias("level"), F.col("before").alias("a"), F.col("value").alias("b")), F.struct(F.lit("shape").alias("level"), value_shape(F.col("before")).alias("a"), value_shape(F.col("value")).alias("b"))))
     n = step.select("field_name", levels.alias("l")).filter(F.col("l.a") != F.col("l.b"))
     low, high = F.least("l.a", "l.b"), F.greatest("l.a", "l.b")
