@@ -8,17 +8,17 @@ from pyspark.sql import functions as F
 from sluice.session import cut
 
 
-def previous_row(df: DataFrame, group: list[str], order: list[str], carry: list[str], name: str) -> DataFrame:
+def previous_row(df: DataFrame, group: list[str], order: list[str], carry: list[str], name: str, written: bool = False) -> DataFrame:
     """Adds ``name``, a struct of ``carry`` from the row before in the same group, or null.
 
     A window over the group would put a group with most of the rows in one task. Rows
     are range-partitioned by (group, order) instead, the window runs inside each range,
     and only the last row of each range is handed to the next one. The rows are written
-    once before, so that sampling the ranges doesn't evaluate them a second time. Nulls
-    order first; ``order`` must be total within a group.
+    once before, so that sampling the ranges doesn't evaluate them a second time, unless
+    they are ``written`` already. Nulls order first; ``order`` must be total within a group.
     """
     struct = F.struct(*carry)
-    ranged = cut(cut(df).repartitionByRange(*group, *order).withColumn("__range", F.spark_partition_id()))
+    ranged = cut((df if written else cut(df)).repartitionByRange(*group, *order).withColumn("__range", F.spark_partition_id()))
     inside = Window.partitionBy(*group, "__range").orderBy(*order)
     lagged = ranged.withColumns({"__lag": F.lag(struct).over(inside), "__first": F.row_number().over(inside) == 1})
     key = F.struct(*order)

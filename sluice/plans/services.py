@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice import config, locks
+from sluice import config, locks, pipeline
 from sluice.functions.order import OrderError, parse_terms
 from sluice.operators import keys, ledger, merge, publish, rejects, validate
 from sluice.operators import watermark as wm
-from sluice.operators.contract import Contract, ContractColumn, ContractError, curated_gate, explain, resolve_header, version_violations
+from sluice.operators.contract import Contract, ContractColumn, ContractError, curated_gate, explain, null_violations, resolve_header, type_changes, version_violations
 from sluice.plans import decks
 from sluice.plans.ingestion import Query
 from sluice.plans.landing import scratch_database
@@ -282,3 +283,67 @@ def stages_to_skip_on_resume(spark, root):
     """Stages of the member feed's runs that a resumed run skips: those whose latest event is a success."""
     last = ledger.latest_status(table(spark, root, "ingest_run_audit").filter("entity = 'health_sherpa_member'"))
     return last.filter(F.col("status") == ledger.SUCCESS).select("run_id", "stage", "status")
+
+
+@query(_values("case_name, shown", "'setting', 'password=*** host=h'", "'url', 'jdbc:x://***@h/d'", "'header', 'Authorization: *** ***'", "'json', '{\"apiKey\": ***, \"rows\": 5}'", "'plain', 'rows: 5 at 10:00'"))
+def sanitized_messages(spark, root):
+    """Messages as the ledger keeps them: without secrets."""
+    said = {"setting": "password=p1 host=h", "url": "jdbc:x://ann:p1@h/d", "header": "Authorization: Bearer abcdefgh12", "json": '{"apiKey": "k", "rows": 5}', "plain": "rows: 5 at 10:00"}
+    return _table(spark, "case_name string, shown string", [(n, ledger.sanitize(m)) for n, m in said.items()])
+
+
+@query(_values("path, value, overridden", "'a.b', '3', true", "'a.c', '2', false", "'d', '4', false"))
+def configuration_override(spark, root):
+    """One configuration over another, path by path."""
+    merged, changed, _ = config.override({"a": {"b": 1, "c": 2}}, {"a": {"b": 3}, "d": 4})
+    return _table(spark, "path string, value string, overridden boolean", [(p, str(config.get(merged, p)), p in changed) for p in config.paths(merged)])
+
+
+@query(_values("case_name, committed", "'plain', true", "'rejects hold it', false", "'rejects pass', true", "'backfill', false", "'backfill that commits', true", "'dry run', false"))
+def commit_gates(spark, root):
+    """Whether a run commits its position."""
+    orders = table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    some = [rejects.RejectRule("one", "o_orderkey % 10 = 0", "R1", "x")]
+    cases = {
+        "plain": {}, "rejects hold it": {"reject_rules": some, "hold_on_rejects": True}, "rejects pass": {"reject_rules": some}, "backfill": {"conf": {"ingestion": {"pattern": "BACKFILL"}}},
+        "backfill that commits": {"conf": {"ingestion": {"pattern": "BACKFILL", "watermark_commit": True}}}, "dry run": {},
+    }
+    db, out = scratch_database(spark), []
+    for i, (name, options) in enumerate(cases.items()):
+        done: list = []
+        feed = pipeline.Feed("orders", lambda run_id: orders, f"{db}.raw{i}", f"{db}.curated{i}", f"{db}.runs{i}", spec=decks.MERGE, commit=done.append, **options)
+        pipeline.run_feed(spark, feed, f"r{i}", dry_run=name == "dry run")
+        out.append((name, bool(done)))
+    return _table(spark, "case_name string, committed boolean", out)
+
+
+@query(_values("step, holder, version", "'r1 takes it', 'r1', cast(1 AS bigint)", "'r2 is refused', 'r1', 1", "'r1 renews', 'r1', 2", "'r2 takes what has expired', 'r2', 3", "'r1 can not renew', 'r2', 3", "'r2 releases', NULL, 4"))
+def database_lease(spark, root):
+    """A lease in a row of a database, taken by compare-and-set."""
+    url, now = f"jdbc:derby:memory:lease{uuid.uuid4().hex};create=true", [1_000.0]
+    lease = lambda r: locks.DatabaseLease(spark, url, "e", r, minutes=1, clock=lambda: now[0], driver="org.apache.derby.jdbc.EmbeddedDriver")
+    r1, r2, steps = lease("r1"), lease("r2"), []
+    r1.create_table()
+
+    def step(name: str, call, expected: object = None) -> None:
+        if (got := _outcome(call, locks.LockError) if expected == "LCK_001" else call()) != expected:
+            raise AssertionError(f"{name}: {got}")
+        holder, _, version = r1._row()
+        steps.append((name, holder, version))
+
+    step("r1 takes it", r1.acquire)
+    step("r2 is refused", r2.acquire, "LCK_001")
+    step("r1 renews", r1.renew, True)
+    now[0] += 120
+    step("r2 takes what has expired", r2.acquire)
+    step("r1 can not renew", r1.renew, False)
+    step("r2 releases", r2.release)
+    return _table(spark, "step string, holder string, version bigint", steps)
+
+
+@query(_values("kind, code, policy", "'nullability', 'nullability_violation', 'FAIL'", "'type_change', 'type_change', 'FAIL'"))
+def frame_violations(spark, root):
+    """A frame against its contract: a column of another type, one that has nulls and must not."""
+    df = table(spark, root, "documents").select("doc_id", "text", "n_chars")
+    c = Contract((ContractColumn("doc_id", type="bigint", nullable=False), ContractColumn("text", nullable=False), ContractColumn("n_chars", type="date")))
+    return _table(spark, "kind string, code string, policy string", [(v.kind, v.code, v.policy) for v in [*type_changes(c, df), *null_violations(c, df)]])
