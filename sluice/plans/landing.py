@@ -7,7 +7,9 @@ database that lies there. What comes back is what a reader of the result would s
 from __future__ import annotations
 
 import uuid
+import zipfile
 from dataclasses import replace
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +21,7 @@ from sluice.operators.contract import Contract, ContractColumn, header_violation
 from sluice.operators.publish import Guards
 from sluice.plans import decks
 from sluice.plans.ingestion import MERGED_SQL, Query
-from sluice.session import shared_folder, table
+from sluice.session import forget, shared_folder, table
 from sluice.sources import files, jdbc, registry
 from sluice.sources.sqltext import Filter, Projection
 from sluice.streaming import microbatch
@@ -341,13 +343,89 @@ def stream_files_merge(spark, root):
 # databases
 
 
+#: What the embedded database's "orders" holds; pages are filled, since nothing is changed later.
+_ORDERS = {"o_orderkey": "BIGINT", "o_custkey": "BIGINT", "o_orderstatus": "VARCHAR(8)", "o_orderpriority": "VARCHAR(32)"}
+_PAGES = {"pageSize": 16_384, "pageReservedSpace": 0}
+
+
+def _local(spark: SparkSession, folder: str) -> Path:
+    """A shared folder as every process sees it; an embedded database opens files by path."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder).toUri()
+    if at.getScheme() not in (None, "file"):
+        raise RuntimeError(f"an embedded database needs a shared folder with a path, not {at.getScheme()}")
+    return Path(at.getPath())
+
+
 def _database(spark: SparkSession, root: str) -> str:
-    """Orders in an embedded database of its own; returns its URL."""
-    spark._jvm.java.lang.System.setProperty("derby.stream.error.field", "java.lang.System.err")
-    url = f"jdbc:derby:memory:sluice{uuid.uuid4().hex};create=true"
-    rows = table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority").coalesce(1)
-    rows.write.format("jdbc").option("url", url).option("dbtable", '"orders"').option("driver", "org.apache.derby.jdbc.EmbeddedDriver").option("createTableColumnTypes", "o_orderstatus VARCHAR(8), o_orderpriority VARCHAR(32)").save()
-    return url
+    """Orders in an embedded database of its own; returns its URL.
+
+    Only one process can open a database folder, and one in memory is seen by the process
+    alone that made it. So the driver loads it, shuts it down and packs it into an archive,
+    which driver and executors read at once.
+    """
+    return archived_database(spark, table(spark, root, "orders").select(*_ORDERS), "orders", _ORDERS)
+
+
+def archived_database(spark: SparkSession, rows: DataFrame, name: str, columns: dict[str, str]) -> str:
+    """A read-only database with one table, beside the checkpoints; returns its URL.
+
+    The rows come as lines in which texts are quoted and nulls aren't, so that nothing is trimmed and no empty text gets lost.
+    """
+    jvm, folder = spark._jvm, shared_folder(spark, "jdbc")
+    cells = [F.concat(F.lit('"'), F.replace(n, F.lit('"'), F.lit('""')), F.lit('"')) if kind == "string" else F.col(n).cast("string") for n, kind in rows.select(*columns).dtypes]
+    lines = rows.select(F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in cells]))
+    lines.coalesce(1).write.text(f"{folder}/rows")
+    base = _local(spark, folder)
+    text, db, archive = next((base / "rows").glob("part-*"), None), base / "db", base / "db.jar"
+    jvm.java.lang.System.setProperty("derby.stream.error.field", "java.lang.System.err")
+    jvm.java.lang.Class.forName("org.apache.derby.jdbc.EmbeddedDriver")
+    c = jvm.java.sql.DriverManager.getConnection(f"jdbc:derby:{db};create=true")
+    try:
+        run = c.createStatement().execute
+        for k, v in _PAGES.items():
+            run(f"CALL SYSCS_UTIL.SYSCS_SET_DATABASE_PROPERTY('derby.storage.{k}', '{v}')")
+        run(f'CREATE TABLE "{name}" ({", ".join(f'"{n}" {t}' for n, t in columns.items())})')
+        if text:
+            quoted = str(text).replace("'", "''")
+            run(f"CALL SYSCS_UTIL.SYSCS_IMPORT_TABLE(NULL, '{name}', '{quoted}', NULL, NULL, 'UTF-8', 0)")
+    finally:
+        c.close()
+        _shut_down(jvm, f"jdbc:derby:{db}")
+    forget(spark, f"{folder}/rows")
+    _pack(db, archive)
+    forget(spark, f"{folder}/db")
+    return f"jdbc:derby:jar:({archive})db"
+
+
+def _shut_down(jvm, url: str) -> None:
+    """Derby says by an exception, SQLSTATE 08006, that a database has been shut down."""
+    try:
+        jvm.java.sql.DriverManager.getConnection(f"{url};shutdown=true")
+    except Exception as e:
+        if not any(f.state == "08006" for f in jdbc.sql_failures(e)):
+            raise
+
+
+def _pack(folder: Path, archive: Path, piece: int = 64 << 20) -> None:
+    """Moves a folder's files into an archive, uncompressed, so that pages are found by seeking; needs no room for a second copy.
+
+    Each file is cut into pieces from its end on, then appended piece by piece.
+    """
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(p for p in folder.rglob("*") if p.is_file()):
+            entry = zipfile.ZipInfo(f"{folder.name}/{f.relative_to(folder)}")
+            entry.file_size = f.stat().st_size
+            starts = range(0, entry.file_size, piece)
+            for at in reversed(starts):
+                with f.open("r+b") as whole:
+                    whole.seek(at)
+                    Path(f"{f}.{at}").write_bytes(whole.read())
+                    whole.truncate(at)
+            with z.open(entry, "w") as out:
+                for at in starts:
+                    part = Path(f"{f}.{at}")
+                    out.write(part.read_bytes())
+                    part.unlink()
 
 
 def _source(spark: SparkSession, root: str, **options) -> jdbc.JdbcSource:
