@@ -13,7 +13,7 @@ import oracle
 from sluice.plans import catalogue, landing
 
 REPO = Path(__file__).resolve().parent.parent
-NAMES = ["jdbc_captured_bound"]
+NAMES = ["jdbc_captured_bound", "jdbc_full_table"]
 RUN = """
 import json, sys
 from pyspark.sql import SparkSession
