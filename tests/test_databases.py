@@ -13,7 +13,7 @@ import oracle
 from sluice.plans import catalogue, landing
 
 REPO = Path(__file__).resolve().parent.parent
-NAMES = ["jdbc_captured_bound", "jdbc_full_table", "jdbc_range_partitions", "jdbc_select_query", "jdbc_custom_sql", "jdbc_predicates", "jdbc_seed_then_windows"]
+NAMES = ["jdbc_captured_bound", "jdbc_full_table", "jdbc_range_partitions", "jdbc_select_query", "jdbc_custom_sql", "jdbc_predicates", "jdbc_seed_then_windows", "jdbc_template"]
 RUN = """
 import json, sys
 from pyspark.sql import SparkSession
